@@ -28,4 +28,30 @@ SELECT doc_id, size, source_size, target,
 FROM c
 """
 
-SQL = {"op8_exact_dedup": OP8, "op9_mixing": OP9}
+OP1 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+     s AS (SELECT doc_id, list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, greatest(len(w) - 2, 2))]) AS s FROM w WHERE len(w) > 0),
+     g AS (SELECT s.*, md5(array_to_string(list_sort(s), chr(10))) AS k FROM s),
+     c AS (SELECT k, min(doc_id) AS doc_id, any_value(s) AS s FROM g GROUP BY k),
+     u AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM c),
+     p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id
+           GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+     e AS (SELECT a, b FROM p UNION SELECT b, a FROM p UNION SELECT c.doc_id, g.doc_id FROM c JOIN g USING (k) UNION SELECT g.doc_id, c.doc_id FROM c JOIN g USING (k)),
+     r(id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id AND r.root < e.b),
+     m AS (SELECT id, min(root) AS component_id FROM r GROUP BY id)
+SELECT d.doc_id, CAST(coalesce(len(s.s), 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN s USING (doc_id) JOIN m ON m.id = d.doc_id
+"""
+
+OP2 = r"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+     x AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w WHERE len(w) >= 50)),
+     f AS (SELECT h, min(doc_id) AS lo FROM x GROUP BY h),
+     g AS (SELECT DISTINCT doc_id, i + j AS i FROM (SELECT x.doc_id, x.i, unnest(range(0, 50)) AS j FROM x JOIN f USING (h) WHERE lo < x.doc_id)),
+     t AS (SELECT doc_id, i, w[i] AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w)),
+     k AS (SELECT t.doc_id, string_agg(x, ' ' ORDER BY t.i) FILTER (WHERE g.i IS NULL) AS kept, count(g.i) AS n FROM t LEFT JOIN g ON g.doc_id = t.doc_id AND g.i = t.i GROUP BY t.doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
+
+SQL = {"op1_minhash": OP1, "op2_substring_dedup": OP2, "op8_exact_dedup": OP8, "op9_mixing": OP9}
