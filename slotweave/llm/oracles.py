@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import url_filter
+
 OP8 = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
      g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
@@ -54,4 +56,45 @@ SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_remove
 FROM w LEFT JOIN k USING (doc_id)
 """
 
-SQL = {"op1_minhash": OP1, "op2_substring_dedup": OP2, "op8_exact_dedup": OP8, "op9_mixing": OP9}
+OP6 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+           FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+     r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+def op5(iterations: int = url_filter.ITERATIONS) -> str:
+    """The rounds of the ranks are written out, one common table expression each."""
+    a = url_filter.DAMPING
+    fits = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
+    rules = sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2]))
+    rule = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for _, h, p in rules) + " END"
+    verdict = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for v, h, p in rules) + " END"
+    low = f"'{url_filter.UPPER}', '{url_filter.LOWER}'"
+    href = url_filter.HREF.replace("'", "''")
+    rounds = "".join(f""",
+     f{i} AS (SELECT host, sum(t) AS t, sum(d) AS d FROM (SELECT dst AS host, trust * forth AS t, 0.0 AS d FROM e JOIN s{i} ON host = src
+                UNION ALL SELECT src, 0.0, distrust * back FROM e JOIN s{i} ON host = dst) GROUP BY host),
+     s{i + 1} AS MATERIALIZED (SELECT s0.host, s0.trust * (1 - {a}) + coalesce(t, 0) * {a} AS trust, s0.distrust * (1 - {a}) + coalesce(d, 0) * {a} AS distrust
+                FROM s0 LEFT JOIN f{i} USING (host))""" for i in range(iterations))
+    return f"""
+WITH u AS (SELECT page_id, html, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), {low}) AS host, coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+     p AS MATERIALIZED (SELECT *, {rule} AS rule, {verdict} AS verdict FROM u),
+     l AS (SELECT host AS src, unnest(list_distinct(regexp_extract_all(coalesce(html, ''), '{href}', 1))) AS link FROM p),
+     k AS (SELECT src, CASE WHEN contains(link, '://') THEN translate(regexp_extract(link, '://([^/?#]*)', 1), {low})
+                            WHEN starts_with(link, '//') THEN translate(regexp_extract('x:' || link, '://([^/?#]*)', 1), {low}) ELSE src END AS dst FROM l),
+     n AS (SELECT src, dst, count(*) AS n FROM k WHERE src <> '' AND dst <> '' GROUP BY src, dst),
+     e AS MATERIALIZED (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS forth, n / sum(n) OVER (PARTITION BY dst) AS back FROM n),
+     h AS (SELECT host, avg(CASE WHEN coalesce(verdict, '') = 'allow' THEN 1.0 ELSE 0.0 END) AS t, avg(CASE WHEN coalesce(verdict, '') = 'block' THEN 1.0 ELSE 0.0 END) AS d FROM p WHERE host <> '' GROUP BY host
+           UNION ALL SELECT dst, 0.0, 0.0 FROM e),
+     s0 AS MATERIALIZED (SELECT host, sum(t) AS trust, sum(d) AS distrust FROM h GROUP BY host){rounds}
+SELECT page_id, p.host, path, rule,
+       coalesce(verdict, CASE WHEN distrust > trust * {url_filter.RATIO} + {url_filter.MARGIN} AND distrust > {url_filter.LEAST} + {url_filter.MARGIN} THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN s{iterations} s ON s.host = p.host
+"""
+
+
+SQL = {"op5_url_filter": op5(), "op6_knn_join": OP6, "op1_minhash": OP1, "op2_substring_dedup": OP2, "op8_exact_dedup": OP8, "op9_mixing": OP9}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, minhash, mixing, oracles, substring_dedup
+from . import exact_dedup, knn_join, minhash, mixing, oracles, packing, substring_dedup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,18 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_words(table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).drop("trust", "distrust")
+
+
+def op6_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn_join.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -32,7 +44,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_substring_dedup, op8_exact_dedup, op9_mixing)}
+    return {f.__name__: f for f in (op1_minhash, op2_substring_dedup, op4_packing, op5_url_filter, op6_knn_join, op8_exact_dedup, op9_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
