@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, knn_join, minhash, mixing, oracles, packing, substring_dedup, url_filter
+from . import exact_dedup, knn_join, language_id, minhash, mixing, oracles, packing, quality, substring_dedup, token_counts, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_words(table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_redacted(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,12 @@ def op6_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn_join.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.learn(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).withColumn("kept", F.col("p_good") >= quality.THRESHOLD)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -43,8 +53,15 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_size") * F.col("_copies")).alias("taken"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = language_id.held_out(F.col("doc_id"))
+    model = language_id.learn(docs.where(~held))
+    return language_id.identify(docs, model).select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_substring_dedup, op4_packing, op5_url_filter, op6_knn_join, op8_exact_dedup, op9_mixing)}
+    return {f.__name__: f for f in (op1_minhash, op2_substring_dedup, op3_token_counts, op4_packing, op5_url_filter, op6_knn_join, op7_quality, op8_exact_dedup, op9_mixing, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
