@@ -124,7 +124,6 @@ class TokenTree:
         begin = pos
         ends = last_at + np.cumsum(self.leaves[last][0])
         met = None
-        window = max(256, 2 * (len(new) + 64))
         matches = self.counter.pattern.finditer(text, pos)
         while pos < len(text):
             m = next(matches, None)
@@ -134,15 +133,14 @@ class TokenTree:
             pos = m.end()
             o = pos - delta
             if pos >= start + len(new) and o >= end:
-                while o > ends[-1] and last + 1 < len(self.leaves):
-                    last_at = int(ends[-1])
+                while o > last_at + self.chars[self.width + last] and last + 1 < len(self.leaves):
+                    last_at += int(self.chars[self.width + last])
                     last += 1
                     ends = last_at + np.cumsum(self.leaves[last][0])
                 hit = np.flatnonzero(ends == o)
                 if len(hit):
                     met = int(hit[0]) + 1
                     break
-        del window
         self.counter.read += pos - begin
         tail = (self.leaves[last][0][met:], self.leaves[last][1][met:]) if met is not None else ([], [])
         if met is None:
