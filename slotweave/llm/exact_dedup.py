@@ -193,4 +193,4 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
 def drop_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     kept = exact_groups(docs, text, key).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs[key].cast("long") == F.col("_kept_id"), "left_semi")
+    return docs.join(kept, docs[key].cast("long") == kept["_kept_id"], "left_semi")

@@ -63,21 +63,22 @@ def uniform(key: str, seed: str = SEED) -> Column:
 
 
 def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = MAX_REPEATS, seed: str = SEED) -> DataFrame:
-    """``docs`` with _size, _source_size, _target and _copies: how often the mix takes each document.
+    """(row, size, source_size, target, copies): each row of ``docs`` as a struct, and how often the mix takes it.
 
     The rate of a source is target / size; a document is taken floor(rate) times, and once more if its seeded uniform
     number is below the rest. A null text has size 0; null sources are one source, the last. Where all sizes of a source
-    are 0 its target is 0 and its documents are not taken. Rows that repeat a doc_id are taken alike."""
-    sized = docs.withColumn("_size", word_count(F.col(text)))
-    targets = source_targets(sized.select(F.col(source).alias("source"), F.col("_size").alias("size")), weights=weights, cap=cap)
-    targets = materialize(targets, "mix-targets").select(F.col("source").alias("_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"))
-    out = sized.join(targets, sized[source].eqNullSafe(targets["_source"])).drop("_source")
-    rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(0.0)
-    copies = F.floor(rate) + (uniform(key, seed) < rate - F.floor(rate)).cast("long")
-    return out.withColumn("_copies", copies)
+    are 0 its target is 0 and its documents are not taken. Rows that repeat a doc_id are taken alike; an empty table
+    gives an empty mix; the names of other columns don't matter."""
+    sized = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
+    targets = materialize(source_targets(sized.select("source", "size"), weights=weights, cap=cap), "mix-targets")
+    targets = targets.select(F.col("source").alias("of"), "source_size", "target")
+    out = sized.join(targets, F.col("source").eqNullSafe(F.col("of")))
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    copies = F.floor(rate) + (uniform(f"row.{key}", seed) < rate - F.floor(rate)).cast("long")
+    return out.select("row", "size", "source_size", "target", copies.alias("copies"))
 
 
 def mix_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: every document of ``docs`` as often as it is taken, with the columns of ``docs``."""
-    taken = mix(docs, **how).where("_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*(F.col(f"`{c}`") for c in docs.columns))
+    taken = mix(docs, **how).where("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

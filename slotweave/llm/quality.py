@@ -199,4 +199,4 @@ def score(docs: DataFrame, model: CoTrained | None, text: str = "text", key: str
 def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the classifier doesn't reject, with all their columns."""
     bad = score(docs, learn(docs, labels, text, key), text, key).where(F.col("p_good") < threshold).select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, docs[key].cast("long") == F.col("_bad_id"), "left_anti")
+    return docs.join(bad, docs[key].cast("long") == bad["_bad_id"], "left_anti")

@@ -225,5 +225,5 @@ def repeated_words(docs: DataFrame, text: str = "text", key: str = "doc_id", win
 def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", **how) -> DataFrame:
     """``docs`` with the repeated words taken out of their texts; a text that loses none is unchanged."""
     cut = repeated_words(docs, text, key, with_text=True, **how).where("n_removed > 0").select(F.col("doc_id").alias("_cut_id"), "kept_text")
-    out = docs.join(cut, docs[key].cast("long") == F.col("_cut_id"), "left")
-    return out.withColumn(text, F.coalesce("kept_text", text)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    out = docs.join(cut, docs[key].cast("long") == cut["_cut_id"], "left")
+    return out.select(*((F.coalesce(cut["kept_text"], docs[c]) if c == text else docs[c]).alias(c) for c in docs.columns))

@@ -78,4 +78,4 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
 def allowed(pages: DataFrame, key: str = "page_id", **how) -> DataFrame:
     """The pages that are not blocked."""
     ids = judge(pages, key, **how).where("verdict = 'allow'").select(F.col("page_id").alias("_allowed_id")).distinct()
-    return pages.join(ids, pages[key] == F.col("_allowed_id"), "left_semi")
+    return pages.join(ids, pages[key] == ids["_allowed_id"], "left_semi")
