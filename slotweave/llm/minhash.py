@@ -6,10 +6,10 @@ coordinate fills (after 2t rounds at most), one round does for sets much larger
 coordinates is concentrated around the Jaccard similarity.
 
 Rows of equal shingle sets form a class, and only one of a class goes on. Sketches are cut to bands; classes that share
-a band are candidates. Nothing is capped and no group is expanded into all its pairs: a bucket is first a star around
-its smallest member, whose spokes are confirmed on the full sets; then only pairs of one bucket that are still in
-different components (each side outside the bucket's largest component against the rest) and whose sketches agree well
-enough are confirmed. The sketch filter and the bands miss a pair of similarity 0.8 with a chance below 1e-5."""
+a band are candidates, and what bands connect is a family. Nothing is capped and no group is expanded into all its
+pairs: each member is first confirmed, on the full sets, against the smallest one of its buckets, which settles most
+families; in the others the pairs that may still be linked are found exactly by what members differ in from their family
+(see _left_over) and confirmed too. The bands miss a pair of similarity 0.8 with a chance below 1e-5."""
 
 from __future__ import annotations
 
@@ -18,15 +18,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import connected_components, gram_hashes, materialize, mix64, release, word_hashes
 
 ROWS, BANDS = 4, 24
+#: Levels of W to a doubling (see _left_over).
+LEVELS = 8
 COORDINATES = ROWS * BANDS
-#: Of so many coordinates a pair of similarity 0.8 agrees in 77 on average, and in fewer than 57 with a chance of 3e-7.
-AGREE = 57
 _SEEDS = mix64(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _EMPTY = np.uint64(2**64 - 1)
 
@@ -63,7 +63,7 @@ def band_keys(s: np.ndarray) -> np.ndarray:
     return h
 
 
-SKETCH = "doc_id long, n long, h1 long, h2 long, bands array<long>, sig binary"
+SKETCH = "doc_id long, n long, h1 long, h2 long, bands array<long>"
 
 
 def _sketch_rows(k: int):
@@ -71,7 +71,7 @@ def _sketch_rows(k: int):
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 b = whole.slice(at, 2000)
-                n, h1, h2, bands, sig, off = [], [], [], [], [], [0]
+                n, h1, h2, bands, off = [], [], [], [], [0]
                 for text in b.column(1).to_pylist():
                     h = shingles(text, k)
                     n.append(len(h))
@@ -79,16 +79,12 @@ def _sketch_rows(k: int):
                     h1.append(int.from_bytes(d[:8], "big", signed=True))
                     h2.append(int.from_bytes(d[8:], "big", signed=True))
                     if len(h):
-                        s = sketch(h)
-                        bands.append(band_keys(s))
-                        sig.append((mix64(s) & np.uint64(0xFFFF)).astype(np.uint16).tobytes())
-                    else:
-                        sig.append(None)
+                        bands.append(band_keys(sketch(h)))
                     off.append(len(bands) * BANDS)
                 flat = np.concatenate(bands).view(np.int64) if bands else np.empty(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat)), pa.array(sig, pa.binary())],
-                    names=["doc_id", "n", "h1", "h2", "bands", "sig"],
+                    [b.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat))],
+                    names=["doc_id", "n", "h1", "h2", "bands"],
                 )
 
     return rows
@@ -106,15 +102,6 @@ def _set_rows(k: int):
     return rows
 
 
-def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, siga, sigb) -> the pairs whose sketches agree in AGREE coordinates."""
-    for b in batches:
-        if b.num_rows:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(b.num_rows, COORDINATES) for c in (2, 3))
-            keep = pa.array((x == y).sum(axis=1) >= AGREE)
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
-
-
 def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row for each row of ``docs``.
 
@@ -130,7 +117,7 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int
     some = sk.where("n > 0")
     classes = materialize(some.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "mh-class")
     reps = some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    banded = materialize(reps.select("doc_id", "n", "sig", F.explode("bands").alias("band")), "mh-banded")
+    banded = materialize(reps.select("doc_id", "n", F.explode("bands").alias("band")), "mh-banded")
     buckets = banded.groupBy("band").agg(F.min(F.struct("doc_id", "n")).alias("low"), F.count("*").alias("size")).where("size > 1")
     buckets = materialize(buckets.select("band", F.col("low.doc_id").alias("low"), F.col("low.n").alias("low_n")), "mh-bucket")
     shared = materialize(banded.join(buckets, "band"), "mh-shared")
@@ -138,29 +125,17 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int
     member = shared.select("doc_id").distinct()
     sets = materialize(rows.join(member, "doc_id", "left_semi").mapInArrow(_set_rows(k), "doc_id long, set array<long>").dropDuplicates(["doc_id"]), "mh-set")
 
-    near = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent  # noqa: E731 - sizes that can be so similar
-    star = shared.where("doc_id <> low").where(near(F.col("n"), F.col("low_n"))).select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct()
-    star = materialize(star, "mh-star")
-    links = materialize(_confirmed(star, sets, percent), "mh-link")
+    star = materialize(shared.where("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("low_n").alias("na")).distinct(), "mh-star")
+    release(shared)
+    first = star.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).groupBy("b").agg(F.min("a").alias("a"))
+    links = materialize(_confirmed(first, sets, percent), "mh-link")
     parts = materialize(connected_components(links, "a", "b"), "mh-part")
-
-    # what the stars leave: pairs of one bucket in different components
-    at = materialize(shared.select("band", "doc_id", "n", "sig").join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("part", F.coalesce("component", "doc_id")).drop("component"), "mh-at")
-    sizes = at.groupBy("band", "part").agg(F.count("*").alias("m"))
-    split = sizes.groupBy("band").agg(F.max(F.struct("m", "part")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("band", F.col("top.part").alias("top"))
-    split = materialize(split, "mh-split")
-    open_ = materialize(at.join(split, "band"), "mh-open")
-    left = open_.where("part <> top").select("band", F.col("doc_id").alias("x"), F.col("n").alias("nx"), F.col("sig").alias("sx"), F.col("part").alias("px"))
-    right = open_.select("band", F.col("doc_id").alias("y"), F.col("n").alias("ny"), F.col("sig").alias("sy"), F.col("part").alias("py"), (F.col("part") == F.col("top")).alias("main"))
-    pairs = left.join(right, "band").where((F.col("px") != F.col("py")) & (F.col("main") | (F.col("x") < F.col("y"))) & near(F.col("nx"), F.col("ny")))
-    pairs = pairs.select(F.col("x"), F.col("y"), "sx", "sy").mapInArrow(_agreement, "a long, b long")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    more = materialize(_confirmed(materialize(pairs, "mh-pair"), sets, percent), "mh-link")
-    if more.isEmpty():
-        final = parts
-    else:
-        final = materialize(connected_components(links.unionByName(more), "a", "b"), "mh-part")
-    release(sets, shared, at, open_)
+    family = materialize(connected_components(star, "a", "b").withColumnRenamed("component", "family"), "mh-family")
+    at = materialize(family.join(parts, "id", "left").select("id", "family", F.coalesce("component", "id").alias("part")), "mh-at")
+    split = materialize(at.groupBy("family").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("family", "m"), "mh-split")
+    more = materialize(_confirmed(_left_over(at.join(split.select("family"), "family"), split, sets, percent), sets, percent), "mh-link")
+    final = parts if more.isEmpty() else materialize(connected_components(links.unionByName(more), "a", "b"), "mh-part")
+    release(sets, star, family, at)
 
     of_class = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("component_id"))
     of_class = materialize(of_class, "mh-of-class")
@@ -169,6 +144,54 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
+def _left_over(members: DataFrame, split: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of families with several components, the pairs (a, b) that may still be linked.
+
+    C: the shingles that more than half of a family has. A member is C without r of its shingles and with e others, and
+    its difference D is both. For members x, y that share s of their differences, intersection and union are
+    |C| - rx - ry + s and |C| + ex + ey - s, so they are linked exactly if W(x) + W(y) <= (100 - p) |C| + (100 + p) s with
+    W = 100 r + p e. Hence a pair is linked (1) with s = 0, and then both are linked with the member z of least W, or (2)
+    shares s >= (W(x) + W(y) - (100 - p) |C|) / (100 + p) differences, and then one among the |D| - s + 1 rarest ones of
+    each (prefix filter). For (2) members are put in levels of W, so that s is bounded for each pair of levels: the more
+    both differ from the family, the more of it they must share. Independent edits are rare differences, so members
+    that only have the family in common don't meet."""
+    p, q = percent, 100 - percent
+    open_ = materialize(members.join(sets.withColumnRenamed("doc_id", "id"), "id"), "mh-open")
+    count = open_.select("family", F.explode("set").alias("x")).groupBy("family", "x").agg(F.count("*").alias("c"))
+    common = count.join(split, "family").where(F.col("c") * 2 > F.col("m")).groupBy("family").agg(F.collect_list("x").alias("common"))
+    common = materialize(split.join(common, "family", "left").select("family", F.coalesce("common", F.array().cast("array<bigint>")).alias("common")), "mh-common")
+    d = open_.join(common, "family").select("id", "family", "part", F.size("set").alias("n"), F.size("common").alias("c"), F.array_except("common", "set").alias("r"), F.array_except("set", "common").alias("e"))
+    d = d.select("id", "family", "part", "n", "c", F.concat("r", "e").alias("d"), (F.size("r") * 100 + F.size("e") * p).cast("long").alias("w"))
+    d = materialize(d, "mh-delta")
+    release(open_)
+    low = d.groupBy("family").agg(F.min(F.struct("w", "id", "part")).alias("z"), F.max("w").alias("top"), F.max("c").alias("c"))
+    low = materialize(low.select("family", "z", "top", F.greatest(F.col("c") * (q / 4), F.lit(1.0)).alias("unit")), "mh-low")
+    dz = d.drop("d").join(low, "family")
+    star = dz.where((F.col("part") != F.col("z.part")) & (F.col("w") + F.col("z.w") <= F.col("c") * q)).select(F.col("z.id").alias("a"), F.col("id").alias("b"))
+    level = lambda w: F.log2(F.greatest(w, F.lit(0)) / F.col("unit") + 1) * LEVELS
+    rows = d.select("id", "family", "part", "n", "w", "c", F.size("d").alias("m"), F.explode("d").alias("x"))
+    df = materialize(rows.groupBy("family", "x").agg(F.count("*").alias("df"), F.min("part").alias("lo"), F.max("part").alias("hi")), "mh-df")
+    ranked = rows.join(df, ["family", "x"]).withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy("df", "x"))).where("lo < hi")
+    ranked = ranked.join(low.select("family", "top", "unit"), "family")
+    # partners of which level the k-th difference may be needed for, and which can have enough of them
+    most = F.col("c") * q + (F.col("m") - F.col("k") + 1) * (100 + p) - F.col("w")
+    least = (F.col("w") - F.col("c") * q) * (p / 100)
+    ranked = ranked.where(most >= 0).select("family", "x", "id", "part", "n", F.floor(level(F.col("w"))).alias("own"), F.floor(level(least) - 1e-6).alias("from"), F.floor(level(F.least(most, F.col("top"))) + 1e-6).alias("to"))
+    meet = materialize(ranked.where("from <= to").withColumn("other", F.explode(F.sequence("from", "to"))).drop("from", "to"), "mh-meet")
+    release(df)
+    pair_of = lambda lo, hi: [F.least(lo, hi).alias("l1"), F.greatest(lo, hi).alias("l2")]
+    meet = meet.select("family", "x", "id", "part", "n", "own", "other", *pair_of("own", "other"))
+    by = ["family", "x", "l1", "l2"]
+    mixed = materialize(meet.groupBy(*by).agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select(*by), "mh-mixed")
+    meet = materialize(meet.join(mixed, by), "mh-mixed")
+    left = meet.select("family", "x", F.col("own").alias("l1"), F.col("other").alias("l2"), F.col("id").alias("a"), F.col("part").alias("pa"), F.col("n").alias("na"))
+    right = meet.select("family", "x", F.col("other").alias("l1"), F.col("own").alias("l2"), F.col("id").alias("b"), F.col("part").alias("pb"), F.col("n").alias("nb"))
+    pairs = left.join(right, by).where((F.col("a") < F.col("b")) & (F.col("pa") != F.col("pb")) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * p))
+    pairs = materialize(pairs.select("a", "b").unionByName(star).distinct(), "mh-pair")
+    release(d, meet)
+    return pairs
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with a similarity of ``percent`` on their full sets. A set that very many pairs need is on the
     other side of the join, whose hot partition adaptive execution splits."""
@@ -182,4 +205,4 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def drop_near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", **how) -> DataFrame:
     """The rows of ``docs`` of which none with a smaller doc_id is in the same component."""
     kept = near_copies(docs, text, key, **how).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs[key].cast("long") == F.col("_kept_id"), "left_semi")
+    return docs.join(kept, docs[key].cast("long") == kept["_kept_id"], "left_semi")
