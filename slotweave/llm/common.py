@@ -70,6 +70,18 @@ def _remove_all() -> None:
                 return
 
 
+#: Stands for a null id, which comes after all others.
+NO_ID = 2**63 - 1
+
+
+def id_of(key: Column) -> Column:
+    return F.coalesce(key.cast("long"), F.lit(NO_ID))
+
+
+def shown_id(name: str) -> Column:
+    return F.nullif(F.col(name), F.lit(NO_ID)).alias(name)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

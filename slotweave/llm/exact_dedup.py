@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, normalized, partitions
+from .common import id_of, materialize, normalized, partitions, shown_id
 
 #: Bytes of content that a table holds before it is flushed (step 1) or its bucket is split into files (step 2).
 TABLE_BYTES = 48 << 20
@@ -179,18 +179,18 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
 
     Texts are equal when they are after each run of ASCII white space has become one space; a null text is the empty
     one. The smallest doc_id of a group stays. Rows that repeat a doc_id are rows as any other: they count in
-    group_size, and all rows with the kept doc_id are kept. An empty table gives an empty result. Further columns are
+    group_size, and all rows with the kept doc_id are kept; a null doc_id comes after all others. An empty table gives an empty result. Further columns are
     ignored, whatever their names."""
     content = normalized(F.col(text))
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.sha2(content, 256).alias("sha"), content.cast("binary").alias("content"))
+    rows = docs.select(id_of(F.col(key)).alias("doc_id"), F.sha2(content, 256).alias("sha"), content.cast("binary").alias("content"))
     local = materialize(rows.mapInArrow(combine, "doc_id long, sha string, rep long, rep_id long, n long, content binary"), "exact-local")
     n = partitions(docs.sparkSession)
     reps = local.where("rep_id is not null").select("rep", "rep_id", "n", "content").repartition(n, F.xxhash64("content"))
     found = reps.mapInArrow(dedup_bucket, "rep long, keep_id long, group_size long")
-    return local.select("doc_id", "sha", "rep").join(found, "rep").select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
+    return local.select("doc_id", "sha", "rep").join(found, "rep").select(shown_id("doc_id"), shown_id("keep_id"), "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     kept = exact_groups(docs, text, key).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs[key].cast("long") == kept["_kept_id"], "left_semi")
+    return docs.join(kept, docs[key].cast("long").eqNullSafe(kept["_kept_id"]), "left_semi")

@@ -157,7 +157,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, key: str = "vec_id"
     """(query_id, rank, vec_id, score): for each vector whose id is divisible by ``every`` the ``k`` others of highest
     integer inner product, ties to the smaller id.
 
-    Vectors that are null, or hold a null or a non-finite component, take no part; a vector meets only those of its own
+    Vectors that are null or without an id, or hold a null or a non-finite component, take no part; a vector meets only those of its own
     length. Rows that repeat the query's id count as its own; other repeated ids are candidates one by one. With fewer
     than k candidates all are returned, and none for an empty table. Scores are exact below 2**63. Pivots are ``pivots``
     vectors in the order of a hash of their ids, a bounded sample that only decides about speed."""

@@ -292,7 +292,7 @@ def _expected(e: np.ndarray, transition: np.ndarray) -> tuple[np.ndarray, np.nda
 
 # --- Spark ----------------------------------------------------------------------------------------------------------
 def held_out(key: Column) -> Column:
-    return F.crc32(key.cast("string").cast("binary")) % 4 == 2
+    return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def _sample_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

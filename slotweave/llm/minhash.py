@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, gram_hashes, materialize, mix64, release, word_hashes
+from .common import connected_components, gram_hashes, id_of, materialize, mix64, release, shown_id, word_hashes
 
 ROWS, BANDS = 4, 24
 #: Levels of W to a doubling (see _left_over).
@@ -108,11 +108,12 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int
     A text's set: its distinct shingles of ``k`` words, A-Z lower-cased; of fewer words, the whole sequence; without
     words, or null, it is empty and linked with nothing. Two texts are linked when 100 * intersection >= percent * union
     (80 is what the bands are made for; a higher value is as exact). component_id is the smallest doc_id that links
-    reach. Repeated rows and ties fall in one component; of rows that repeat the kept doc_id all are kept. Empty tables
+    reach, a null doc_id coming last. Repeated rows and ties fall in one component; of rows that repeat the kept doc_id all
+    are kept (doc_id is the key: of rows that repeat one with different texts only one text looks for links). Empty tables
     give an empty result; other columns are not looked at."""
     if percent < 80:
         raise ValueError("the bands are made for similarities of 80 % or more")
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    rows = docs.select(id_of(F.col(key)).alias("doc_id"), F.col(text).cast("binary").alias("text"))
     sk = materialize(rows.mapInArrow(_sketch_rows(k), SKETCH), "mh-sketch")
     some = sk.where("n > 0")
     classes = materialize(some.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "mh-class")
@@ -141,7 +142,7 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int
     of_class = materialize(of_class, "mh-of-class")
     out = some.select("doc_id", "n", "h1", "h2").join(of_class, ["h1", "h2"]).select("doc_id", "n", "component_id")
     out = out.unionByName(sk.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return out.select(shown_id("doc_id"), F.col("n").alias("n_shingles"), shown_id("component_id"), (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
 def _left_over(members: DataFrame, split: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -205,4 +206,4 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def drop_near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", **how) -> DataFrame:
     """The rows of ``docs`` of which none with a smaller doc_id is in the same component."""
     kept = near_copies(docs, text, key, **how).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs[key].cast("long") == kept["_kept_id"], "left_semi")
+    return docs.join(kept, docs[key].cast("long").eqNullSafe(kept["_kept_id"]), "left_semi")

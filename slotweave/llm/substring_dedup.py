@@ -186,7 +186,7 @@ def repeated_words(docs: DataFrame, text: str = "text", key: str = "doc_id", win
 
     A word goes if a window that covers it has a word sequence that also starts in a document with a smaller doc_id;
     the windows are those of the input. Words are runs of anything but ASCII white space, compared unchanged; a null
-    text has none, and a text of fewer words than a window loses none. doc_id is the key: a row that repeats one with the
+    text has none, and a text of fewer words than a window, or without a doc_id, loses none. doc_id is the key: a row that repeats one with the
     same text is treated as the same document. Empty tables give an empty result; other columns are not looked at."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     base = materialize(rows.mapInArrow(_base(window), "doc_id long, n_words long, sha string, fps array<long>"), "sub-base")

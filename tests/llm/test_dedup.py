@@ -157,6 +157,16 @@ def test_substrings_empty_and_drop(docs_of):
     assert out.columns == df.columns and {r["doc_id"]: r["text"] for r in out.collect()} == {1: text + "\nend", 2: "p q", 3: "short  one"}
 
 
+def test_rows_without_an_id(docs_of):
+    text = " ".join(WORDS[:70])
+    df = docs_of([(None, text), (3, text), (None, "only here"), (None, None)])
+    exact = sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.exact_groups(df).collect()), key=str)
+    assert exact == sorted([(None, 3, 2, False), (3, 3, 2, True), (None, None, 1, True), (None, None, 1, True)], key=str)
+    near = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_copies(df).collect()), key=str)
+    assert near == sorted([(None, 3, False), (3, 3, True), (None, None, True), (None, None, True)], key=str)
+    assert sorted(r["n_removed"] for r in substring_dedup.repeated_words(df).collect()) == [0, 0, 0, 0]
+
+
 def test_index_compacts(spark):
     index = substring_dedup.FingerprintIndex(spark)
     for k in range(5):
