@@ -42,8 +42,8 @@ class Counter:
             if len(cache) + len(new) > CACHE_UNITS:
                 cache.clear()
                 new = list(dict.fromkeys(pre))
-            for p, e in zip(new, self.encoder.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                cache[p] = len(e.ids)
+            for p, ids in zip(new, self.encoder.encode_units(new), strict=True):
+                cache[p] = len(ids) // 4
         return [cache[p] for p in pre]
 
     def cut(self, text: str) -> list[str]:
