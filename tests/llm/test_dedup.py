@@ -39,9 +39,9 @@ def test_exact(docs_of):
 
 
 def test_exact_drop_keeps_columns(docs_of):
-    df = docs_of([(2, "a"), (1, "a "), (3, "b"), (1, "a ")])
+    df = docs_of([(2, "a  b"), (1, "a b"), (3, "b"), (1, "a\tb")])
     out = exact_dedup.drop_copies(df)
-    assert out.columns == df.columns and sorted(r["doc_id"] for r in out.collect()) == [2, 3] or sorted(r["doc_id"] for r in out.collect()) == [1, 1, 2, 3]
+    assert out.columns == df.columns and sorted(r["doc_id"] for r in out.collect()) == [1, 1, 3]
     assert exact_dedup.drop_copies(df.where("false")).count() == 0
 
 
