@@ -1,14 +1,48 @@
-"""Checkpoints in the folder that the cluster names, or in one of our own where it names none."""
+"""Tables that several parts of a plan read, written once in the folder that the cluster names for checkpoints."""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+_own: dict[int, str] = {}
+_written: list[tuple[int, str]] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; a folder of our own where that is unset, as in tests."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return f"{named.rstrip('/')}/series"
+    key = id(spark.sparkContext)
+    if key not in _own:
+        _own[key] = "file://" + tempfile.mkdtemp(prefix="slotweave-series-")
+    return _own[key]
 
 
 def cut(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table that is read back: what follows prunes its columns, starts from its files when an
+    executor is lost, and knows its size when it chooses joins. Removed at exit."""
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="slotweave-"))
-    return df.checkpoint()
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _written.append((id(spark.sparkContext), path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def _clear() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for context, path in _written:
+        if context == id(spark.sparkContext):
+            try:
+                p = jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(conf).delete(p, True)
+            except Exception:  # noqa: BLE001 - the session may be gone already
+                return

@@ -6,17 +6,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.lineage import cut
 from ..settings import DEFAULT, FIXES, KEYS, Settings
 from . import decisions as D
-from .slots import LOAD, slot_table, with_hourly, with_workday
+from .slots import slot_table, with_hourly, with_workday
 
 
 def final_slots(records: DataFrame, decisions: DataFrame, dates: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Cleaned direction-slots of the days before each counter's latest load (later ones are not final yet).
 
-    ``records`` are in local time and ``decisions`` as ``decision_table`` returns them."""
-    last = records.groupBy("COUNTER_SK").agg(F.max(LOAD).alias("last_load"))
-    s = D.apply(slot_table(records), decisions, records)
+    ``records`` are in local time and ``decisions`` as ``decision_table`` returns them. Records are read twice: for the
+    slot table, which is written and from which all else starts, and for the values of slots with extra records."""
+    table = cut(slot_table(records, latest=True))
+    last = table.groupBy("COUNTER_SK").agg(F.max("latest").alias("last_load"))
+    s = D.apply(table.drop("latest"), decisions, records)
     s = s.join(last, "COUNTER_SK").where("date < last_load")
     s = with_hourly(with_workday(s, dates), settings)
     return s.select(*KEYS, "date", "time", "workday", "records", "raw", "count", "fix", "direction_unreliable", "hourly_binned")

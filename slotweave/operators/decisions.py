@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import half_even, slot_start
+from ..functions.lineage import cut
 from ..settings import ACTIONS, KEYS, NOTES, SLOTS_A_DAY
 from .slots import repeated_values
 
@@ -64,9 +65,13 @@ def mark(slots: DataFrame, where: Column, fix: str, value: Column | None = None)
 
 def apply(slots: DataFrame, decisions: DataFrame, records: DataFrame) -> DataFrame:
     """``slots`` with the decisions applied: adds ``time``, ``count`` (null: missing), ``fix`` and
-    ``direction_unreliable``. Later actions overwrite the mark of earlier ones; what is missing stays missing."""
+    ``direction_unreliable``. Later actions overwrite the mark of earlier ones; what is missing stays missing.
+
+    The filled table is written once: the flags, the usual numbers of records and the slots themselves read it. Give
+    ``slots`` as a table too (``lineage.cut``), as the scope of decisions and the filling read it several times."""
     scope = scoped(decisions, slots)
-    slots = slots.unionByName(filled_slots(scope, slots)).withColumns({"time": slot_start(F.col("date"), F.col("slot")), "count": F.col("raw"), "fix": F.lit(None).cast("string")})
+    slots = cut(slots.unionByName(filled_slots(scope, slots)).withColumn("time", slot_start(F.col("date"), F.col("slot"))))
+    slots = slots.withColumns({"count": F.col("raw"), "fix": F.lit(None).cast("string")})
     dedup = repeated_values(slots, records).select("DIRECTION_SK", "date", "slot", "dedup")
     s = slots.join(flags(scope, slots), ["DIRECTION_SK", "time"], "left").join(dedup, ["DIRECTION_SK", "date", "slot"], "left")
     s = mark(s, F.col("_drop_duplicates") & F.col("dedup").isNotNull(), "drop_duplicates", F.col("dedup"))

@@ -27,17 +27,18 @@ def _within(value, limit: int, what: str):
     return F.when(value <= limit, value).otherwise(F.raise_error(F.concat(F.lit(f"{what} out of range: "), value.cast("string"))).cast("long"))
 
 
-def slot_table(records: DataFrame) -> DataFrame:
+def slot_table(records: DataFrame, latest: bool = False) -> DataFrame:
     """A row for each direction-slot: ``raw``, the sum over all loads; ``records`` and ``load`` of the load that counted
-    most, the earlier of two alike.
+    most, the earlier of two alike. ``latest`` adds the slot's last load of any.
 
     One exchange serves both aggregations, and what follows by direction and day: a direction-day has 96 slots at most,
     so none is hot, and a slot rarely has enough records for a combine before the exchange to pay."""
     dealt = records.select(*KEYS, "date", "slot", F.col(LOAD).alias("load"), F.col(COUNT).cast("long").alias("n")).repartition("DIRECTION_SK", "date")
     per_load = dealt.groupBy(*KEYS, "date", "slot", "load").agg(F.sum("n").alias("n"), F.count("*").alias("records"))
     main = F.min_by(F.struct("records", "load"), F.struct((-F.col("n")).alias("n"), F.col("load")))
-    out = per_load.groupBy(*KEYS, "date", "slot").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("raw"), main.alias("main"))
-    return out.select(*KEYS, "date", "slot", _within(F.col("raw"), 65535, "raw count").cast("int").alias("raw"), _within(F.col("main.records"), 255, "number of records").cast("smallint").alias("records"), F.col("main.load").alias("load"))
+    out = per_load.groupBy(*KEYS, "date", "slot").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("raw"), main.alias("main"), F.max("load").alias("latest"))
+    out = out.select(*KEYS, "date", "slot", _within(F.col("raw"), 65535, "raw count").cast("int").alias("raw"), _within(F.col("main.records"), 255, "number of records").cast("smallint").alias("records"), F.col("main.load").alias("load"), "latest")
+    return out if latest else out.drop("latest")
 
 
 def usual_records(slots: DataFrame) -> DataFrame:
@@ -60,12 +61,8 @@ def repeated_values(slots: DataFrame, records: DataFrame) -> DataFrame:
     return slot.select("DIRECTION_SK", "date", "slot", (F.col("total") - F.col("dropped")).alias("dedup"), "dropped", (F.size("twice") >= F.col("excess")).alias("matched"))
 
 
-def hourly_binned(slots: DataFrame) -> DataFrame:
-    """Adds whether the direction-day has its non-zero slots, enough of them, all on one quarter of the hour."""
-    return with_hourly(slots, DEFAULT)
-
-
 def with_hourly(slots: DataFrame, settings: Settings = DEFAULT, slot: str = "slot", raw: str = "raw") -> DataFrame:
+    """Adds whether the direction-day has its non-zero slots, enough of them, all on one quarter of the hour."""
     w = Window.partitionBy("DIRECTION_SK", "date")
     some = F.when(F.col(raw) > 0, F.col(slot) % 4)
     enough = F.count(some).over(w) >= settings.hourly_min_nonzero

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import date_from_sk, days, half_even, slot_from_label, slot_label, with_run
+from ..functions.lineage import cut
 from ..operators import audit, cleaning, compare, decisions, faults, series, slots, views
 from ..settings import KEYS, Settings
 from ..sources import fixture as X
@@ -51,7 +52,7 @@ def _dec(spark: SparkSession, rows: list | None = None) -> DataFrame:
 
 def _applied(spark: SparkSession, d: str) -> DataFrame:
     r = _records(spark, d)
-    return decisions.apply(slots.slot_table(r), _dec(spark), r)
+    return decisions.apply(cut(slots.slot_table(r)), _dec(spark), r)
 
 
 def _final(spark: SparkSession, d: str, rows: list | None = None) -> DataFrame:
@@ -113,7 +114,7 @@ def decision_table(spark, d):
 
 @register("SELECT SITE_SK, COUNTER_SK, DIRECTION_SK, date, slot FROM capplied a WHERE NOT EXISTS (SELECT 1 FROM slots x WHERE x.DIRECTION_SK = a.DIRECTION_SK AND x.date = a.date AND x.slot = a.slot)", "clean")
 def zero_fill(spark, d):
-    s = slots.slot_table(_records(spark, d))
+    s = cut(slots.slot_table(_records(spark, d)))
     return decisions.filled_slots(decisions.scoped(_dec(spark), s), s).select(*KEYS, "date", "slot")
 
 
@@ -182,7 +183,7 @@ def series_parts(spark, d):
 
 @register("SELECT SITE_SK, series, week, bikes, complete_days, direction_unreliable FROM wk", "series")
 def weekly_series(spark, d):
-    f = _final(spark, d)
+    f = cut(_final(spark, d))
     return series.weekly_series(f, _parts(spark, f))
 
 
@@ -380,7 +381,7 @@ def fix_diff(spark, d):
 
 @register("SELECT (SELECT CAST(coalesce(sum(raw), 0) AS BIGINT) FROM cfinal WHERE count IS NULL) AS missing_raw_bikes, count(*) AS series_weeks, CAST(coalesce(sum(bikes), 0) AS BIGINT) AS bikes, count(CASE WHEN complete_days = 7 THEN 1 END) AS full_weeks FROM wk", "series")
 def verdict_totals(spark, d):
-    f = _final(spark, d)
+    f = cut(_final(spark, d))
     return compare.totals(f, series.weekly_series(f, _parts(spark, f)))
 
 
@@ -388,7 +389,7 @@ def verdict_totals(spark, d):
   WHERE abs(d_weeks) >= 4 OR abs(mean_ratio - 1) >= 0.02 OR mean_ratio IS NULL""", "old",
           more=O.parts("v", "ofinal", []) + ", " + O.weekly("wo", "ofinal", "vparts") + ", " + O.weekly("wn", "cfinal", "vparts") + f", fa AS (SELECT SITE_SK, series, count(*) AS weeks, {O.he('avg(bikes)')} AS mean FROM wo WHERE complete_days = 7 GROUP BY ALL), fb AS (SELECT SITE_SK, series, count(*) AS weeks, {O.he('avg(bikes)')} AS mean FROM wn WHERE complete_days = 7 GROUP BY ALL)")
 def weekly_diff(spark, d):
-    return compare.weekly_diff(_final(spark, d, X.OLD_DECISIONS), _final(spark, d), X.directions(spark), X.counters(spark))
+    return compare.weekly_diff(cut(_final(spark, d, X.OLD_DECISIONS)), cut(_final(spark, d)), X.directions(spark), X.counters(spark))
 
 
 @register("SELECT 1 AS SITE_SK, 'North joined' AS series, 'only new' AS state, true AS joined")
@@ -430,7 +431,7 @@ def flag_swap(spark, d):
 
 @register("SELECT SITE_SK, series, median(bikes) AS median, count(CASE WHEN bikes = 0 THEN 1 END) AS zero_weeks FROM (SELECT SITE_SK, series, CASE WHEN week = DATE '2024-01-08' THEN 0 ELSE bikes END AS bikes FROM wk WHERE complete_days = 7) GROUP BY ALL HAVING median(bikes) >= 50 AND count(CASE WHEN bikes = 0 THEN 1 END) > 0", "series")
 def zero_weeks(spark, d):
-    f = _final(spark, d)
+    f = cut(_final(spark, d))
     w = series.weekly_series(f, _parts(spark, f))
     return compare.zero_weeks(w.withColumn("bikes", F.when(F.col("week") == "2024-01-08", F.lit(0)).otherwise(F.col("bikes"))))
 

@@ -51,21 +51,33 @@ FROM {events}
 """
 
 
+def _table(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """Literal rows with a size that the optimizer knows, so that it can broadcast them."""
+    names, kinds = zip(*((c.rpartition(" ")[0], c.rpartition(" ")[2]) for c in columns.split(", ")), strict=True)
+    cell = lambda v: "NULL" if v is None else str(v) if isinstance(v, int | float) else "'" + v.replace("'", "\\'") + "'"
+    places = [f"c{i}" for i in range(len(names))]
+    if not rows:
+        return spark.sql("SELECT " + ", ".join(f"CAST(NULL AS {k}) AS {n}" for n, k in zip(names, kinds, strict=True)) + " WHERE false")
+    body = ", ".join("(" + ", ".join(map(cell, r)) + ")" for r in rows)
+    picked = ", ".join(f"CAST({p} AS {k}) AS {n}" for p, n, k in zip(places, names, kinds, strict=True))
+    return spark.sql(f"SELECT {picked} FROM VALUES {body} AS t({', '.join(places)})")
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records, before any shift of time."""
     return spark.sql(RECORDS, events=spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def counters(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(COUNTERS, "COUNTER_SK smallint, `Counter ID` string, Technology string, `Vendor name` string")
+    return _table(spark, COUNTERS, "COUNTER_SK smallint, `Counter ID` string, Technology string, `Vendor name` string")
 
 
 def directions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DIRECTIONS, "DIRECTION_SK smallint, `Orientation description` string, `Location in/out` string")
+    return _table(spark, DIRECTIONS, "DIRECTION_SK smallint, `Orientation description` string, `Location in/out` string")
 
 
 def sites(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SITES, "SITE_SK smallint, `Site name` string, `Site latitude` double, `Site longitude` double")
+    return _table(spark, SITES, "SITE_SK smallint, `Site name` string, `Site latitude` double, `Site longitude` double")
 
 
 def dates(spark: SparkSession) -> DataFrame:
@@ -80,13 +92,13 @@ def dates(spark: SparkSession) -> DataFrame:
 
 
 def weather(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(WEATHER, "date string, rain_mm_to_9am double, max_temp_c double").withColumn("date", F.col("date").cast("date"))
+    return _table(spark, WEATHER, "date string, rain_mm_to_9am double, max_temp_c double").withColumn("date", F.col("date").cast("date"))
 
 
 def decisions(spark: SparkSession, rows: list | None = None) -> DataFrame:
-    return spark.createDataFrame(DECISIONS if rows is None else rows, _DECISION)
+    return _table(spark, DECISIONS if rows is None else rows, _DECISION)
 
 
 def parts(spark: SparkSession) -> DataFrame:
-    p = spark.createDataFrame(PARTS, "SITE_SK smallint, series string, COUNTER_SK smallint, DIRECTION_SK smallint, start string, end string")
+    p = _table(spark, PARTS, "SITE_SK smallint, series string, COUNTER_SK smallint, DIRECTION_SK smallint, start string, end string")
     return p.withColumns({"start": F.col("start").cast("date"), "end": F.col("end").cast("date")})
