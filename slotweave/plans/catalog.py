@@ -392,7 +392,7 @@ def weekly_diff(spark, d):
     return compare.weekly_diff(cut(_final(spark, d, X.OLD_DECISIONS)), cut(_final(spark, d)), X.directions(spark), X.counters(spark))
 
 
-@register("SELECT 1 AS SITE_SK, 'North joined' AS series, 'only new' AS state, true AS joined")
+@register("SELECT CAST(1 AS SMALLINT) AS SITE_SK, 'North joined' AS series, 'only new' AS state, true AS joined")
 def series_diff(spark, d):
     return compare.series_diff(_none(spark), X.parts(spark))
 
@@ -530,7 +530,7 @@ def shape_shares(spark, d):
 
 
 # --- primitives that no query above shows alone ---------------------------------------------------------------------
-@register(f"SELECT DIRECTION_SK, run, min(date) AS start, max(date) AS \"end\", count(*) AS days FROM xr GROUP BY DIRECTION_SK, run", more="xd AS (SELECT DISTINCT DIRECTION_SK, date FROM s WHERE count >= 9), " + O.runs("xr", "xd", "DIRECTION_SK", "date", "1"))
+@register(f"SELECT DIRECTION_SK, CAST(run AS BIGINT) AS run, min(date) AS start, max(date) AS \"end\", count(*) AS days FROM xr GROUP BY DIRECTION_SK, run", more="xd AS (SELECT DISTINCT DIRECTION_SK, date FROM s WHERE count >= 9), " + O.runs("xr", "xd", "DIRECTION_SK", "date", "1"))
 def busy_runs(spark, d):
     x = _s(spark, d).where("count >= 9").select("DIRECTION_SK", "date").distinct()
     return with_run(x, ["DIRECTION_SK"], "date", days(1)).groupBy("DIRECTION_SK", "run").agg(F.min("date").alias("start"), F.max("date").alias("end"), F.count("*").alias("days"))
