@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64
+from .common import materialize, mix64
 
 #: Expected number of sampled training documents of each language, and consecutive words taken of each, from a hashed place.
 SAMPLE_DOCS, SAMPLE_WORDS = 300, 150
@@ -310,9 +310,11 @@ def _sample_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def learn(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "lang", sample: int = SAMPLE_DOCS) -> Model | None:
     """A model from the rows of ``docs`` (all of them may be learned from) with a language; None if there is none."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("lang is not null and text is not null")
-    n = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    n = materialize(rows.groupBy("lang").agg(F.count("*").alias("n")), "lang-count")
     place = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(1 << 40)) / float(1 << 40)
-    chosen = rows.join(n, "lang").where(place < F.lit(float(sample)) / F.col("n")).select("doc_id", "text", "lang")
+    # ids are drawn without the texts; the tables are small and of known size, so that texts stay where they are
+    ids = rows.select("doc_id", "lang").join(n, "lang").where(place < F.lit(float(sample)) / F.col("n")).select("doc_id").distinct()
+    chosen = rows.join(materialize(ids, "lang-sample"), "doc_id").select("doc_id", "text", "lang")
     got = chosen.mapInArrow(_sample_words, "lang string, words array<string>").collect()
     return train(sorted((r["lang"], list(r["words"])) for r in got))
 
