@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
 
@@ -70,6 +71,15 @@ def _remove_all() -> None:
                 return
 
 
+def reachable(spark: SparkSession) -> None:
+    """Lets Python workers import this package where they start in another folder than the driver found it in. (On a
+    cluster that doesn't have it at the same place it is shipped as any package, by --py-files.)"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    told = spark.sparkContext.environment
+    if root not in (paths := told.get("PYTHONPATH", "").split(os.pathsep)):
+        told["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 #: Stands for a null id, which comes after all others.
 NO_ID = 2**63 - 1
 
