@@ -75,23 +75,26 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 300, floor: np.ndarray | None = None) -> np.ndarray:
-    """Weights by accelerated gradient steps, L2 on all but the first (the constant); not below ``floor``."""
-    reg = np.full(x.shape[1], l2)
+def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 200, floor: np.ndarray | None = None, start: np.ndarray | None = None) -> np.ndarray:
+    """Weights by accelerated gradient steps, L2 on all but the first (the constant); not below ``floor``. All in the
+    type of ``x``: a mixed product would copy the matrix at each step."""
+    kind = x.dtype
+    reg = np.full(x.shape[1], l2, kind)
     reg[0] = 1e-6
-    v = np.ones(x.shape[1])
+    v = np.ones(x.shape[1], kind)
     for _ in range(15):
         v = x.T @ (x @ v)
         v /= np.linalg.norm(v)
-    top = 0.25 * float(v @ (x.T @ (x @ v))) * 1.05 + l2
-    w = u = np.zeros(x.shape[1])
+    top = kind.type(0.25 * float(v @ (x.T @ (x @ v))) * 1.05 + l2)
+    y = y.astype(kind)
+    w = u = np.zeros(x.shape[1], kind) if start is None else start.astype(kind)
     t = 1.0
     for _ in range(steps):
         new = u - (x.T @ (sigmoid(x @ u) - y) + reg * u) / top
         if floor is not None:
-            new = np.maximum(new, floor)
+            new = np.maximum(new, floor.astype(kind))
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        u = new + (t - 1) / t2 * (new - w)
+        u = new + kind.type((t - 1) / t2) * (new - w)
         w, t = new, t2
     return w
 
@@ -117,11 +120,11 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, fold: np.ndarray
     share = y[train].mean()
     weights: list[np.ndarray] = []
     for r in range(ROUNDS + 1):
-        weights = []
+        before, weights = weights, []
         for v in range(2):
             rows, labels = extra[v]
             x = np.concatenate([views[v][train], pools[v][rows]]) if rows else views[v][train]
-            weights.append(logistic(x, np.concatenate([y[train], labels]) if rows else y[train]))
+            weights.append(logistic(x, np.concatenate([y[train], labels]) if rows else y[train], steps=60 if before else 200, start=before[v] if before else None))
         if r == ROUNDS or not free.any():
             break
         for v in range(2):
