@@ -1,8 +1,9 @@
 """URL filters: rules on host and path, and trust that flows over the links between hosts.
 
 Pages that a rule judges are seeds. Trust is personalised PageRank along links from hosts with allowed pages, distrust
-runs against links from hosts with blocked ones; a host whose distrust outweighs its trust is blocked. DataFrame
-operations only."""
+runs against links from hosts with blocked ones; a host whose distrust outweighs its trust is blocked. Ranks are in units
+of a seed: a host has the share of its pages that are judged in full, whether it has links or not, and each link between
+two hosts hands on DAMPING of a rank. A host's links to itself carry nothing. DataFrame operations only."""
 
 from __future__ import annotations
 
@@ -54,7 +55,7 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
     p = p.withColumn("hit", rule_of(F.col("host"), F.col("path"), rules))
     part = lambda v: F.avg((F.coalesce(F.col("hit.verdict"), F.lit("")) == v).cast("double"))
     seeds = p.where("host <> ''").groupBy("host").agg(part("allow").alias("trust0"), part("block").alias("distrust0"))
-    edges = materialize(host_edges(p), "url-edges")
+    edges = materialize(host_edges(p).where("src <> dst"), "url-edges")
     out = edges.groupBy("src").agg(F.sum("n").alias("out_n"))
     into = edges.groupBy("dst").agg(F.sum("n").alias("in_n"))
     edges = materialize(edges.join(out, "src").join(into, "dst").select("src", "dst", (F.col("n") / F.col("out_n")).alias("forth"), (F.col("n") / F.col("in_n")).alias("back")), "url-edges")
@@ -65,7 +66,7 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
         forth = edges.join(state.select(F.col("host").alias("src"), "trust"), "src").select(F.col("dst").alias("host"), (F.col("trust") * F.col("forth")).alias("t"), F.lit(0.0).alias("d"))
         back = edges.join(state.select(F.col("host").alias("dst"), "distrust"), "dst").select(F.col("src").alias("host"), F.lit(0.0).alias("t"), (F.col("distrust") * F.col("back")).alias("d"))
         flow = forth.unionByName(back).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
-        damped = lambda seed, got: F.col(seed) * (1 - DAMPING) + F.coalesce(F.col(got), F.lit(0.0)) * DAMPING
+        damped = lambda seed, got: F.col(seed) + F.coalesce(F.col(got), F.lit(0.0)) * DAMPING
         new = materialize(hosts.join(flow, "host", "left").select("host", damped("trust0", "t").alias("trust"), damped("distrust0", "d").alias("distrust")), "url-state")
         release(state)
         state = new

@@ -171,6 +171,21 @@ def test_distrust_runs_against_links(spark):
     assert r[10]["distrust"] > r[11]["distrust"] > 0 == r[10]["trust"]
 
 
+def test_verdict_of_a_feeder(spark):
+    bad = '<a href="http://bad.com/">'
+    rows = [(k, f"http://bad.com/en/{k}", '<a href="/own">') for k in range(5)] + [(10, "http://feeder.xyz/", bad + '<a href="/own"><a href="/own2">')]
+    rows += [(20 + k, f"http://most.com/{'en' if k else 'fr'}/{k}", "") for k in range(10)] + [(30 + k, f"http://few.com/{'fr' if k else 'en'}/{k}", "") for k in range(10)]
+    rows += [(40, "http://trusted.net/de/", '<a href="http://liked.xyz/">'), (41, "http://liked.xyz/", ""), (42, "http://alone.xyz/", '<a href="/own">')]
+    # hosts of which each is one linker of many
+    rows += [(50, "http://hub.com/en/", "")] + [(60 + k, f"http://fan{k}.xyz/", '<a href="http://hub.com/">') for k in range(10)]
+    r = {x["page_id"]: x for x in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert r[10]["verdict"] == "block" and r[10]["distrust"] == pytest.approx(0.85) and r[10]["rule"] is None
+    assert r[20]["verdict"] == "block" and r[20]["distrust"] == pytest.approx(0.9) and r[20]["rule"] is None
+    assert r[31]["verdict"] == "allow" and r[31]["distrust"] == pytest.approx(0.1)
+    assert r[41]["verdict"] == "allow" and r[41]["trust"] == pytest.approx(0.85)
+    assert r[42]["verdict"] == "allow" and r[42]["distrust"] == 0 and {r[60 + k]["verdict"] for k in range(10)} == {"allow"}
+
+
 # --- search ---------------------------------------------------------------------------------------------------------
 def knn_by_force(rows, k, every):
     ok = [(i, [int(np.floor(1024 * float(np.float32(x)))) for x in v]) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
