@@ -5,7 +5,8 @@ round t + j to coordinate j; a coordinate keeps the least value it saw, and roun
 coordinate fills (after 2t rounds at most), one round does for sets much larger than t, and the share of equal
 coordinates is concentrated around the Jaccard similarity.
 
-Rows of equal shingle sets form a class, and only one of a class goes on. Sketches are cut to bands; classes that share
+Rows of equal shingle sets form a class, which has a number of its own, and one text of each class goes on: rows that
+repeat a doc_id with different texts, or have none, are searched like all others. Sketches are cut to bands; classes that share
 a band are candidates, and what bands connect is a family. Nothing is capped and no group is expanded into all its
 pairs: each member is first confirmed, on the full sets, against the smallest one of its buckets, which settles most
 families; in the others the pairs that may still be linked are found exactly by what members differ in from their family
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import connected_components, gram_hashes, id_of, materialize, mix64, release, shown_id, word_hashes
@@ -63,7 +64,12 @@ def band_keys(s: np.ndarray) -> np.ndarray:
     return h
 
 
-SKETCH = "doc_id long, n long, h1 long, h2 long, bands array<long>"
+def digest(h: np.ndarray) -> tuple[int, int]:
+    d = xxhash.xxh3_128_digest(h.tobytes())
+    return int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)
+
+
+SKETCH = "doc_id long, t long, n long, h1 long, h2 long, bands array<long>"
 
 
 def _sketch_rows(k: int):
@@ -72,32 +78,39 @@ def _sketch_rows(k: int):
             for at in range(0, whole.num_rows, 2000):
                 b = whole.slice(at, 2000)
                 n, h1, h2, bands, off = [], [], [], [], [0]
-                for text in b.column(1).to_pylist():
+                for text in b.column(2).to_pylist():
                     h = shingles(text, k)
                     n.append(len(h))
-                    d = xxhash.xxh3_128_digest(h.tobytes())
-                    h1.append(int.from_bytes(d[:8], "big", signed=True))
-                    h2.append(int.from_bytes(d[8:], "big", signed=True))
+                    x, y = digest(h)
+                    h1.append(x)
+                    h2.append(y)
                     if len(h):
                         bands.append(band_keys(sketch(h)))
                     off.append(len(bands) * BANDS)
                 flat = np.concatenate(bands).view(np.int64) if bands else np.empty(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat))],
-                    names=["doc_id", "n", "h1", "h2", "bands"],
+                    [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat))],
+                    names=["doc_id", "t", "n", "h1", "h2", "bands"],
                 )
 
     return rows
 
 
 def _set_rows(k: int):
+    """(id, h1, h2, text) -> (id, set) of the texts whose set has the digest (h1, h2)."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 b = whole.slice(at, 1000)
-                sets = [shingles(x, k) for x in b.column(1).to_pylist()]
-                off = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(sets).view(np.int64)))], names=["doc_id", "set"])
+                ids, sets = [], [np.empty(0, np.uint64)]
+                for i, h1, h2, text in zip(*(b.column(c).to_pylist() for c in range(4)), strict=True):
+                    h = shingles(text, k)
+                    if digest(h) == (h1, h2):
+                        ids.append(i)
+                        sets.append(h)
+                off = np.cumsum([len(x) for x in sets]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(sets).view(np.int64)))], names=["id", "set"])
 
     return rows
 
@@ -109,24 +122,43 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int
     words, or null, it is empty and linked with nothing. Two texts are linked when 100 * intersection >= percent * union
     (80 is what the bands are made for; a higher value is as exact). component_id is the smallest doc_id that links
     reach, a null doc_id coming last. Repeated rows and ties fall in one component; of rows that repeat the kept doc_id all
-    are kept (doc_id is the key: of rows that repeat one with different texts only one text looks for links). Empty tables
-    give an empty result; other columns are not looked at."""
+    are kept. Rows that repeat a doc_id with different texts, or have none, look for links each with its own text. Empty
+    tables give an empty result; other columns are not looked at."""
+    out = _searched(docs, text, key, k, percent)
+    return out.select(shown_id("doc_id"), F.col("n").alias("n_shingles"), shown_id("component_id"), (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+def _rows(docs: DataFrame, text: str, key: str) -> tuple[Column, Column]:
+    """What tells rows apart: the doc_id and a hash of the text."""
+    return id_of(docs[key]), F.xxhash64(docs[text].cast("binary"))
+
+
+def _searched(docs: DataFrame, text: str, key: str, k: int, percent: int) -> DataFrame:
+    """(doc_id, t, n, component_id), NO_ID for null."""
     if percent < 80:
         raise ValueError("the bands are made for similarities of 80 % or more")
-    rows = docs.select(id_of(F.col(key)).alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    doc_id, t = _rows(docs, text, key)
+    rows = docs.select(doc_id.alias("doc_id"), t.alias("t"), docs[text].cast("binary").alias("text"))
     sk = materialize(rows.mapInArrow(_sketch_rows(k), SKETCH), "mh-sketch")
     some = sk.where("n > 0")
-    classes = materialize(some.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "mh-class")
-    reps = some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    banded = materialize(reps.select("doc_id", "n", F.explode("bands").alias("band")), "mh-banded")
-    buckets = banded.groupBy("band").agg(F.min(F.struct("doc_id", "n")).alias("low"), F.count("*").alias("size")).where("size > 1")
-    buckets = materialize(buckets.select("band", F.col("low.doc_id").alias("low"), F.col("low.n").alias("low_n")), "mh-bucket")
+    classes = some.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"), F.min_by("t", "doc_id").alias("t"))
+    found = materialize(classes, "mh-class")
+    # numbers in the order of doc_ids: stars have the first text of a family in the middle
+    classes = materialize(found.orderBy("doc_id", "t").withColumn("id", F.monotonically_increasing_id()), "mh-class")
+    release(found)
+    one = ["doc_id", "t", "h1", "h2"]
+    reps = some.join(classes, one).dropDuplicates(one)
+    banded = materialize(reps.select("id", "n", F.explode("bands").alias("band")), "mh-banded")
+    buckets = banded.groupBy("band").agg(F.min(F.struct("id", "n")).alias("low"), F.count("*").alias("size")).where("size > 1")
+    buckets = materialize(buckets.select("band", F.col("low.id").alias("low"), F.col("low.n").alias("low_n")), "mh-bucket")
     shared = materialize(banded.join(buckets, "band"), "mh-shared")
     release(banded)
-    member = shared.select("doc_id").distinct()
-    sets = materialize(rows.join(member, "doc_id", "left_semi").mapInArrow(_set_rows(k), "doc_id long, set array<long>").dropDuplicates(["doc_id"]), "mh-set")
+    member = materialize(classes.join(shared.select("id").distinct(), "id", "left_semi"), "mh-member")
+    # large tables are never broadcast here, so small ones aren't either
+    sets = rows.join(member.hint("merge"), ["doc_id", "t"]).select("id", "h1", "h2", "text").mapInArrow(_set_rows(k), "id long, set array<long>")
+    sets = materialize(sets.dropDuplicates(["id"]), "mh-set")
 
-    star = materialize(shared.where("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("low_n").alias("na")).distinct(), "mh-star")
+    star = materialize(shared.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("low_n").alias("na")).distinct(), "mh-star")
     release(shared)
     first = star.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).groupBy("b").agg(F.min("a").alias("a"))
     links = materialize(_confirmed(first, sets, percent), "mh-link")
@@ -138,11 +170,11 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int
     final = parts if more.isEmpty() else materialize(connected_components(links.unionByName(more), "a", "b"), "mh-part")
     release(sets, star, family, at)
 
-    of_class = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("component_id"))
-    of_class = materialize(of_class, "mh-of-class")
-    out = some.select("doc_id", "n", "h1", "h2").join(of_class, ["h1", "h2"]).select("doc_id", "n", "component_id")
-    out = out.unionByName(sk.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
-    return out.select(shown_id("doc_id"), F.col("n").alias("n_shingles"), shown_id("component_id"), (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    of_class = materialize(classes.join(final, "id", "left").select("h1", "h2", "doc_id", F.coalesce("component", "id").alias("component")), "mh-of-class")
+    low = materialize(of_class.groupBy("component").agg(F.min("doc_id").alias("component_id")), "mh-low")
+    of_class = materialize(of_class.join(low, "component").select("h1", "h2", "component_id"), "mh-of-class")
+    out = some.select("doc_id", "t", "n", "h1", "h2").join(of_class, ["h1", "h2"]).select("doc_id", "t", "n", "component_id")
+    return out.unionByName(sk.where("n = 0").select("doc_id", "t", "n", F.col("doc_id").alias("component_id")))
 
 
 def _left_over(members: DataFrame, split: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -157,7 +189,7 @@ def _left_over(members: DataFrame, split: DataFrame, sets: DataFrame, percent: i
     both differ from the family, the more of it they must share. Independent edits are rare differences, so members
     that only have the family in common don't meet."""
     p, q = percent, 100 - percent
-    open_ = materialize(members.join(sets.withColumnRenamed("doc_id", "id"), "id"), "mh-open")
+    open_ = materialize(members.join(sets, "id"), "mh-open")
     count = open_.select("family", F.explode("set").alias("x")).groupBy("family", "x").agg(F.count("*").alias("c"))
     common = count.join(split, "family").where(F.col("c") * 2 > F.col("m")).groupBy("family").agg(F.collect_list("x").alias("common"))
     common = materialize(split.join(common, "family", "left").select("family", F.coalesce("common", F.array().cast("array<bigint>")).alias("common")), "mh-common")
@@ -196,14 +228,15 @@ def _left_over(members: DataFrame, split: DataFrame, sets: DataFrame, percent: i
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with a similarity of ``percent`` on their full sets. A set that very many pairs need is on the
     other side of the join, whose hot partition adaptive execution splits."""
-    x = materialize(pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")), "b"), "mh-pair-set")
-    y = x.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("sa")), "a")
+    x = materialize(pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b"), "mh-pair-set")
+    y = x.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
     inter = F.size(F.array_intersect("sa", "sb"))
     y = y.select("a", "b", inter.alias("i"), (F.size("sa") + F.size("sb")).alias("n"))
     return y.where(F.col("i") * 100 >= (F.col("n") - F.col("i")) * percent).select("a", "b")
 
 
-def drop_near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", **how) -> DataFrame:
+def drop_near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` of which none with a smaller doc_id is in the same component."""
-    kept = near_copies(docs, text, key, **how).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs[key].cast("long").eqNullSafe(kept["_kept_id"]), "left_semi")
+    kept = _searched(docs, text, key, k, percent).where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id"), F.col("t").alias("_kept_t")).distinct()
+    doc_id, t = _rows(docs, text, key)
+    return docs.join(kept, (doc_id == kept["_kept_id"]) & (t == kept["_kept_t"]), "left_semi")

@@ -100,6 +100,26 @@ def test_near_empty_and_drop(docs_of):
     assert out.columns == df.columns and sorted(r["doc_id"] for r in out.collect()) == [4, 7, 8]
 
 
+def test_near_with_ids_that_repeat(docs_of):
+    r = random.Random(11)
+    texts = [t for _ in range(6) for t in family(r, 12, 60, [0, 0.005, 0.02])]
+    r.shuffle(texts)
+    rows = [(r.choice([None, None, 7, 8, 100 + i]), t) for i, t in enumerate(texts)]
+    rows += [(5, "p q r s t u v w x y"), (None, "P q r s t u v w x y"), (None, "nothing like the others is in here"), (9, "one text of nine"), (9, "another text that has the id nine")]
+    force = near_by_force(list(enumerate(t for _, t in rows)), 5)
+    low = {}
+    for i, (d, _) in enumerate(rows):
+        c = force[i][1]
+        low[c] = min(low.get(c, common.NO_ID), common.NO_ID if d is None else d)
+    want = [(d, force[i][0], None if (c := low[force[i][1]]) == common.NO_ID else c) for i, (d, _) in enumerate(rows)]
+    df = docs_of(rows)
+    got = minhash.near_copies(df).collect()
+    assert sorted(((x["doc_id"], x["n_shingles"], x["component_id"]) for x in got), key=str) == sorted(want, key=str)
+    assert all(x["kept"] == (x["doc_id"] == x["component_id"]) for x in got)
+    stay = [row for row, w in zip(rows, want, strict=True) if w[0] == w[2]]
+    assert sorted(((x["doc_id"], x["text"]) for x in minhash.drop_near_copies(df).collect()), key=str) == sorted(stay, key=str)
+
+
 def test_sketch_fills_and_estimates():
     import numpy as np
 
