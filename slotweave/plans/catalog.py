@@ -360,7 +360,7 @@ def spikes(spark, d):
 @register("SELECT SITE_SK, COUNTER_SK, DIRECTION_SK, min(week) AS start, max(week) + 6 AS \"end\", count(*) AS weeks, CAST(sum(slots) AS BIGINT) AS slots FROM ar GROUP BY SITE_SK, COUNTER_SK, DIRECTION_SK, run",
           more=f"aw AS (SELECT s.SITE_SK, s.COUNTER_SK, s.DIRECTION_SK, {O.week()} AS week, count(*) AS slots FROM s JOIN counters c ON s.COUNTER_SK = c.COUNTER_SK AND c.technology = 'CAMERA' WHERE slot = 36 GROUP BY ALL HAVING count(CASE WHEN count = 0 THEN 1 END) = 0), " + O.runs("ar", "aw", "DIRECTION_SK", "week", "7"))
 def absent_zeros(spark, d):
-    return faults.absent_zeros(_s(spark, d).where("slot = 36"), X.counters(spark))
+    return faults.absent_zeros(_s(spark, d), X.counters(spark))
 
 
 # --- comparison of decisions ----------------------------------------------------------------------------------------

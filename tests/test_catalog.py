@@ -35,3 +35,12 @@ def test_query(spark, duck, name):
     assert sorted(names) == cols
     norm = lambda v: str(plain(float(v) if isinstance(v, float) else v))
     assert sorted(str([norm(r[c]) for c in cols]) for r in got.collect()) == want
+
+
+def test_absent_zeros_looks_at_every_slot(spark, monkeypatch):
+    day = lambda direction, date, zero: [(4, 102, direction, date, k, 0 if k == zero else 3) for k in range(96)]
+    rows = day(40, "2024-01-02", 50) + day(40, "2024-01-09", None) + day(41, "2024-01-02", 36)
+    s = spark.createDataFrame(rows, "SITE_SK short, COUNTER_SK int, DIRECTION_SK int, date string, slot int, count int")
+    monkeypatch.setattr(catalog, "_s", lambda spark, d: s.withColumn("date", s["date"].cast("date")))
+    got = [(r["DIRECTION_SK"], str(r["start"]), str(r["end"]), r["weeks"], r["slots"]) for r in catalog.queries()["absent_zeros"](spark, DATA).collect()]
+    assert got == [(40, "2024-01-08", "2024-01-14", 1, 96)]
