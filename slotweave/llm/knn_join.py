@@ -63,7 +63,8 @@ def _cells(pivots: dict[int, np.ndarray]):
 
 
 def _routes(pivots: dict[int, np.ndarray], summary: list[tuple], blocks: dict[tuple[int, int], int], k: int, groups: int):
-    """(id, v) of queries -> a row for each block that it has to meet, with the rings of it."""
+    """(id, v, own) of queries -> a row for each block that it has to meet, with the rings of it. own: the vectors that
+    have the query's id, which are none of its candidates."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -81,7 +82,8 @@ def _routes(pivots: dict[int, np.ndarray], summary: list[tuple], blocks: dict[tu
                 slack = 1e-9 * (np.abs(mid) + reach) + 1e-6
                 low, high = np.maximum(mid - reach, -size * nmax) - slack, np.minimum(mid + reach, size * nmax) + slack
                 order = np.argsort(-low, axis=1, kind="stable")
-                enough = np.cumsum(count[order], axis=1) > k  # one more than k: the query's own vector may be among them
+                mine = np.asarray(b.column(2))[:, None]
+                enough = np.cumsum(count[order], axis=1) >= k + mine  # all that have the query's id may be among them
                 first = np.where(enough.any(axis=1), enough.argmax(axis=1), -1)
                 floor = np.where(first < 0, -np.inf, low[np.arange(len(q)), order[np.arange(len(q)), first]])
                 need = high >= floor[:, None]
@@ -178,6 +180,8 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, key: str = "vec_id"
         sizes[s[0], s[1]] = sizes.get((s[0], s[1]), 0) + s[3]
     blocks = {c: -(-n // target) for c, n in sizes.items()}
     query = data.where(F.col("id") % every == 0).select("id", "v")
+    more = query.groupBy("id").agg(F.count("*").alias("own")).where("own > 1")
+    query = query.join(more, "id", "left").select("id", "v", F.coalesce("own", F.lit(1)).cast("long").alias("own"))
     groups = max(1, -(-query.count() // QUERY_ROWS))
     routed = query.mapInArrow(_routes(centres, summary, blocks, k, groups), "d long, cell long, salt long, part long, query_id long, q array<long>, rings long")
     salts = spark.createDataFrame([(*c, n) for c, n in blocks.items()] or [(0, 0, 1)], "d long, cell long, salts long")

@@ -208,6 +208,14 @@ def test_top_k(spark, n, pivots):
     assert set(got) == knn_by_force(rows, 10, 10) and len(got) == len(set(got))
 
 
+def test_query_with_copies(spark):
+    # 15 copies of the query's vector fill a cell of their own
+    rows = [(0, [3.0, 0.0])] * 15 + [(i, [-3.0 + i / 64, 0.5]) for i in range(1, 31)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = [tuple(r) for r in knn_join.top_k(df, 10, 100, pivots=45).where("query_id = 0").select("query_id", "vec_id", "score").collect()]
+    assert {v for _, v, _ in got} and len(got) == 10 and all(v != 0 for _, v, _ in got)
+
+
 def test_best_keeps_ties_in_order():
     s = np.array([[3.0, 5, 5, 1, 5, 3] * 20, [-np.inf] * 119 + [2.0]])
     assert knn_join.best(s, 4).tolist() == [[1, 2, 4, 7], [119, -1, -1, -1]]
