@@ -4,8 +4,8 @@ A window is ``WINDOW`` consecutive words. Its fingerprint is the least of the ha
 that neighbouring windows mostly share one and a document has few; equal windows have equal fingerprints.
 
 Index: each batch of documents adds a sorted immutable run (fingerprint, smallest doc_id, largest doc_id), and runs of
-a tier are compacted when there are ``FAN_IN`` of them. A batch is merge-joined with the runs: fingerprints that occur in
-two documents are candidates. Candidates are verified by 128-bit digests of all the words, first of whole stretches of
+a tier are compacted when there are ``FAN_IN`` of them. When all batches are in, fingerprints that occur in two documents
+are taken from the merged runs as candidates; a batch isn't judged against the runs before it. Candidates are verified by 128-bit digests of all the words, first of whole stretches of
 windows with one fingerprint (nearly all of a copied passage), then, for what is left, of single windows."""
 
 from __future__ import annotations
