@@ -21,10 +21,13 @@ _written: set[tuple[str, int]] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a folder of our own if all
+    run on this machine (as in tests), else an error: executors would write each to its own disk."""
     told = spark.conf.get("spark.checkpoint.dir", None)
     if told:
         return told.rstrip("/") + "/slotweave"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is unset: intermediate tables need a folder that all executors share")
     key = id(spark.sparkContext)
     if key not in _own_dirs:
         _own_dirs[key] = "file://" + tempfile.mkdtemp(prefix="slotweave-")

@@ -41,9 +41,7 @@ def op6_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    model = quality.learn(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).withColumn("kept", F.col("p_good") >= quality.THRESHOLD)
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from slotweave.llm import knn_join, language_id, mixing, packing, quality, queries, token_counts, tokens, url_filter
 
@@ -15,8 +16,11 @@ def odd_text(r, n):
     return "".join(r.choice(["a", "bc", " ", "  ", "\n", "é", "7", "'s", "!", "\t", "x9", "don't", " the", "　", "🙂", "<|endoftext|>"]) for _ in range(n))
 
 
+PLAIN = Tokenizer.from_file(tokens.default_path())
+
+
 def plain_ids(text):
-    return tokens.encoder(tokens.default_path()).tokenizer.encode(text, add_special_tokens=False).ids
+    return PLAIN.encode(text, add_special_tokens=False).ids
 
 
 # --- tokens, packing ------------------------------------------------------------------------------------------------
@@ -266,13 +270,75 @@ def test_quality(spark, docs_of):
     out = queries.op7_quality(spark, DATA).join(labels, "doc_id").collect()
     good, bad = [r for r in out if r["quality"] == 1], [r for r in out if r["quality"] == 0]
     assert sum(r["kept"] for r in good) >= 0.99 * len(good) and sum(r["kept"] for r in bad) <= 0.1 * len(bad)
-    odd = docs_of([(1, None), (2, ""), (3, "x " * 60000), (3, "x")])
+    odd = docs_of([(1, None), (2, ""), (3, "x " * 60000), (3, "x"), (None, "a text without an id"), (None, None)])
     one = spark.createDataFrame([(1, 1, "z"), (2, None, "z"), (77, 0, "z")], "doc_id long, quality int, text string")
-    assert quality.learn(odd, one) is None and quality.learn(odd.where("false"), one.where("false")) is None
+    assert quality.trained(odd, one)[1] is None and quality.trained(odd.where("false"), one.where("false"))[1] is None
     kept = quality.keep_good(odd, one)
-    assert kept.columns == odd.columns and kept.count() == 4
-    model = quality.learn(spark.read.parquet(f"{DATA}/documents.parquet"), labels)
-    assert quality.score(odd, model).count() == 4 and quality.score(odd.select("doc_id", "text").where("false"), model).count() == 0
+    assert kept.columns == odd.columns and kept.count() == 6
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    _, model = quality.trained(docs, labels)
+    assert quality.score(quality.features(odd), model).count() == 6 and quality.score(quality.features(odd.select("doc_id", "text").where("false")), model).count() == 0
+
+
+def quality_arrays(rows):
+    rows = sorted(rows, key=lambda r: (r["doc_id"], r["h"]))
+    return quality.text_matrix(*([r[c] for r in rows] for c in ("stats", "words", "tf"))), quality.meta_matrix([r["meta"] for r in rows]), rows
+
+
+def test_co_training_against_all_rows_at_once(spark):
+    """The rounds over Spark partitions choose what a sort of all documents chooses."""
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.with_labels(quality.features(docs), labels).repartition(7).cache()
+    got = quality.learn(rows)
+    x, m, r = quality_arrays(rows.where("quality is not null").collect())
+    y, fold = np.array([k["quality"] for k in r], float), np.array([quality.xxhash.xxh3_64_intdigest(f"fold{k['doc_id']}".encode()) % 4 == 0 for k in r])
+    ux, um, u = quality_arrays(rows.where("quality is null").collect())
+    given = []
+
+    def force(weights, quota, taken):
+        out = []
+        for v, data in enumerate((ux, um)):
+            p = 1 / (1 + np.exp(-np.clip(data.astype(float) @ weights[v], -30, 30)))
+            for label in (0, 1):
+                seen, order = set(), sorted((-(s if label else 1 - s), k["h"], i) for i, (s, k) in enumerate(zip(p, u, strict=True)))
+                for s, h, i in order:
+                    if -s >= quality.SURE and h not in taken and h not in seen and len(seen) < quota[v, label]:
+                        seen.add(h)
+                        out.append((v, label, h, ux[i], um[i]))
+        given.append(len(out))
+        return out
+
+    want = quality.co_train(x, m, y, fold, force)
+    assert sum(given) > 100
+    for a, b in zip((got.text, got.meta, got.combined), (want.text, want.meta, want.combined), strict=True):
+        assert np.allclose(a, b, atol=1e-3)
+
+
+def test_quality_of_held_out_labels(spark):
+    """Accuracy on labels that took no part, by view and together; the rounds must not harm it."""
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    held = "doc_id % 3 = 0"
+    rows = quality.with_labels(quality.features(docs), labels.where(f"not ({held})")).cache()
+    x, m, r = quality_arrays(quality.with_labels(quality.features(docs), labels.where(held)).where("quality is not null").collect())
+    y = np.array([k["quality"] for k in r])
+    right = {}
+    for rounds in (0, quality.ROUNDS):
+        model = quality.learn(rows, rounds=rounds)
+        right[rounds] = [float(np.mean((p >= 0.5) == y)) for p in (*model.views(x, m), model.probability(x, m))]
+    print("held out:", len(y), right)
+    assert right[quality.ROUNDS][2] >= 0.97 and right[quality.ROUNDS][2] >= right[0][2] - 0.01
+
+
+def test_fit_ends_at_the_optimum():
+    rng = np.random.default_rng(3)
+    x = np.column_stack([np.ones(500), rng.normal(size=(500, 40)) * rng.choice([0.01, 1, 5], 40)])
+    y = (x[:, 1] + rng.normal(size=500) > 0).astype(float)
+    w = quality.logistic(x, y)
+    reg = np.concatenate([[1e-6], np.ones(40)])
+    loss, g = quality.loss_and_gradient(x, y, w, reg)
+    assert np.abs(g).max() <= quality.TOLERANCE
+    assert all(quality.loss_and_gradient(x, y, w + d, reg)[0] > loss for d in rng.normal(size=(50, 41)) * 1e-3)
+    assert np.allclose(quality.logistic(x, y, start=rng.normal(size=41)), w, atol=1e-4)
 
 
 def test_co_training_ignores_a_blind_view():
@@ -280,7 +346,9 @@ def test_co_training_ignores_a_blind_view():
     y = (rng.random(600) < 0.7).astype(float)
     text = np.column_stack([np.ones(600), y * 2 - 1 + rng.normal(size=600) * 0.3])
     meta = np.column_stack([np.ones(600), rng.normal(size=600)])
-    model = quality.co_train(text[:400], meta[:400], y[:400], np.arange(400) % 4 == 0, text[400:], meta[400:])
+    keys = np.arange(200)
+    pick = lambda w, q, taken: [(v, label, i, text[400 + i], meta[400 + i]) for v, label, i, _ in quality.sure_rows(w, text[400:], meta[400:], keys, q, taken)]
+    model = quality.co_train(text[:400], meta[:400], y[:400], np.arange(400) % 4 == 0, pick)
     assert np.mean((model.probability(text, meta) > 0.5) == y) > 0.97
 
 
