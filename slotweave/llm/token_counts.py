@@ -3,7 +3,12 @@
 The pre-tokens of a document (pieces that the BPE encodes apart) are grouped to leaves; a segment tree holds the sums of
 their tokens. An edit re-cuts the text only from the leaf with the last pre-token that can't have seen it (a pre-token is
 decided by its own characters and at most two after them) to the first old boundary beyond it that the new cut meets:
-from there on the same text is cut the same way. The leaves in between are replaced and the sums above them updated."""
+from there on the same text is cut the same way. The leaves in between are replaced and the sums above them updated.
+
+Trees are kept as a table (``build``): the text and, of each leaf, the characters and tokens of its pre-tokens.
+``edited`` takes a batch of edits against it and gives the table as it is then, which the next batch is taken against;
+nothing but the edited regions is cut or encoded again, and a text is put together once for all its edits. A text that
+holds a string that the tokenizer takes for a token of its own is cut around it, and anew after an edit."""
 
 from __future__ import annotations
 
@@ -17,6 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
 from .tokens import CACHE_UNITS, default_path, encoder
 
 LEAF = 32
@@ -44,24 +50,43 @@ class Counter:
                 cache.clear()
                 new = list(dict.fromkeys(pre))
             for p, ids in zip(new, self.encoder.encode_units(new), strict=True):
-                cache[p] = len(ids) // 4
+                cache[p] = 1 if self.encoder.added.fullmatch(p) else len(ids) // 4
         return [cache[p] for p in pre]
 
     def cut(self, text: str) -> list[str]:
         self.read += len(text)
-        return self.pattern.findall(text)
+        out, at = [], 0
+        for m in self.encoder.added.finditer(text):
+            out += [*self.pattern.findall(text[at : m.start()]), m.group()]
+            at = m.end()
+        return [*out, *self.pattern.findall(text[at:] if at else text)]
+
+    def cut_on(self, head: str, tail: str, at: int) -> Iterator[str]:
+        """The pre-tokens of head + tail[at:], of which no more is read than they need."""
+        size, pos = 256, 0
+        while True:
+            text, whole = head + tail[at : at + size], at + size >= len(tail)
+            while (m := self.pattern.match(text, pos)) and (whole or m.end() + 2 < len(text)):
+                pos = m.end()
+                yield m.group()
+            if whole:
+                return
+            size *= 2
 
 
 class TokenTree:
-    """A document's text as leaves of pre-tokens, with sums of characters and tokens over a segment tree."""
+    """Leaves of pre-tokens of a document, with sums of characters and tokens over a segment tree."""
 
-    def __init__(self, counter: Counter, text: str) -> None:
+    def __init__(self, counter: Counter, leaves: list[tuple[list[int], list[int]]]) -> None:
         self.counter = counter
-        self.text = text
+        self.leaves = leaves
+        self._build()
+
+    @classmethod
+    def of(cls, counter: Counter, text: str) -> TokenTree:
         pre = counter.cut(text)
         size, tokens = list(map(len, pre)), counter.counts(pre)
-        self.leaves = [(size[i : i + LEAF], tokens[i : i + LEAF]) for i in range(0, len(pre), LEAF)]
-        self._build()
+        return cls(counter, [(size[i : i + LEAF], tokens[i : i + LEAF]) for i in range(0, len(pre), LEAF)])
 
     def _build(self) -> None:
         n = max(1, 1 << (max(1, len(self.leaves)) - 1).bit_length())
@@ -99,13 +124,31 @@ class TokenTree:
             self.tokens[k] += dt
             k //= 2
 
-    def edit(self, start: int, end: int, new: str) -> None:
-        """Replace text[start:end]."""
-        old, delta = self.text, len(new) - (end - start)
-        self.text = text = old[:start] + new + old[end:]
+    def edit(self, text: str, edits: list[tuple[int, int, str]]) -> str:
+        """Replaces text[start:end] by new for each (start, end, new) of ``edits``, which are in order and apart; the
+        text that this gives. They are applied from the last to the first, so that places stay."""
+        parts, at = [], 0
+        for start, end, new in edits:
+            parts += [text[at:start], new]
+            at = end
+        out = "".join([*parts, text[at:]])
+        if self.counter.encoder.added.search(text) or self.counter.encoder.added.search(out):
+            self.__init__(self.counter, TokenTree.of(self.counter, out).leaves)
+            return out
+        shift = len(out) - len(text)
+        for start, end, new in reversed(edits):
+            shift -= len(new) - (end - start)
+            self._replace(text, out, start, end, len(new), shift)
+        return out
+
+    def _replace(self, text: str, out: str, start: int, end: int, size: int, shift: int) -> None:
+        """The document reads text[:end] and then on as it will; text[start:end] becomes the ``size`` characters of
+        ``out`` at start + shift."""
+        delta = size - (end - start)
         if not self.leaves:
-            self.__init__(self.counter, text)
+            self.__init__(self.counter, TokenTree.of(self.counter, text[:start] + out[start + shift :]).leaves)
             return
+        length = int(self.chars[1])
         # the last boundary whose pre-token before can't have seen the edit
         leaf, at = self._leaf_at(max(0, start - 2))
         while True:
@@ -115,25 +158,20 @@ class TokenTree:
                 break
             leaf -= 1
             at -= int(self.chars[self.width + leaf])
-        first, first_at = leaf, at
+        first = leaf
         keep = bisect_right(bounds.tolist(), int(safe[-1])) - 1 if len(safe) else 0
         keep = max(0, keep - 1)  # the pre-token before is cut anew as context
-        pos = int(bounds[keep])
+        pos = begin = int(bounds[keep])
         # cut until an old boundary beyond the edit is met
         pre: list[str] = []
-        last, last_at = self._leaf_at(min(max(end, pos), len(old) - 1))
-        begin = pos
+        last, last_at = self._leaf_at(min(max(end, pos), length - 1))
         ends = last_at + np.cumsum(self.leaves[last][0])
         met = None
-        matches = self.counter.pattern.finditer(text, pos)
-        while pos < len(text):
-            m = next(matches, None)
-            if m is None:
-                break
-            pre.append(m.group())
-            pos = m.end()
+        for piece in self.counter.cut_on(text[pos:start], out, start + shift):
+            pre.append(piece)
+            pos += len(piece)
             o = pos - delta
-            if pos >= start + len(new) and o >= end:
+            if pos >= start + size and o >= end:
                 while o > last_at + self.chars[self.width + last] and last + 1 < len(self.leaves):
                     last_at += int(self.chars[self.width + last])
                     last += 1
@@ -147,14 +185,14 @@ class TokenTree:
         if met is None:
             last = len(self.leaves) - 1
         head = (self.leaves[first][0][:keep], self.leaves[first][1][:keep])
-        size, tokens = [*head[0], *map(len, pre), *tail[0]], [*head[1], *self.counter.counts(pre), *tail[1]]
-        if len(size) <= LEAF * 2 * (last - first + 1):
+        sizes, tokens = [*head[0], *map(len, pre), *tail[0]], [*head[1], *self.counter.counts(pre), *tail[1]]
+        if len(sizes) <= LEAF * 2 * (last - first + 1):
             # the touched leaves take the new content; leaves that are left without any hold nothing
-            per = max(1, -(-len(size) // (last - first + 1)))
+            per = max(1, -(-len(sizes) // (last - first + 1)))
             for i, k in enumerate(range(first, last + 1)):
-                self._set(k, (size[i * per : (i + 1) * per], tokens[i * per : (i + 1) * per]))
+                self._set(k, (sizes[i * per : (i + 1) * per], tokens[i * per : (i + 1) * per]))
         else:
-            self.leaves[first : last + 1] = [(size[i : i + LEAF], tokens[i : i + LEAF]) for i in range(0, len(size), LEAF)]
+            self.leaves[first : last + 1] = [(sizes[i : i + LEAF], tokens[i : i + LEAF]) for i in range(0, len(sizes), LEAF)]
             self._build()
 
 
@@ -169,42 +207,80 @@ def redactions(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def _count_rows(path: str, find_edits, with_text: bool):
+# --- Spark ----------------------------------------------------------------------------------------------------------
+TREES = "doc_id long, text string, n_tokens long, leaves array<struct<chars: array<int>, tokens: array<int>>>"
+
+
+def _kept(leaves: list[tuple[list[int], list[int]]]) -> list[dict]:
+    return [{"chars": size, "tokens": tokens} for size, tokens in leaves]
+
+
+_LEAVES = pa.list_(pa.struct([("chars", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32()))]))
+
+
+def _build_rows(path: str):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(path)
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                b = whole.slice(at, 500)
+            for at in range(0, whole.num_rows, 200):
+                b = whole.slice(at, 200)
+                trees = [TokenTree.of(counter, text or "") for text in b.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([t.total for t in trees], pa.int64()), pa.array([_kept(t.leaves) for t in trees], _LEAVES)], names=["doc_id", "text", "n_tokens", "leaves"])
+
+    return rows
+
+
+def build(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str | None = None) -> DataFrame:
+    """(doc_id, text, n_tokens, leaves): the tree of each row of ``docs``. A null text stays null and counts as empty, with 0
+    tokens; very long texts are read at once by one task, in memory of a few times their size; repeated rows are counted
+    alike; an empty table gives an empty result; other columns are not looked at."""
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(_build_rows(path or default_path()), TREES)
+
+
+def _edit_rows(path: str, find_edits):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter(path)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 200):
+                b = whole.slice(at, 200)
                 out = []
-                given = b.column(2).to_pylist() if b.num_columns > 2 else None
-                for j, (i, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
-                    tree = TokenTree(counter, text or "")
-                    before, read = tree.total, counter.read
-                    edits = [(x["start"], x["end"], x["new"]) for x in given[j] or []] if given is not None else find_edits(text or "")
-                    for s, e, new in sorted(edits, key=lambda x: x[0], reverse=True):  # from the end, so that places stay
-                        tree.edit(s, e, new)
-                    out.append((i, before, len(edits), tree.total, counter.read - read, tree.text if with_text else None))
-                c = list(zip(*out, strict=True)) or [()] * 6
-                yield pa.RecordBatch.from_arrays([*(pa.array(c[k], pa.int64()) for k in range(5)), pa.array(c[5], pa.string())], names=["doc_id", "n_tokens", "n_edits", "n_tokens_after", "chars_recut", "text_after"])
+                given = b.column(4).to_pylist() if find_edits is None else [None] * b.num_rows
+                for i, text, before, leaves, edits in zip(*(b.column(k).to_pylist() for k in range(4)), given, strict=True):
+                    edits = sorted((x["start"], x["end"], x["new"]) for x in edits or []) if find_edits is None else find_edits(text or "")
+                    if not edits:
+                        out.append((i, text, before, leaves, before, 0, 0))
+                        continue
+                    tree, read = TokenTree(counter, [(x["chars"], x["tokens"]) for x in leaves]), counter.read
+                    new = tree.edit(text or "", edits)
+                    out.append((i, new, tree.total, _kept(tree.leaves), before, len(edits), counter.read - read))
+                c = list(zip(*out, strict=True)) or [()] * 7
+                yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.string()), pa.array(c[2], pa.int64()), pa.array(c[3], _LEAVES), *(pa.array(c[k], pa.int64()) for k in (4, 5, 6))],
+                                                 names=["doc_id", "text", "n_tokens", "leaves", "n_tokens_before", "n_edits", "chars_recut"])
 
     return rows
 
 
-_SCHEMA = "doc_id long, n_tokens long, n_edits long, n_tokens_after long, chars_recut long, text_after string"
+_EDITED = f"{TREES}, n_tokens_before long, n_edits long, chars_recut long"
 
 
-def count_redacted(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str | None = None, with_text: bool = False) -> DataFrame:
-    """(doc_id, n_tokens, n_edits, n_tokens_after, chars_recut): tokens of each text before and after personal data is
-    marked, and how many characters had to be cut again for it. A null text is empty and has 0 tokens; repeated rows are
-    counted alike; an empty table gives an empty result; other columns are not looked at."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    out = rows.mapInArrow(_count_rows(path or default_path(), redactions, with_text), _SCHEMA)
-    return out if with_text else out.drop("text_after")
+def edited(trees: DataFrame, edits: DataFrame, key: str = "doc_id", path: str | None = None) -> DataFrame:
+    """The table of ``build`` after ``edits`` (key, start, end, new: replacements of text[start:end], which do not
+    overlap), with n_tokens_before, n_edits and chars_recut, the characters that were cut again. Rows that repeat an id take the
+    same edits. Edits of one document travel together; their number is bounded by its length."""
+    e = edits.groupBy(F.col(key).cast("long").alias("_of")).agg(F.collect_list(F.struct("start", "end", "new")).alias("edits"))
+    rows = trees.select("doc_id", "text", "n_tokens", "leaves").join(e, F.col("doc_id") == F.col("_of"), "left").drop("_of")
+    return rows.mapInArrow(_edit_rows(path or default_path(), None), _EDITED)
 
 
-def count_edited(docs: DataFrame, edits: DataFrame, text: str = "text", key: str = "doc_id", path: str | None = None) -> DataFrame:
-    """As ``count_redacted`` with ``edits`` (key, start, end, new: replacements of text[start:end], which do not overlap),
-    and the new text. Edits of one document travel together; their number is bounded by its length."""
-    e = edits.groupBy(F.col(key).cast("long").alias("doc_id")).agg(F.collect_list(F.struct("start", "end", "new")).alias("edits"))
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).join(e, "doc_id", "left")
-    return rows.mapInArrow(_count_rows(path or default_path(), None, True), _SCHEMA)
+def redacted(trees: DataFrame, path: str | None = None) -> DataFrame:
+    """As ``edited``, with the marking of personal data as edits."""
+    return trees.select("doc_id", "text", "n_tokens", "leaves").mapInArrow(_edit_rows(path or default_path(), redactions), _EDITED)
+
+
+def count_redacted(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str | None = None) -> DataFrame:
+    """(doc_id, n_tokens, n_edits, n_tokens_after, chars_recut): tokens of each text before and after personal data is
+    marked, and how many characters had to be cut again for it. The trees are written as a table, which the edits are
+    taken against."""
+    out = redacted(materialize(build(docs, text, key, path), "token-trees"), path)
+    return out.select("doc_id", F.col("n_tokens_before").alias("n_tokens"), "n_edits", F.col("n_tokens").alias("n_tokens_after"), "chars_recut")

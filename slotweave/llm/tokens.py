@@ -30,8 +30,10 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.ranked, self.size = _ranked(json.loads(self.tokenizer.to_str()))
+        spec = json.loads(self.tokenizer.to_str())
+        self.ranked, self.size = _ranked(spec)
+        #: The strings that the tokenizer takes for tokens of their own wherever they stand.
+        self.added = re.compile("|".join(sorted((re.escape(t["content"]) for t in spec.get("added_tokens") or []), key=len, reverse=True)) or r"(?!)")
         self.cache: dict[str, bytes] = {}
 
     def encode_units(self, units: list[str]) -> list[bytes]:
@@ -56,7 +58,7 @@ class UnitEncoder:
         return out
 
     def encode(self, text: str) -> np.ndarray:
-        if _IRREGULAR.search(text):
+        if _IRREGULAR.search(text) or self.added.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
         units = text.split(" ")
         units = [units[0], *[" " + u for u in units[1:]]]

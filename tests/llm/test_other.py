@@ -30,41 +30,71 @@ def test_units_give_the_same_ids():
         assert enc.encode(text).tolist() == plain_ids(text)
 
 
+def random_edits(r, text, n):
+    cuts = sorted(r.randint(0, len(text)) for _ in range(2 * n))
+    found = {s: (s, min(e, s + r.choice([0, 1, 3, 50])), odd_text(r, r.choice([0, 1, 4, 300]))) for s, e in zip(cuts[::2], cuts[1::2], strict=True)}
+    return sorted(found.values())
+
+
 def test_token_trees():
     r, counter = random.Random(2), token_counts.Counter(tokens.default_path())
-    for _ in range(300):
-        tree = token_counts.TokenTree(counter, odd_text(r, r.choice([0, 1, 5, 200, 900])))
+    for _ in range(400):
+        text = odd_text(r, r.choice([0, 1, 5, 200, 900]))
+        if r.random() < 0.9:
+            text = text.replace("<|endoftext|>", "<|end")
+        tree = token_counts.TokenTree.of(counter, text)
+        assert tree.total == len(plain_ids(text))
         for _ in range(3):
-            s = r.randint(0, len(tree.text))
-            tree.edit(s, min(len(tree.text), s + r.choice([0, 1, 3, 50])), odd_text(r, r.choice([0, 1, 4, 300])))
-            assert tree.total == len(plain_ids(tree.text)) and tree.chars[1] == len(tree.text)
+            edits = random_edits(r, text, r.choice([1, 1, 2, 9]))
+            if r.random() < 0.9:
+                edits = [(s, e, new.replace("<|endoftext|>", "|")) for s, e, new in edits]
+            want = text
+            for s, e, new in reversed(edits):
+                want = want[:s] + new + want[e:]
+            text = tree.edit(text, edits)
+            assert text == want and tree.total == len(plain_ids(text)) and tree.chars[1] == len(text)
 
 
 def test_edits_read_little():
     counter = token_counts.Counter(tokens.default_path())
-    tree = token_counts.TokenTree(counter, "some words of a text " * 5000)
+    text = "some words of a text " * 5000
+    tree = token_counts.TokenTree.of(counter, text)
     before = counter.read
-    tree.edit(50_000, 50_004, "other")
-    assert counter.read - before < 100
+    edits = [(s, s + 4, "other") for s in range(0, 100_000, 1000)]
+    text = tree.edit(text, edits)
+    assert counter.read - before < 100 * len(edits) and tree.total == len(plain_ids(text))
 
 
 def test_counts(docs_of):
     rows = [(1, "mail bob.x@example.com now"), (2, None), (3, ""), (4, "call +61 2 9999 1234 or a@b.cd"), (5, "word " * 9000), (1, "mail bob.x@example.com now")]
-    got = token_counts.count_redacted(docs_of(rows), with_text=True).collect()
+    got = token_counts.count_redacted(docs_of(rows)).collect()
     assert len(got) == 6
     for r in got:
         text = next(t for i, t in rows if i == r["doc_id"]) or ""
         new = text
         for s, e, mark in reversed(token_counts.redactions(text)):
             new = new[:s] + mark + new[e:]
-        assert (r["n_tokens"], r["n_tokens_after"], r["text_after"]) == (len(plain_ids(text)), len(plain_ids(new)), new)
+        assert (r["n_tokens"], r["n_tokens_after"]) == (len(plain_ids(text)), len(plain_ids(new)))
     assert token_counts.count_redacted(docs_of(rows).where("false")).count() == 0
 
 
-def test_counts_of_given_edits(spark, docs_of):
-    edits = spark.createDataFrame([(1, 0, 1, "Z"), (1, 2, 3, "")], "doc_id long, start int, end int, new string")
-    got = {r["doc_id"]: (r["text_after"], r["n_edits"]) for r in token_counts.count_edited(docs_of([(1, "a b c"), (2, "d")]), edits).collect()}
-    assert got == {1: ("Z  c", 2), 2: ("d", 0)}
+def test_batches_of_edits_against_the_kept_trees(spark, docs_of, tmp_path):
+    r = random.Random(5)
+    texts = {i: "".join(r.choice(["word ", "other ", "7 ", "\n", "don't "]) for _ in range(r.choice([0, 3, 400, 3000]))) for i in range(30)}
+    trees = token_counts.build(docs_of([*texts.items(), (100, None)]))
+    for batch in range(3):
+        trees.select("doc_id", "text", "n_tokens", "leaves").write.parquet(f"{tmp_path}/{batch}")
+        edits = {i: random_edits(r, t, 2) for i, t in texts.items() if r.random() < 0.6} | {100: [(0, 0, "n")] if not batch else []}
+        rows = [(i, *e) for i, es in edits.items() for e in es]
+        trees = token_counts.edited(spark.read.parquet(f"{tmp_path}/{batch}"), spark.createDataFrame(rows, "doc_id long, start int, end int, new string"))
+        texts = texts | {100: texts.get(100, "")}
+        for i, es in edits.items():
+            for s, e, new in reversed(es):
+                texts[i] = texts[i][:s] + new + texts[i][e:]
+        got = {x["doc_id"]: x for x in trees.collect()}
+        assert {i: (x["text"], x["n_tokens"]) for i, x in got.items()} == {i: (t, len(plain_ids(t))) for i, t in texts.items()}
+        assert all((x["chars_recut"] == 0) == (not edits.get(i)) for i, x in got.items() if x["text"])
+        assert all(sum(sum(v["chars"]) for v in x["leaves"]) == len(x["text"]) for x in got.values())
 
 
 def check_packing(rows, got):
