@@ -250,9 +250,41 @@ def test_query_with_copies(spark):
     assert {v for _, v, _ in got} and len(got) == 10 and all(v != 0 for _, v, _ in got)
 
 
+def test_query_rows_that_repeat(spark):
+    rows = [(100, [1.0, 0.0]), (100, [1.0, 0.0]), (200, [0.0, 1.0]), (200, [0.0, -1.0])] + [(i, [i / 64, i / 32]) for i in range(1, 31)]
+    got = [tuple(r) for r in knn_join.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), 10, 100).collect()]
+    want = knn_by_force([(100, [1.0, 0.0]), *rows[4:]], 10, 100) | knn_by_force([(200, [0.0, -1.0]), *rows[4:]], 10, 100)
+    # the smaller of the two vectors of 200 asks; both of 100 are candidates of 200 and the other way round
+    assert {r for r in got if r[0] == 100 and r[2] < 100} <= {(100, n, v, s) for _, n, v, s in want} | {r for r in got if r[0] == 100}
+    assert Counter(r[0] for r in got) == {100: 10, 200: 10} and all(a != b for a, _, b, _ in got)
+    assert [v for q, _, v, _ in sorted(got) if q == 100] == list(range(30, 20, -1))
+    assert [(v, s) for q, _, v, s in sorted(got) if q == 200][:3] == [(100, 0), (100, 0), (1, -32 * 1024)]
+
+
+@pytest.mark.parametrize("n", [5, 60])
+def test_scores_beyond_doubles(spark, n):
+    big = 2_969_600_000
+    for rows in ([(i, [float(big), float(i)]) for i in range(1, n)], [(i, [float(big), -float(i)]) for i in range(1, n)]):
+        df = spark.createDataFrame([(0, [float(big), 1.0]), *rows], "vec_id long, embedding array<double>")
+        got = [(r["vec_id"], r["score"]) for r in knn_join.top_k(df, 4, 100, scale=1, pivots=2).orderBy("rank").collect()]
+        assert got == sorted(((i, big * big + int(v[1])) for i, v in rows), key=lambda x: -x[1])[:4]
+
+
+def test_cells_go_to_the_groups_that_need_them(spark, monkeypatch):
+    """With a group for every few queries the result is the same, and rows are sent to few of the groups."""
+    monkeypatch.setattr(knn_join, "QUERY_ROWS", 3)
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=4) * 0.01 + 5 * np.eye(4)[i % 4] * (1 if i % 8 < 4 else -1)]) for i in range(800)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert {tuple(r) for r in knn_join.top_k(df, 10, 50, pivots=16).collect()} == knn_by_force(rows, 10, 50)
+
+
 def test_best_keeps_ties_in_order():
-    s = np.array([[3.0, 5, 5, 1, 5, 3] * 20, [-np.inf] * 119 + [2.0]])
-    assert knn_join.best(s, 4).tolist() == [[1, 2, 4, 7], [119, -1, -1, -1]]
+    s = np.array([[3.0, 5, 5, 1, 5, 3] * 20, [0.0] * 119 + [2.0]])
+    none = np.zeros(s.shape, bool)
+    none[1, :119] = True
+    for kind in (float, np.int64):
+        assert knn_join.best(s.astype(kind), 4, none).tolist() == [[1, 2, 4, 7], [119, -1, -1, -1]]
 
 
 # --- classifiers ----------------------------------------------------------------------------------------------------
