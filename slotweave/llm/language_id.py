@@ -5,38 +5,41 @@ with its ends marked (those at an end are its affixes), the word itself, and lex
 words; transitions are learned from code-switched sequences, put together from stretches of training documents. Words
 are labelled by their forward-backward marginals over the whole text, and a text by the sum over its words.
 
-Training reads a bounded sample, SAMPLE_DOCS documents of each language and SAMPLE_WORDS words of each; every text is
-labelled from all its words."""
+Training reads the whole texts of a bounded sample of labelled documents: about SAMPLE_DOCS of each language and
+SAMPLE_ALL of all, drawn by a hash. Every text is labelled from all its words."""
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, mix64
 
-#: Expected number of sampled training documents of each language, and consecutive words taken of each, from a hashed place.
-SAMPLE_DOCS, SAMPLE_WORDS = 300, 150
+#: Expected number of sampled training documents of each language, and of all together.
+SAMPLE_DOCS, SAMPLE_ALL = 300, 20_000
 BITS = 16
 LEXICON = 500
 EPOCHS, STEP, L2 = 6, 0.3, 1e-6
 LENGTH, BATCH = 48, 64
 CHUNK = 64
 CACHE_WORDS = 250_000
+#: Numbers that the marginals of the texts labelled at once may take (a longer text alone may take more).
+AT_ONCE = 4_000_000
 UNDETERMINED = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: A word begins with a letter and goes on with letters and their marks.
+_WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
 def words_of(text: str) -> list[str]:
     """The runs of letters, lower-cased."""
-    return _LETTERS.findall(text.lower())
+    return _WORDS.findall(text.lower())
 
 
 # --- features -------------------------------------------------------------------------------------------------------
@@ -174,14 +177,28 @@ class Labeller:
         return self.table[np.array(got, np.int64)] if words else np.zeros((0, self.table.shape[1]), np.float32)
 
     def label(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """The language of each text and the mean of its marginal over the words."""
-        words = [words_of(t) if t else [] for t in texts]
+        """The language of each text and the mean of its marginal over the words; texts go together as far as their
+        marginals, and the products of their chunks, stay within AT_ONCE numbers."""
+        names, scores, group, size = [], [], [], 0
+        n = len(self.model.labels)
+        for t in texts:
+            words = words_of(t) if t else []
+            need = n * (len(words) + n * -(-len(words) // CHUNK))
+            if group and size + need > AT_ONCE:
+                more = self._label(group)
+                names, scores, group, size = names + more[0], scores + more[1], [], 0
+            group.append(words)
+            size += need
+        more = self._label(group)
+        return names + more[0], scores + more[1]
+
+    def _label(self, words: list[list[str]]) -> tuple[list[str], list[float]]:
         lens = np.array([len(w) for w in words], np.int64)
         offsets = np.concatenate([[0], np.cumsum(lens)])
         e = self.emissions([w for ws in words for w in ws])
         p = marginals(e, offsets, self.model.transition)
         some = np.flatnonzero(lens)
-        names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+        names, scores = [UNDETERMINED] * len(words), [0.0] * len(words)
         if len(some):
             mean = np.add.reduceat(p, offsets[some], axis=0) / lens[some][:, None]
             for i, v in zip(some.tolist(), mean, strict=True):
@@ -239,20 +256,16 @@ def train(rows: list[tuple[str, list[str]]], seed: int = 10) -> Model | None:
             begin = np.concatenate([[0], np.cumsum(size[use])[:-1]])
             e = np.add.reduceat(model.gram[span], begin, axis=0) + lex[use] @ model.lexical
             e = e[back.reshape(-1)].reshape(*tok.shape, n).astype(np.float64)
-            post, pairs = _expected(e, model.transition.astype(np.float64))
-            d = post - np.eye(n)[y]
-            by_type = np.zeros((len(use), n))
-            np.add.at(by_type, back.reshape(-1), d.reshape(-1, n))
-            seen = np.zeros((n, n))
-            np.add.at(seen, (y[:, :-1].ravel(), y[:, 1:].ravel()), 1)
+            d, dt = gradient(e, y, model.transition.astype(np.float64))
+            by_type = np.stack([np.bincount(back.reshape(-1), d[:, :, k].ravel(), len(use)) for k in range(n)], axis=1)
             scale = 1 / len(tok)
             u, inv = np.unique(span, return_inverse=True)
-            grad = np.zeros((len(u), n), np.float32)
-            np.add.at(grad, inv.reshape(-1), np.repeat(by_type, size[use], axis=0).astype(np.float32))
-            grad = grad * scale + L2 * model.gram[u]
+            each = np.repeat(by_type, size[use], axis=0)
+            grad = np.stack([np.bincount(inv.reshape(-1), each[:, k], len(u)) for k in range(n)], axis=1)
+            grad = (grad * scale + L2 * model.gram[u]).astype(np.float32)
             g2[u] += grad**2
             model.gram[u] -= STEP * grad / np.sqrt(g2[u])
-            for w, acc, gr in ((model.lexical, l2, lex[use].T @ by_type * scale), (model.transition, t2, (pairs - seen) * scale)):
+            for w, acc, gr in ((model.lexical, l2, lex[use].T @ by_type * scale), (model.transition, t2, dt * scale)):
                 acc += gr**2
                 w -= (STEP * gr / np.sqrt(acc)).astype(np.float32)
     return model
@@ -266,8 +279,10 @@ def _stretches(n: int, rng: np.random.Generator) -> Iterator[tuple[int, int]]:
         i += k
 
 
-def _expected(e: np.ndarray, transition: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals of a batch of equally long sequences, and the expected numbers of transitions."""
+def gradient(e: np.ndarray, y: np.ndarray, transition: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the negative log-likelihood of labels ``y`` in a batch of equally long sequences, by emissions and by log
+    transitions: what the model expects less what is there. The state before the first word is uniform and unseen; the
+    transition from it counts by its share given the first label."""
     t = np.exp(transition)
     x = np.exp(e - e.max(axis=2, keepdims=True))
     rows, length, n = x.shape
@@ -278,16 +293,21 @@ def _expected(e: np.ndarray, transition: np.ndarray) -> tuple[np.ndarray, np.nda
         v /= v.sum(axis=1, keepdims=True)
         a[:, k] = v
     v = np.ones((rows, n))
-    pairs = np.zeros((n, n))
     for k in range(length - 1, -1, -1):
         b[:, k] = v
-        if k:
-            xi = a[:, k - 1, :, None] * t[None] * (x[:, k] * v)[:, None, :]
-            pairs += (xi / xi.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
         v = (x[:, k] * v) @ t.T
         v /= v.sum(axis=1, keepdims=True)
+    before = np.concatenate([np.full((rows, 1, n), 1 / n), a[:, :-1]], axis=1)
+    xb = x * b
+    # of each place the weights of the pairs (state before, state), each place to sum 1
+    total = np.einsum("rki,ij,rkj->rk", before, t, xb)
+    dt = t * np.einsum("rki,rkj->ij", before / total[:, :, None], xb)
+    np.subtract.at(dt, (y[:, :-1].ravel(), y[:, 1:].ravel()), 1)
+    np.subtract.at(dt.T, y[:, 0], (t / t.sum(axis=0)).T[y[:, 0]])
     post = a * b
-    return post / post.sum(axis=2, keepdims=True), pairs
+    post /= post.sum(axis=2, keepdims=True)
+    np.subtract.at(post, (np.arange(rows)[:, None], np.arange(length)[None, :], y), 1)
+    return post, dt
 
 
 # --- Spark ----------------------------------------------------------------------------------------------------------
@@ -296,25 +316,22 @@ def held_out(key: Column) -> Column:
 
 
 def _sample_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, lang) -> (lang, words): SAMPLE_WORDS consecutive words from a place chosen by a hash of the id."""
+    """(text, lang) -> (lang, words)."""
     for b in batches:
-        lang, words = [], []
-        for i, text, name in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            w = words_of(text)
-            at = xxhash.xxh3_64_intdigest(str(i).encode()) % max(1, len(w) - SAMPLE_WORDS + 1)
-            lang.append(name)
-            words.append(w[at : at + SAMPLE_WORDS])
-        yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(words, pa.list_(pa.string()))], names=["lang", "words"])
+        yield pa.RecordBatch.from_arrays([b.column(1), pa.array([words_of(t) for t in b.column(0).to_pylist()], pa.list_(pa.string()))], names=["lang", "words"])
 
 
 def learn(docs: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "lang", sample: int = SAMPLE_DOCS) -> Model | None:
-    """A model from the rows of ``docs`` (all of them may be learned from) with a language; None if there is none."""
+    """A model from the rows of ``docs`` (all of them may be learned from) with a language; None if there is none.
+    About ``sample`` of each language are drawn, or fewer where there are so many languages that all together would be
+    more than SAMPLE_ALL. Rows that repeat an id are drawn together."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where("lang is not null and text is not null")
     n = materialize(rows.groupBy("lang").agg(F.count("*").alias("n")), "lang-count")
     place = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(1 << 40)) / float(1 << 40)
     # ids are drawn without the texts; the tables are small and of known size, so that texts stay where they are
-    ids = rows.select("doc_id", "lang").join(n, "lang").where(place < F.lit(float(sample)) / F.col("n")).select("doc_id").distinct()
-    chosen = rows.join(materialize(ids, "lang-sample"), "doc_id").select("doc_id", "text", "lang")
+    each = min(float(sample), SAMPLE_ALL / max(1, n.count()))
+    ids = rows.select("doc_id", "lang").join(n, "lang").where(place < F.lit(each) / F.col("n")).select("doc_id").distinct()
+    chosen = rows.join(materialize(ids, "lang-sample"), "doc_id").select("text", "lang")
     got = chosen.mapInArrow(_sample_words, "lang string, words array<string>").collect()
     return train(sorted((r["lang"], list(r["words"])) for r in got))
 

@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 import zlib
@@ -311,6 +312,59 @@ def test_marginals():
         assert np.allclose(got[a:b], p / p.sum(axis=1, keepdims=True) if n else p)
 
 
+def test_gradient_of_the_likelihood():
+    """Against differences of the likelihood, which is summed over all paths."""
+    rng = np.random.default_rng(0)
+    e, y, t = rng.normal(size=(3, 4, 3)), rng.integers(0, 3, (3, 4)), rng.normal(size=(3, 3))
+
+    def loss(e, t):
+        out = 0.0
+        for k in range(3):
+            weight = {p: np.log(np.exp(t[:, p[0]]).mean()) + sum(e[k, i, p[i]] for i in range(4)) + sum(t[a, b] for a, b in itertools.pairwise(p)) for p in itertools.product(range(3), repeat=4)}
+            out += np.log(sum(map(np.exp, weight.values()))) - weight[tuple(y[k])]
+        return out
+
+    de, dt = language_id.gradient(e, y, t)
+    for got, x, f in ((de, e, lambda x: loss(x, t)), (dt, t, lambda x: loss(e, x))):
+        for at in np.ndindex(x.shape):
+            d = np.zeros(x.shape)
+            d[at] = 1e-5
+            assert got[at] == pytest.approx((f(x + d) - f(x - d)) / 2e-5, abs=1e-6)
+
+
+def test_letters():
+    assert language_id.words_of("½ ² Ⅷ ① 12 _ A\u0301b é-Ça don't") == ["a\u0301b", "é", "ça", "don", "t"]
+
+
+def test_transitions_are_learned_and_words_of_switched_text_labelled(spark):
+    """A stretch of held-out text in one language after one in another: words are labelled where they stand."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where("lang is not null and length(text) > 200")
+    model = language_id.learn(docs.where("doc_id % 5 <> 0"))
+    off = model.transition[~np.eye(len(model.labels), dtype=bool)]
+    assert np.diag(model.transition).min() > off.max()
+    r, by_lang = random.Random(0), {}
+    for row in docs.where("doc_id % 5 = 0").collect():
+        by_lang.setdefault(row["lang"], []).append(language_id.words_of(row["text"]))
+    labeller, right, total = language_id.Labeller(model), 0, 0
+    for _ in range(60):
+        parts = [(lang, r.choice(by_lang[lang])[: r.randint(8, 30)]) for lang in r.sample(sorted(by_lang), 3)]
+        got = labeller.label_words(" ".join(w for _, ws in parts for w in ws))
+        truth = [lang for lang, ws in parts for _ in ws]
+        right, total = right + sum(g[1] == x for g, x in zip(got, truth, strict=True)), total + len(truth)
+    assert right > 0.95 * total, right / total
+
+
+def test_labelling_in_pieces(monkeypatch):
+    r = random.Random(3)
+    rows = [(lang, [r.choice(ws) for _ in range(60)]) for lang, ws in (("a", ["aa", "ab", "xa"]), ("b", ["ba", "bb", "xb"])) for _ in range(30)]
+    labeller = language_id.Labeller(language_id.train(rows))
+    texts = [None, "", *(" ".join(r.choice(["aa", "bb", "xb", "77"]) for _ in range(r.randint(0, 300))) for _ in range(40))]
+    whole = labeller.label(texts)
+    monkeypatch.setattr(language_id, "AT_ONCE", 500)
+    pieces = labeller.label(texts)
+    assert whole[0] == pieces[0] and np.allclose(whole[1], pieces[1]) and labeller.label([]) == ([], [])
+
+
 def test_language(spark, docs_of):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     out = queries.op10_language_id(spark, DATA).join(docs.select("doc_id", "lang"), "doc_id").collect()
@@ -318,7 +372,7 @@ def test_language(spark, docs_of):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in out) and len(out) == docs.count()
     assert sum(r["lang_pred"] == r["lang"] for r in held) > 0.97 * len(held)
     model = language_id.learn(docs)
-    odd = docs_of([(1, None), (2, ""), (3, "123 !! \n"), (4, "the of and " * 20000), (4, "the of and")])
+    odd = docs_of([(1, None), (2, ""), (3, "123 ½ ② !! \n"), (4, "the of and " * 20000), (4, "the of and")])
     got = [(r["doc_id"], r["lang_pred"]) for r in language_id.identify(odd, model).orderBy("doc_id").collect()]
     assert got[:3] == [(1, "und"), (2, "und"), (3, "und")] and {x for _, x in got[3:]} == {"en"} and len(got) == 5
     assert language_id.identify(odd.where("false"), model).count() == 0 and language_id.learn(odd.where("false")) is None
