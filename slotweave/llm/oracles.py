@@ -76,24 +76,26 @@ def op5(iterations: int = url_filter.ITERATIONS) -> str:
     low = f"'{url_filter.UPPER}', '{url_filter.LOWER}'"
     href = url_filter.HREF.replace("'", "''")
     rounds = "".join(f""",
-     f{i} AS (SELECT host, sum(t) AS t, sum(d) AS d FROM (SELECT dst AS host, trust * forth AS t, 0.0 AS d FROM e JOIN s{i} ON host = src
-                UNION ALL SELECT src, 0.0, distrust * back FROM e JOIN s{i} ON host = dst) GROUP BY host),
-     s{i + 1} AS MATERIALIZED (SELECT s0.host, s0.trust * (1 - {a}) + coalesce(t, 0) * {a} AS trust, s0.distrust * (1 - {a}) + coalesce(d, 0) * {a} AS distrust
+     f{i} AS (SELECT host, sum(t) AS t, sum(ft) AS ft, sum(d) AS d FROM (SELECT dst AS host, trust * weight AS t, fall * weight AS ft, 0.0 AS d FROM e JOIN s{i} ON host = src
+                UNION ALL SELECT src, 0.0, 0.0, distrust * weight FROM e JOIN s{i} ON host = dst) GROUP BY host),
+     s{i + 1} AS MATERIALIZED (SELECT s0.host, s0.trust + coalesce(t, 0) * {a} AS trust, 1 + coalesce(ft, 0) * {a} AS fall, s0.distrust + (1 - s0.distrust) * coalesce(d, 0) * {a} AS distrust
                 FROM s0 LEFT JOIN f{i} USING (host))""" for i in range(iterations))
+    last = iterations - 1
     return f"""
 WITH u AS (SELECT page_id, html, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), {low}) AS host, coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
      p AS MATERIALIZED (SELECT *, {rule} AS rule, {verdict} AS verdict FROM u),
      l AS (SELECT host AS src, unnest(list_distinct(regexp_extract_all(coalesce(html, ''), '{href}', 1))) AS link FROM p),
      k AS (SELECT src, CASE WHEN contains(link, '://') THEN translate(regexp_extract(link, '://([^/?#]*)', 1), {low})
                             WHEN starts_with(link, '//') THEN translate(regexp_extract('x:' || link, '://([^/?#]*)', 1), {low}) ELSE src END AS dst FROM l),
-     n AS (SELECT src, dst, count(*) AS n FROM k WHERE src <> '' AND dst <> '' GROUP BY src, dst),
-     e AS MATERIALIZED (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS forth, n / sum(n) OVER (PARTITION BY dst) AS back FROM n),
+     n AS (SELECT src, dst, count(*) AS n FROM k WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
+     e AS MATERIALIZED (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS weight FROM n),
      h AS (SELECT host, avg(CASE WHEN coalesce(verdict, '') = 'allow' THEN 1.0 ELSE 0.0 END) AS t, avg(CASE WHEN coalesce(verdict, '') = 'block' THEN 1.0 ELSE 0.0 END) AS d FROM p WHERE host <> '' GROUP BY host
            UNION ALL SELECT dst, 0.0, 0.0 FROM e),
-     s0 AS MATERIALIZED (SELECT host, sum(t) AS trust, sum(d) AS distrust FROM h GROUP BY host){rounds}
+     s0 AS MATERIALIZED (SELECT host, sum(t) AS trust, sum(d) AS distrust, 1.0 AS fall FROM h GROUP BY host){rounds},
+     v AS (SELECT s0.host, greatest(s0.trust, CASE WHEN ft > 0 THEN t / ft ELSE 0 END) AS trust, r.distrust FROM s0 LEFT JOIN f{last} f ON f.host = s0.host JOIN s{iterations} r ON r.host = s0.host)
 SELECT page_id, p.host, path, rule,
        coalesce(verdict, CASE WHEN distrust > trust * {url_filter.RATIO} + {url_filter.MARGIN} AND distrust > {url_filter.LEAST} + {url_filter.MARGIN} THEN 'block' ELSE 'allow' END) AS verdict
-FROM p LEFT JOIN s{iterations} s ON s.host = p.host
+FROM p LEFT JOIN v ON v.host = p.host
 """
 
 
