@@ -1,30 +1,42 @@
 """Substring dedup by a log-structured index of window fingerprints.
 
 A window is ``WINDOW`` consecutive words. Its fingerprint is the least of the hashes of its ``GRAM``-word grams, so
-that neighbouring windows mostly share one and a document has few; equal windows have equal fingerprints.
+that neighbouring windows mostly share one: a document is a row of stretches of windows of one fingerprint, and each
+stretch has a 128-bit digest of all its words. Equal windows have equal fingerprints, and nearly all of a copied passage
+is equal stretches.
 
-Index: each batch of documents adds a sorted immutable run (fingerprint, smallest doc_id, largest doc_id), and runs of
-a tier are compacted when there are ``FAN_IN`` of them. When all batches are in, fingerprints that occur in two documents
-are taken from the merged runs as candidates; a batch isn't judged against the runs before it. Candidates are verified by 128-bit digests of all the words, first of whole stretches of
-windows with one fingerprint (nearly all of a copied passage), then, for what is left, of single windows."""
+Index: a batch of documents becomes a sorted immutable run of the distinct stretches that it has: digest, fingerprint,
+and where the first of them stands. Runs are bucketed and sorted by digest, so that a new one is merge-joined with those
+before it without a shuffle of either; they are compacted by merging when a tier has ``FAN_IN`` of them. ``add`` judges a
+batch against all that was indexed before, and within itself:
+
+1. stretches whose digest is in a run, or in an earlier document of the batch, are known as a whole;
+2. of the others, those with a fingerprint that history or the batch has too may know single windows: the windows of these
+   stretches, and of those in the runs, are digested from the texts and the earliest document of each is found.
+
+The index lies under a path with a manifest for each state, so that a later session goes on with it. Runs point to
+documents by id and a hash of the text; the texts themselves stay in the corpus."""
 
 from __future__ import annotations
 
 import hashlib
+import json
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, materialize, partitions, release, word_hashes
+from .common import gram_hashes, materialize, mix64, partitions, release, shared_dir, word_hashes
 
 WINDOW, GRAM = 50, 25
-FAN_IN = 4
-BATCHES = 4
+FAN_IN = 2
+BATCHES = 2
+#: Comes before all ids: the owner of a window that history has.
+HISTORY = -(2**63)
 
 
 # --- per document ---------------------------------------------------------------------------------------------------
@@ -51,13 +63,13 @@ def _powers(n: int) -> list[np.ndarray]:
     return _POWERS
 
 
-def span_digests(words: list[bytes], start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit digests of words[start:end] for each pair of positions."""
-    p, out = _powers(len(words) + 1), []
-    for k, seed in enumerate((1, 2)):
-        w = np.fromiter((xxhash.xxh3_64_intdigest(x, seed) for x in words), np.uint64, len(words))
-        c = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w * p[2 * k][: len(w)], dtype=np.uint64)])
-        out.append(((c[end] - c[start]) * p[2 * k + 1][start]).view(np.int64))
+def span_digests(w: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit digests of the words start..end for each pair of positions, from the words' hashes: polynomials in two
+    bases, the second over hashes that are mixed once more."""
+    p, out = _powers(len(w) + 1), []
+    for k, h in enumerate((w, mix64(w + np.uint64(0x2545F4914F6CDD1D)))):
+        c = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * p[2 * k][: len(h)], dtype=np.uint64)])
+        out.append(mix64(((c[end] - c[start]) * p[2 * k + 1][start]) + (end - start).astype(np.uint64)).view(np.int64))
     return out[0], out[1]
 
 
@@ -67,51 +79,51 @@ def runs_of(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[0], cut]).astype(np.int64), np.concatenate([cut - 1, [len(f) - 1]]).astype(np.int64)
 
 
+BASE = "doc_id long, t long, n_words long, sha string, fp array<long>, s array<int>, e array<int>, h1 array<long>, h2 array<long>"
+
+
 def _base(window: int):
+    """(doc_id, t, text) -> the same with the number of words, the digest of all, and the stretches."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 b = whole.slice(at, 1000)
-                n, sha, fps, off = [], [], [], [0]
-                for text in b.column(1).to_pylist():
+                n, sha, off, parts = [], [], [0], ([], [], [], [], [])
+                for i, text in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
                     words = text.split() if text else []
                     n.append(len(words))
                     sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
-                    f = np.unique(fingerprints(word_hashes(words), window, window // 2)) if len(words) >= window else np.empty(0, np.uint64)
-                    fps.append(f)
-                    off.append(off[-1] + len(f))
-                flat = np.concatenate(fps).view(np.int64) if fps else np.empty(0, np.int64)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sha), pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat))], names=["doc_id", "n_words", "sha", "fps"])
-
-    return rows
-
-
-def _stretches(window: int):
-    """(doc_id, text, fps) -> stretches of windows whose fingerprint is among fps, with the digests of all their words."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i, text, fps in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                words = text.split()
-                f = fingerprints(word_hashes(words), window, window // 2)
-                s, e = runs_of(f)
-                hit = np.isin(f[s].view(np.int64), np.asarray(fps.values))
-                s, e = s[hit], e[hit]
-                h1, h2 = span_digests(words, s, e + window)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), i, np.int64)), pa.array(f[s].view(np.int64)), pa.array(s), pa.array(e), pa.array(h1), pa.array(h2)], names=["doc_id", "fp", "s", "e", "h1", "h2"])
+                    if len(words) >= window and i is not None:
+                        w = word_hashes(words)
+                        f = fingerprints(w, window, window // 2)
+                        s, e = runs_of(f)
+                        for part, x in zip(parts, (f[s].view(np.int64), s.astype(np.int32), e.astype(np.int32), *span_digests(w, s, e + window)), strict=True):
+                            part.append(x)
+                        off.append(off[-1] + len(s))
+                    else:
+                        off.append(off[-1])
+                offsets = pa.array(off, pa.int32())
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x) if x else np.empty(0, np.int64), pa.int32() if k in (1, 2) else pa.int64())) for k, x in enumerate(parts)]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(sha), *lists], names=["doc_id", "t", "n_words", "sha", "fp", "s", "e", "h1", "h2"])
 
     return rows
 
 
 def _windows(window: int):
-    """(doc_id, text, stretches) -> (doc_id, start, digests) of each window of the stretches."""
+    """(owner, text, stretches) -> (owner, digest of the stretch, place in it, digest of the window)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, text, spans in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                at = np.unique(np.concatenate([np.arange(x["s"], x["e"] + 1, dtype=np.int64) for x in spans]))
-                h1, h2 = span_digests(text.split(), at, at + window)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), i, np.int64)), pa.array(at), pa.array(h1), pa.array(h2)], names=["doc_id", "s", "h1", "h2"])
+            for owner, text, spans in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                w = word_hashes(text.split())
+                size = np.array([x["e"] - x["s"] + 1 for x in spans], np.int64)
+                of = np.repeat(np.arange(len(spans)), size)
+                off = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+                at = np.array([x["s"] for x in spans], np.int64)[of] + off
+                w1, w2 = span_digests(w, at, at + window)
+                h1, h2 = (np.array([x[c] for x in spans], np.int64)[of] for c in ("h1", "h2"))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), owner, np.int64)), pa.array(h1), pa.array(h2), pa.array(off.astype(np.int32)), pa.array(w1), pa.array(w2)], names=["owner", "h1", "h2", "off", "w1", "w2"])
 
     return rows
 
@@ -128,102 +140,177 @@ def _cut(window: int, with_text: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
-            for i, text, spans in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            for i, t, text, spans in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
                 words = text.split()
                 gone = covered(len(words), spans, window)
                 kept = b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g)
-                out.append((i, int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode() if with_text else None))
-            ids, n, sha, kept_text = zip(*out, strict=True) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(kept_text, pa.string())], names=["doc_id", "n_removed", "kept_sha", "kept_text"])
+                out.append((i, t, int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode() if with_text else None))
+            c = list(zip(*out, strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([*(pa.array(c[k], pa.int64()) for k in range(3)), *(pa.array(c[k], pa.string()) for k in (3, 4))], names=["doc_id", "t", "n_removed", "kept_sha", "kept_text"])
 
     return rows
 
 
 # --- the index ------------------------------------------------------------------------------------------------------
+def _merged(older: DataFrame, newer: DataFrame) -> DataFrame:
+    """Two runs as one, by a merge join of their buckets; of a digest in both the older batch's row stays."""
+    rest = F.struct(*(c for c in _ROW if c not in ("h1", "h2")))
+    both = older.select("h1", "h2", rest.alias("x")).join(newer.select("h1", "h2", rest.alias("y")), ["h1", "h2"], "full")
+    return both.select("h1", "h2", F.coalesce("x", "y").alias("z")).select("h1", "h2", "z.*")
+
+
+RUN = "h1 bigint, h2 bigint, fp bigint, doc_id bigint, t bigint, s int, e int, last bigint, batch int"
+_ROW = [c.split()[0] for c in RUN.split(", ")]
+
+
 class FingerprintIndex:
-    """Sorted immutable runs of (fp, lo, hi): a fingerprint and the smallest and largest doc_id that has it."""
-
-    def __init__(self, spark: SparkSession) -> None:
-        self.spark = spark
-        self.tiers: list[list[DataFrame]] = []
-
-    def add(self, batch: DataFrame) -> None:
-        """``batch``: (doc_id, fps). Becomes a run; full tiers are compacted."""
-        found = batch.select("doc_id", F.explode("fps").alias("fp")).groupBy("fp").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-        self._put(0, self._run(found))
-
-    def _run(self, rows: DataFrame) -> DataFrame:
-        return materialize(rows.sortWithinPartitions("fp"), "index-run")
-
-    def _put(self, tier: int, run: DataFrame) -> None:
-        if tier == len(self.tiers):
-            self.tiers.append([])
-        self.tiers[tier].append(run)
-        if len(self.tiers[tier]) == FAN_IN:
-            merged = self._run(self._merged(self.tiers[tier]))
-            release(*self.tiers[tier])
-            self.tiers[tier] = []
-            self._put(tier + 1, merged)
-
-    @staticmethod
-    def _merged(runs: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.unionByName, runs).groupBy("fp").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-
-    def runs(self) -> list[DataFrame]:
-        return [r for t in self.tiers for r in t]
-
-    def shared(self) -> DataFrame:
-        """(fp, lo) of the fingerprints that occur in two documents or more."""
-        runs = self.runs()
-        return (runs[0] if len(runs) == 1 else self._merged(runs)).where("lo < hi").select("fp", "lo")
+    """Sorted immutable runs of the distinct stretches of all batches so far, under ``path``: of each the digest (h1, h2), the
+    fingerprint, the first document that has it in its batch and where, and the largest doc_id there that has it."""
+
+    def __init__(self, spark: SparkSession, path: str, window: int = WINDOW) -> None:
+        """The index at ``path`` as its last manifest tells, or a new one."""
+        self.spark, self.path = spark, path.rstrip("/")
+        self.state = {"window": window, "buckets": partitions(spark), "batches": 0, "version": 0, "tiers": []}
+        jvm = spark.sparkContext._jvm
+        self._fs = jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        kept = jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest")
+        if self._fs.exists(kept):
+            done = [x.getPath().getName() for x in self._fs.listStatus(kept) if self._fs.exists(jvm.org.apache.hadoop.fs.Path(x.getPath(), "_SUCCESS"))]
+            if done:
+                self.state = json.loads(spark.read.text(f"{self.path}/manifest/{max(done)}").first()[0])
+        if self.state["window"] != window:
+            raise ValueError(f"the index has windows of {self.state['window']} words")
+        self.runs = {name: self._open(name) for tier in self.state["tiers"] for name in tier}
+
+    def _open(self, name: str) -> DataFrame:
+        table = f"slotweave_run_{name}"
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({RUN}) USING parquet CLUSTERED BY (h1, h2) SORTED BY (h1, h2) INTO {self.state['buckets']} BUCKETS LOCATION '{self.path}/runs/{name}'")
+        return self.spark.table(table)
+
+    def _write(self, rows: DataFrame) -> str:
+        """A run from rows that are dealt by digest: one sorted file a bucket."""
+        name = uuid.uuid4().hex
+        rows.select(*_ROW).write.format("parquet").bucketBy(self.state["buckets"], "h1", "h2").sortBy("h1", "h2").option("path", f"{self.path}/runs/{name}").saveAsTable(f"slotweave_run_{name}")
+        self.runs[name] = self.spark.table(f"slotweave_run_{name}")
+        return name
+
+    def _drop(self, name: str) -> None:
+        del self.runs[name]
+        self.spark.sql(f"DROP TABLE IF EXISTS slotweave_run_{name}")
+        self._fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/runs/{name}"), True)
+
+    def add(self, batch: DataFrame, texts: DataFrame) -> DataFrame:
+        """Indexes a batch; (doc_id, t, spans) of its documents with windows that history has, or a document of the batch with
+        a smaller doc_id.
+
+        ``batch`` is a table with the columns of BASE, ``texts`` (doc_id, t, text) holds the texts of all documents of
+        the index and of the batch. A span (s, e) is the first word of its first and of its last window."""
+        window, before = self.state["window"], dict(self.runs)
+        st = batch.where("doc_id is not null").select("doc_id", "t", F.explode(F.arrays_zip("fp", "s", "e", "h1", "h2")).alias("x")).select("doc_id", "t", "x.*")
+        first = F.min(F.struct("doc_id", "t", "s", "e", "fp")).alias("x")
+        found = st.groupBy("h1", "h2").agg(first, F.max("doc_id").alias("last")).select("h1", "h2", "x.*", "last", F.lit(self.state["batches"]).alias("batch"))
+        name = self._write(found)
+        own = self.runs[name]
+        # merge joins of sorted runs: which digests does history have?
+        seen = own.select("h1", "h2", "doc_id", "last")
+        for i, run in enumerate(before.values()):
+            seen = seen.join(run.select("h1", "h2", F.lit(True).alias(f"in{i}")), ["h1", "h2"], "left")
+        old = reduce(lambda x, y: x | y, [F.coalesce(f"in{i}", F.lit(False)) for i in range(len(before))], F.lit(False))
+        known = seen.withColumn("old", old).where(F.col("old") | (F.col("doc_id") < F.col("last")))
+        known = materialize(known.select("h1", "h2", F.when(F.col("old"), F.lit(HISTORY)).otherwise(F.col("doc_id")).alias("owner")), "sub-known")
+        whole = materialize(st.join(known, ["h1", "h2"]).where("owner < doc_id").select("doc_id", "t", "s", "e"), "sub-whole")
+
+        # stretches that are new, but have a fingerprint that history or an earlier document has
+        new = own.join(known.where(F.col("owner") == HISTORY).select("h1", "h2"), ["h1", "h2"], "left_anti").select("h1", "h2", "fp", "doc_id", "t", "s", "e")
+        by_fp = materialize(new.groupBy("fp").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")), "sub-fp")
+        past = [run.join(by_fp.select("fp"), "fp", "left_semi").select("h1", "h2", "fp", "doc_id", "t", "s", "e") for run in before.values()]
+        sources = materialize(reduce(DataFrame.unionByName, past), "sub-source") if past else None
+        hit = by_fp.where("lo < hi").select("fp")
+        hit = hit.unionByName(sources.select("fp")).distinct() if past else hit
+        asked = new.join(hit, "fp", "left_semi").withColumn("owner", F.col("doc_id"))
+        if past:
+            asked = asked.unionByName(sources.withColumn("owner", F.lit(HISTORY)))
+        stretches = asked.groupBy("doc_id", "t").agg(F.min("owner").alias("owner"), F.collect_set(F.struct("s", "e", "h1", "h2")).alias("spans"))
+        read = texts.join(stretches, ["doc_id", "t"]).dropDuplicates(["doc_id", "t"]).select("owner", "text", "spans")
+        windows = materialize(read.mapInArrow(_windows(window), "owner long, h1 long, h2 long, off int, w1 long, w2 long"), "sub-window")
+        earliest = windows.groupBy("w1", "w2").agg(F.min("owner").alias("first"), F.max("owner").alias("last")).where("first < last").drop("last")
+        single = windows.where(F.col("owner") != HISTORY).join(earliest, ["w1", "w2"]).where("first < owner").groupBy("owner", "h1", "h2").agg(F.collect_set("off").alias("offs"))
+        # the same stretch may stand at several places of its document
+        at = st.join(single, ["h1", "h2"]).where("owner = doc_id").select("doc_id", "t", F.explode(F.transform("offs", lambda k: F.col("s") + k)).alias("s"))
+        spans = whole.unionByName(at.select("doc_id", "t", "s", F.col("s").alias("e"))).groupBy("doc_id", "t").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+        out = materialize(spans, "sub-spans")
+        release(known, whole, by_fp, windows, *([sources] if past else []))
+        self._grow(name)
+        return out
+
+    def _grow(self, name: str) -> None:
+        """Puts a run on the lowest tier, compacts the tiers that are full and writes the manifest."""
+        tiers, gone, level = self.state["tiers"], [], 0
+        while True:
+            if level == len(tiers):
+                tiers.append([])
+            tiers[level].append(name)
+            if len(tiers[level]) < FAN_IN:
+                break
+            name = self._write(reduce(_merged, [self.runs[x] for x in tiers[level]]))
+            gone += tiers[level]
+            tiers[level] = []
+            level += 1
+        self.state |= {"batches": self.state["batches"] + 1, "version": self.state["version"] + 1}
+        self.spark.createDataFrame([(json.dumps(self.state),)], "v string").coalesce(1).write.text(f"{self.path}/manifest/{self.state['version']:08d}")
+        for x in gone:
+            self._drop(x)
 
     def drop(self) -> None:
-        release(*self.runs())
+        """Removes the index."""
+        for x in list(self.runs):
+            self._drop(x)
+        self._fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path), True)
+
+
+def _keyed(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """Rows are told apart by id and text; rows that are equal in both are one document."""
+    t = F.col(text).cast("binary")
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(t).alias("t"), t.alias("text"))
+
+
+def stretches_of(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW) -> DataFrame:
+    """What the index takes of each row of ``docs``, as a table."""
+    return materialize(_keyed(docs, text, key).mapInArrow(_base(window), BASE), "sub-base")
+
+
+def _judged(docs: DataFrame, text: str, key: str, window: int, batches: int, with_text: bool) -> DataFrame:
+    """(doc_id, t, n_words, n_removed, kept_sha256, kept_text), a row for each row of ``docs``."""
+    spark = docs.sparkSession
+    rows, base = _keyed(docs, text, key), stretches_of(docs, text, key, window)
+    index = FingerprintIndex(spark, f"{shared_dir(spark)}/index-{uuid.uuid4().hex}", window)
+    low, high = base.agg(F.min("doc_id"), F.max("doc_id")).first()
+    step, found = 1 if low is None else max(1, -(-(high - low + 1) // batches)), []
+    for at in range(0 if low is None else low, 1 if low is None else high + 1, step):
+        found.append(index.add(base.where((F.col("doc_id") >= at) & (F.col("doc_id") < at + step)), rows.where(F.col("doc_id") < at + step)))
+    index.drop()
+    cut = rows.join(reduce(DataFrame.unionByName, found), ["doc_id", "t"]).dropDuplicates(["doc_id", "t"]).select("doc_id", "t", "text", "spans")
+    cut = cut.mapInArrow(_cut(window, with_text), "doc_id long, t long, n_removed long, kept_sha string, kept_text string")
+    out = base.select("doc_id", "t", "n_words", "sha").join(cut, ["doc_id", "t"], "left")
+    return out.select("doc_id", "t", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("kept_sha", "sha").alias("kept_sha256"), "kept_text")
 
 
 def repeated_words(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW, batches: int = BATCHES, with_text: bool = False) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256 [, kept_text]), a row for each document.
+    """(doc_id, n_words, n_removed, kept_sha256 [, kept_text]), a row for each row of ``docs``; kept_text is null where
+    nothing was removed.
 
     A word goes if a window that covers it has a word sequence that also starts in a document with a smaller doc_id;
     the windows are those of the input. Words are runs of anything but ASCII white space, compared unchanged; a null
-    text has none, and a text of fewer words than a window, or without a doc_id, loses none. doc_id is the key: a row that repeats one with the
-    same text is treated as the same document. Empty tables give an empty result; other columns are not looked at."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    base = materialize(rows.mapInArrow(_base(window), "doc_id long, n_words long, sha string, fps array<long>"), "sub-base")
-    index = FingerprintIndex(docs.sparkSession)
-    low, high = base.agg(F.min("doc_id"), F.max("doc_id")).first()
-    if low is not None:
-        step = max(1, -(-(high - low + 1) // batches))
-        for at in range(low, high + 1, step):
-            index.add(base.where((F.col("doc_id") >= at) & (F.col("doc_id") < at + step)).select("doc_id", "fps"))
-    else:
-        index.add(base.select("doc_id", "fps"))
-    shared = materialize(index.shared(), "sub-shared")
-    index.drop()
-    candidate = base.select("doc_id", F.explode("fps").alias("fp")).join(shared, "fp").groupBy("doc_id").agg(F.collect_list("fp").alias("fps"))
-    texts = materialize(rows.join(candidate, "doc_id"), "sub-text")
-
-    runs = materialize(texts.mapInArrow(_stretches(window), "doc_id long, fp long, s long, e long, h1 long, h2 long"), "sub-run")
-    owner = materialize(runs.groupBy("h1", "h2").agg(F.min("doc_id").alias("owner")), "sub-owner")
-    judged = materialize(runs.join(owner, ["h1", "h2"]).select("doc_id", "fp", "s", "e", (F.col("owner") < F.col("doc_id")).alias("known")), "sub-judged")
-    release(runs, owner)
-    # stretches without an equal one before: their windows one by one, with those of all documents of the fingerprint
-    rest = judged.where("not known").join(shared, "fp").where("lo < doc_id").select("fp").distinct()
-    rest = materialize(rest, "sub-rest")
-    spans = judged.join(rest, "fp").groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    windows = materialize(texts.select("doc_id", "text").join(spans, "doc_id").mapInArrow(_windows(window), "doc_id long, s long, h1 long, h2 long"), "sub-window")
-    first = materialize(windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("owner")), "sub-owner")
-    single = windows.join(first, ["h1", "h2"]).where("owner < doc_id").select("doc_id", "s", F.col("s").alias("e"))
-    gone = judged.where("known").select("doc_id", "s", "e").unionByName(single).groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    cut = texts.select("doc_id", "text").join(gone, "doc_id").mapInArrow(_cut(window, with_text), "doc_id long, n_removed long, kept_sha string, kept_text string")
-    cut = cut.dropDuplicates(["doc_id"])
-    out = base.select("doc_id", "n_words", "sha").join(cut, "doc_id", "left")
-    out = out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("kept_sha", "sha").alias("kept_sha256"), "kept_text")
+    text has none, and a text of fewer words than a window, or without a doc_id, loses none and takes none from others.
+    Rows that repeat a doc_id are judged each by its own text, and not by each other. Empty tables give an empty result;
+    other columns are not looked at. Documents are indexed in batches in the order of their ids."""
+    out = _judged(docs, text, key, window, batches, with_text).drop("t")
     return out if with_text else out.drop("kept_text")
 
 
-def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", **how) -> DataFrame:
+def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW, batches: int = BATCHES) -> DataFrame:
     """``docs`` with the repeated words taken out of their texts; a text that loses none is unchanged."""
-    cut = repeated_words(docs, text, key, with_text=True, **how).where("n_removed > 0").select(F.col("doc_id").alias("_cut_id"), "kept_text")
-    out = docs.join(cut, docs[key].cast("long") == cut["_cut_id"], "left")
-    return out.select(*((F.coalesce(cut["kept_text"], docs[c]) if c == text else docs[c]).alias(c) for c in docs.columns))
+    cut = _judged(docs, text, key, window, batches, True).where("n_removed > 0")
+    cut = cut.select(F.col("doc_id").alias("_cut_id"), F.col("t").alias("_cut_t"), F.col("kept_text").alias("_cut_text")).dropDuplicates(["_cut_id", "_cut_t"])
+    out = docs.join(cut, (docs[key].cast("long") == cut["_cut_id"]) & (F.xxhash64(docs[text].cast("binary")) == cut["_cut_t"]), "left")
+    return out.select(*((F.coalesce(cut["_cut_text"], docs[c].cast("string")) if c == text else docs[c]).alias(c) for c in docs.columns))

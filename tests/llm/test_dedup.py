@@ -5,6 +5,7 @@ import re
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from slotweave.llm import common, exact_dedup, minhash, substring_dedup
 
@@ -187,9 +188,82 @@ def test_rows_without_an_id(docs_of):
     assert sorted(r["n_removed"] for r in substring_dedup.repeated_words(df).collect()) == [0, 0, 0, 0]
 
 
-def test_index_compacts(spark):
-    index = substring_dedup.FingerprintIndex(spark)
-    for k in range(5):
-        index.add(spark.createDataFrame([(k, [k, 100]), (k + 50, [100 + k])], "doc_id long, fps array<long>"))
-    assert [len(t) for t in index.tiers] == [1, 1]
-    assert sorted(tuple(r) for r in index.shared().collect()) == [(100, 0)]
+def repeated_by_force(rows, window):
+    """Rows that may repeat or lack an id: (id, words, words that go)."""
+    words = [(i, (t or "").encode().split()) for i, t in rows]
+    first = {}
+    for i, w in words:
+        for s in range(len(w) - window + 1) if i is not None else ():
+            key = tuple(w[s : s + window])
+            first[key] = min(first.get(key, i), i)
+    out = []
+    for i, w in words:
+        gone = {k for s in range(len(w) - window + 1) if i is not None and first[tuple(w[s : s + window])] < i for k in range(s, s + window)}
+        out.append((i, len(w), len(gone), hashlib.sha256(b" ".join(x for k, x in enumerate(w) if k not in gone)).hexdigest()))
+    return sorted(out, key=str)
+
+
+def passages_and_words(seed, n, ids, rate=0.003):
+    r = random.Random(seed)
+    passages = [[r.choice(WORDS) for _ in range(r.choice([30, 49, 50, 51, 80, 200]))] for _ in range(12)]
+    rows = []
+    for k in range(n):
+        parts = [r.choice(passages) if r.random() < 0.6 else [r.choice(WORDS) for _ in range(r.randint(1, 60))] for _ in range(r.randint(1, 5))]
+        rows.append((ids(r, k), " ".join(w if r.random() > rate else "x" for p in parts for w in p)))
+    return rows
+
+
+@pytest.mark.parametrize("batches", [1, 2, 3, 7])
+def test_substrings_with_ids_that_repeat(docs_of, batches):
+    rows = passages_and_words(5, 90, lambda r, k: r.choice([None, 3, 40, k, k, -k]))
+    df = docs_of(rows)
+    got = sorted(((x["doc_id"], x["n_words"], x["n_removed"], x["kept_sha256"]) for x in substring_dedup.repeated_words(df, batches=batches).collect()), key=str)
+    assert got == repeated_by_force(rows, 50)
+    kept = {(x[0], x[3]) for x in got}
+    assert {(x["doc_id"], hashlib.sha256(b" ".join(x["text"].encode().split())).hexdigest()) for x in substring_dedup.drop_repeats(df, batches=batches).collect()} == kept
+
+
+def test_one_sequence_in_very_many_documents(docs_of):
+    r = random.Random(8)
+    line = [r.choice(WORDS) for _ in range(45)]
+    rows = [(k, " ".join([r.choice(WORDS) for _ in range(r.randint(0, 9))] + line + [r.choice(WORDS) for _ in range(r.randint(0, 9))])) for k in range(400)]
+    got = sorted(((x["doc_id"], x["n_words"], x["n_removed"], x["kept_sha256"]) for x in substring_dedup.repeated_words(docs_of(rows)).collect()), key=str)
+    assert got == repeated_by_force(rows, 50)
+
+
+def test_index_that_grows_and_is_opened_again(spark, docs_of, tmp_path):
+    """Batches one by one, each with an index that was opened anew, know the same windows as all documents at once."""
+    rows = [(k, t) for k, (_, t) in enumerate(passages_and_words(6, 100, lambda r, k: k))]
+    want = {i: (n, gone) for i, n, gone, _ in repeated_by_force(rows, 50)}
+    tiers = []
+    for at in range(0, 100, 20):
+        index = substring_dedup.FingerprintIndex(spark, f"{tmp_path}/index")
+        batch = docs_of(rows[at : at + 20])
+        spans = {r["doc_id"]: [x.asDict() for x in r["spans"]] for r in index.add(substring_dedup.stretches_of(batch), substring_dedup._keyed(docs_of(rows[: at + 20]), "text", "doc_id")).collect()}
+        for i, _ in rows[at : at + 20]:
+            assert int(substring_dedup.covered(want[i][0], spans.get(i, []), 50).sum()) == want[i][1]
+        tiers.append([len(t) for t in index.state["tiers"]])
+    assert tiers == [[1], [0, 1], [1, 1], [0, 0, 1], [1, 0, 1]]
+    assert sum(r.count() for r in index.runs.values()) >= max(r.count() for r in index.runs.values()) > 0
+    with pytest.raises(ValueError):
+        substring_dedup.FingerprintIndex(spark, f"{tmp_path}/index", 40)
+    # the same batch again: history has all of it
+    again = index.add(substring_dedup.stretches_of(docs_of(rows[:20])), substring_dedup._keyed(docs_of(rows), "text", "doc_id"))
+    lost = {r["doc_id"]: int(substring_dedup.covered(want[r["doc_id"]][0], [x.asDict() for x in r["spans"]], 50).sum()) for r in again.collect()}
+    assert lost == {i: n for i, (n, _) in want.items() if i < 20 and n >= 50}
+    index.drop()
+    assert not (tmp_path / "index").exists()
+
+
+def test_runs_are_merged_without_a_shuffle(spark, docs_of, tmp_path):
+    index = substring_dedup.FingerprintIndex(spark, f"{tmp_path}/index")
+    rows = passages_and_words(9, 60, lambda r, k: k)
+    names = [index._write(substring_dedup.stretches_of(docs_of(part)).select("doc_id", "t", F.explode(F.arrays_zip("fp", "s", "e", "h1", "h2")).alias("x")).select("doc_id", "t", "x.*", F.col("doc_id").alias("last"), F.lit(0).alias("batch")).dropDuplicates(["h1", "h2"])) for part in (rows[:30], rows[30:])]
+    a, b = (index.runs[n] for n in names)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for df in (substring_dedup._merged(a, b), a.join(b.select("h1", "h2"), ["h1", "h2"], "left")):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    index.drop()
