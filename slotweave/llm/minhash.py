@@ -15,6 +15,7 @@ families; in the others the pairs that may still be linked are found exactly by
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ from .common import connected_components, gram_hashes, id_of, materialize, mix64
 ROWS, BANDS = 4, 24
 #: Levels of W to a doubling (see _left_over).
 LEVELS = 8
+#: Members of a group from which pairs are made; of a larger one a family is made (see _left_over).
+GROUP = 64
 COORDINATES = ROWS * BANDS
 _SEEDS = mix64(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _EMPTY = np.uint64(2**64 - 1)
@@ -166,8 +169,9 @@ def _searched(docs: DataFrame, text: str, key: str, k: int, percent: int) -> Dat
     family = materialize(connected_components(star, "a", "b").withColumnRenamed("component", "family"), "mh-family")
     at = materialize(family.join(parts, "id", "left").select("id", "family", F.coalesce("component", "id").alias("part")), "mh-at")
     split = materialize(at.groupBy("family").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("family", "m"), "mh-split")
-    more = materialize(_confirmed(_left_over(at.join(split.select("family"), "family"), split, sets, percent), sets, percent), "mh-link")
-    final = parts if more.isEmpty() else materialize(connected_components(links.unionByName(more), "a", "b"), "mh-part")
+    # nothing is left over where each family is one component
+    more = None if split.isEmpty() else materialize(_confirmed(_left_over(at.join(split.select("family"), "family"), split, sets, percent), sets, percent), "mh-link")
+    final = parts if more is None or more.isEmpty() else materialize(connected_components(links.unionByName(more), "a", "b"), "mh-part")
     release(sets, star, family, at)
 
     of_class = materialize(classes.join(final, "id", "left").select("h1", "h2", "doc_id", F.coalesce("component", "id").alias("component")), "mh-of-class")
@@ -180,6 +184,24 @@ def _searched(docs: DataFrame, text: str, key: str, k: int, percent: int) -> Dat
 def _left_over(members: DataFrame, split: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of families with several components, the pairs (a, b) that may still be linked.
 
+    Members that share a difference meet (see _meetings), and a group of at most GROUP of them gives its pairs. Of a
+    larger one a family of its own is made: with the shingles that most of *its* members have as the centre, what they
+    share is no difference any more, so near misses that have only that in common don't meet again, and the others meet
+    in smaller groups. That the centre has lost a difference of each member ends the rounds; any centre finds all
+    pairs. So pairs stay within GROUP / 2 times the meetings."""
+    found: list[DataFrame] = []
+    while True:
+        pairs, hot = _meetings(members, split, sets, percent)
+        found.append(pairs)
+        if hot is None:
+            return materialize(reduce(DataFrame.unionByName, found).distinct(), "mh-pair")
+        members = hot
+        split = materialize(hot.groupBy("family").agg(F.count("*").alias("m")), "mh-split")
+
+
+def _meetings(members: DataFrame, split: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None]:
+    """(a, b) of the pairs of small groups, and the members (family, id, part) of families that large groups make.
+
     C: the shingles that more than half of a family has. A member is C without r of its shingles and with e others, and
     its difference D is both. For members x, y that share s of their differences, intersection and union are
     |C| - rx - ry + s and |C| + ex + ey - s, so they are linked exactly if W(x) + W(y) <= (100 - p) |C| + (100 + p) s with
@@ -215,14 +237,21 @@ def _left_over(members: DataFrame, split: DataFrame, sets: DataFrame, percent: i
     pair_of = lambda lo, hi: [F.least(lo, hi).alias("l1"), F.greatest(lo, hi).alias("l2")]
     meet = meet.select("family", "x", "id", "part", "n", "own", "other", *pair_of("own", "other"))
     by = ["family", "x", "l1", "l2"]
-    mixed = materialize(meet.groupBy(*by).agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select(*by), "mh-mixed")
-    meet = materialize(meet.join(mixed, by), "mh-mixed")
+    mixed = meet.groupBy(*by).agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("size")).where("lo < hi").select(*by, "size")
+    mixed = materialize(mixed, "mh-mixed")
+    large = materialize(mixed.where(F.col("size") > GROUP).select("family", "x").distinct(), "mh-large")
+    some_large = not large.isEmpty()
+    hot = materialize(meet.join(large, ["family", "x"]).select(F.xxhash64("family", "x").alias("family"), "id", "part").distinct(), "mh-hot") if some_large else None
+    small = mixed.join(large, ["family", "x"], "left_anti") if some_large else mixed
+    both = materialize(meet.join(small.drop("size"), by), "mh-mixed")
+    release(meet, mixed)
+    meet = both
     left = meet.select("family", "x", F.col("own").alias("l1"), F.col("other").alias("l2"), F.col("id").alias("a"), F.col("part").alias("pa"), F.col("n").alias("na"))
     right = meet.select("family", "x", F.col("other").alias("l1"), F.col("own").alias("l2"), F.col("id").alias("b"), F.col("part").alias("pb"), F.col("n").alias("nb"))
     pairs = left.join(right, by).where((F.col("a") < F.col("b")) & (F.col("pa") != F.col("pb")) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * p))
     pairs = materialize(pairs.select("a", "b").unionByName(star).distinct(), "mh-pair")
     release(d, meet)
-    return pairs
+    return pairs, hot
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -121,6 +121,34 @@ def test_near_with_ids_that_repeat(docs_of):
     assert sorted(((x["doc_id"], x["text"]) for x in minhash.drop_near_copies(df).collect()), key=str) == sorted(stay, key=str)
 
 
+@pytest.mark.parametrize("group", [64, 6])
+def test_near_misses_that_share_a_difference(docs_of, monkeypatch, group):
+    """A family of which half the members share edits, and are no links of each other nor of the rest but for a few."""
+    monkeypatch.setattr(minhash, "GROUP", group)
+    r = random.Random(12)
+    base = [r.choice(WORDS) for _ in range(220)]
+    texts = [" ".join("y" if r.random() < 0.002 else w for w in base) for _ in range(160)]
+    shared = [base[:40], ["edit", "one"], base[44:90], ["edit", "two", "is", "here"], base[95:]]
+    for _ in range(150):
+        w = [x for part in shared for x in part]
+        for at in r.sample(range(len(w)), r.choice([4, 5, 5, 6, 6, 7])):
+            w[at] = f"u{r.random()}" if r.random() < 0.9 else "often"
+        texts.append(" ".join(w))
+    r.shuffle(texts)
+    rows, asked = list(enumerate(texts)), []
+    confirmed = minhash._confirmed
+
+    def counted(pairs, sets, percent):
+        asked.append(pairs.count())
+        return confirmed(pairs, sets, percent)
+
+    monkeypatch.setattr(minhash, "_confirmed", counted)
+    got = {i: (x["n_shingles"], x["component_id"], x["kept"]) for i, x in by_id(minhash.near_copies(docs_of(rows), k=4)).items()}
+    assert got == near_by_force(rows, 4)
+    # 150 members share the edits: a group of all of them has 11,175 pairs
+    assert 20 < len({c for _, c, _ in got.values()}) and len(asked) == 2 and sum(asked) <= (4 if group == 6 else 32) * len(texts)
+
+
 def test_sketch_fills_and_estimates():
     import numpy as np
 
