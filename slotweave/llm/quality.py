@@ -2,7 +2,7 @@
 
 View 1 is the text's content: shares and pairs of character classes, line and word statistics, hashed words. View 2 is
 the page's metadata: source, language and length. Each view has a logistic model, fitted until its gradient vanishes
-(TOLERANCE). In each round both views judge every document without a label, wherever it lies, and the most confident
+(TOLERANCE). In each round both views judge every document that no label was drawn for, and the most confident
 labels of one view over the whole corpus join the other's training rows. The views are calibrated on labelled rows that
 neither was trained on, and combined by a logistic model of their two scores there, with weights of 0 or more: a view
 that knows nothing gets no say. Every document is then scored from its whole text.
@@ -13,6 +13,7 @@ from. PER_ROUND is how many pseudo-labels a view hands on in a round."""
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,9 +23,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions
+from .common import materialize, release
 
 LABELLED = 5000
+#: Hashed groups in which the surest documents are cut before their keys come to the driver.
+GROUPS = 32
 WORDS, SOURCES, LANGS, SIZES = 1024, 256, 32, 24
 ROUNDS, PER_ROUND, SURE = 4, 150, 0.97
 #: A fit ends when the largest part of its gradient, for a mean loss, is below this.
@@ -291,12 +294,18 @@ def _most_sure(unlabelled: DataFrame):
     def pick(weights: list[np.ndarray], quota: dict[tuple[int, int], int], taken: set[int]) -> list[Pick]:
         shared = spark.sparkContext.broadcast(weights)
         best = unlabelled.drop("doc_id").mapInArrow(_sure(shared, quota, taken), "h long, stats binary, words binary, tf binary, meta binary, view int, label int, sure double")
-        most = max(quota.values())
-        order = [F.col("sure").desc(), F.col("h")]
-        for by in (["view", "label", F.pmod("h", F.lit(partitions(spark)))], ["view", "label"]):
-            best = best.dropDuplicates(["view", "label", "h"]) if len(by) == 3 else best
-            best = best.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("r") <= most)
-        got = [r for r in best.collect() if r["r"] <= quota[r["view"], r["label"]]]
+        dealt = best.dropDuplicates(["view", "label", "h"]).withColumn("group", F.pmod("h", F.lit(GROUPS)))
+        w = Window.partitionBy("view", "label", "group").orderBy(F.col("sure").desc(), "h")
+        best = materialize(dealt.withColumn("r", F.row_number().over(w)).where(F.col("r") <= max(quota.values())), "quality-sure")
+        # at most a quota of keys a group, view and label; then the features of the chosen ones
+        seen: Counter[tuple[int, int]] = Counter()
+        chosen = set()
+        for r in sorted(best.select("view", "label", "h", "sure").collect(), key=lambda r: (-r["sure"], r["h"])):
+            if seen[r["view"], r["label"]] < quota[r["view"], r["label"]]:
+                seen[r["view"], r["label"]] += 1
+                chosen.add((r["view"], r["label"], r["h"]))
+        got = [r for r in best.where(F.col("h").isin([h for *_, h in chosen])).collect() if (r["view"], r["label"], r["h"]) in chosen] if chosen else []
+        release(best)
         if not got:
             return []
         x, m = text_matrix(*([r[c] for r in got] for c in ("stats", "words", "tf"))), meta_matrix([r["meta"] for r in got])
@@ -305,29 +314,25 @@ def _most_sure(unlabelled: DataFrame):
     return pick
 
 
-def with_labels(rows: DataFrame, labels: DataFrame, key: str = "doc_id", quality: str = "quality") -> DataFrame:
-    """The features with the ``quality`` of their id, null for those without a label. Labels are 1 (good) and 0; other
-    values, and null ones, are none; of several for one id the smallest counts. Rows without an id have none and are
-    dealt out by their hash."""
+def learn(rows: DataFrame, labels: DataFrame, key: str = "doc_id", quality: str = "quality", labelled: int = LABELLED, rounds: int = ROUNDS) -> CoTrained | None:
+    """A model from a table of ``features`` and labels: 1 (good) or 0; other values, and null ones, are none; of several
+    for one id the smallest counts.
+
+    About ``labelled`` of the labels are drawn by a hash of their ids (the ids fit a broadcast), and no more than that of the
+    rows that have them, where ids repeat; equal rows are learned once. All rows but those with a drawn id are the pool
+    that the rounds judge. None without both classes."""
     lab = labels.select(F.col(key).cast("long").alias("doc_id"), F.col(quality).cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)")
-    lab = lab.groupBy("doc_id").agg(F.min("quality").alias("quality")).select(F.col("doc_id").alias("_of"), F.lit(0).cast("long").alias("_salt"), "quality")
-    dealt = rows.withColumns({"_id": F.coalesce("doc_id", F.lit(0).cast("long")), "_s": F.when(F.col("doc_id").isNull(), F.col("h").bitwiseOR(F.lit(1))).otherwise(F.lit(0).cast("long"))})
-    return dealt.join(lab, (F.col("_id") == F.col("_of")) & (F.col("_s") == F.col("_salt")), "left").drop("_id", "_s", "_of", "_salt")
-
-
-def learn(rows: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS) -> CoTrained | None:
-    """A model from a table of ``with_labels``: about ``labelled`` rows with a label, drawn by a hash, and the rounds over
-    all rows without one. Rows that repeat an id are rows as any other; equal ones are learned once. None without both
-    classes."""
-    lab = rows.where("quality is not null").dropDuplicates(["doc_id", "h"])
-    place = F.pmod(F.xxhash64("doc_id", "h", F.lit(7)), F.lit(1 << 40)) / float(1 << 40)
-    got = sorted(lab.where(place < labelled / max(lab.count(), 1)).collect(), key=lambda r: (r["doc_id"], r["h"]))
+    lab = lab.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    place = lambda seed, *by: F.pmod(F.xxhash64(*by, F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
+    drawn = materialize(lab.where(place(7, "doc_id") < labelled / max(lab.count(), 1)), "quality-labels")
+    of = materialize(rows.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id", "h"]), "quality-labelled")
+    got = sorted(of.where(place(8, "doc_id", "h") < 1.5 * labelled / max(of.count(), 1)).collect(), key=lambda r: (r["doc_id"], r["h"]))
     if not got:
         return None
     x, m = text_matrix(*([r[c] for r in got] for c in ("stats", "words", "tf"))), meta_matrix([r["meta"] for r in got])
     y = np.array([r["quality"] for r in got], np.float64)
     fold = np.array([xxhash.xxh3_64_intdigest(f"fold{r['doc_id']}".encode()) % 4 == 0 for r in got])
-    return co_train(x, m, y, fold, _most_sure(rows.where("quality is null").drop("quality")), rounds)
+    return co_train(x, m, y, fold, _most_sure(rows.join(F.broadcast(drawn.select("doc_id")), "doc_id", "left_anti")), rounds)
 
 
 def _probabilities(shared):
@@ -350,8 +355,8 @@ def score(rows: DataFrame, model: CoTrained | None) -> DataFrame:
 
 def trained(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", quality: str = "quality", labelled: int = LABELLED) -> tuple[DataFrame, CoTrained | None]:
     """The features of all documents as a table, and the model that was learned from them."""
-    rows = materialize(with_labels(features(docs, text, key), labels, key, quality), "quality-features")
-    return rows, learn(rows, labelled)
+    rows = materialize(features(docs, text, key), "quality-features")
+    return rows, learn(rows, labels, key, quality, labelled)
 
 
 def classify(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
