@@ -1,11 +1,12 @@
 """Edit-aware token counts.
 
-The pre-tokens of a document (pieces that the BPE encodes apart) are grouped to leaves; a segment tree holds the sums of
-their tokens. An edit re-cuts the text only from the leaf with the last pre-token that can't have seen it (a pre-token is
-decided by its own characters and at most two after them) to the first old boundary beyond it that the new cut meets:
-from there on the same text is cut the same way. The leaves in between are replaced and the sums above them updated.
+The pre-tokens of a document (pieces that the BPE encodes apart) are grouped to leaves of LEAF; a segment tree holds the
+sums of their characters and tokens. An edit re-cuts the text only from the last boundary of leaves that can't have seen it
+(a pre-token is decided by its own characters and at most two after them) to the first old boundary of leaves beyond it
+that the new cut meets: from there on the same text is cut the same way. The leaves in between are replaced and the
+sums above them updated.
 
-Trees are kept as a table (``build``): the text and, of each leaf, the characters and tokens of its pre-tokens.
+Trees are kept as a table (``build``): the text, and the characters and tokens of its leaves.
 ``edited`` takes a batch of edits against it and gives the table as it is then, which the next batch is taken against;
 nothing but the edited regions is cut or encoded again, and a text is put together once for all its edits. A text that
 holds a string that the tokenizer takes for a token of its own is cut around it, and anew after an edit."""
@@ -13,7 +14,6 @@ holds a string that the tokenizer takes for a token of its own is cut around it,
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import materialize
 from .tokens import CACHE_UNITS, default_path, encoder
 
-LEAF = 32
+LEAF = 8
 #: Edits that the query applies: personal data becomes a mark. Each has a character that a text must hold to be searched,
 #: and a pattern of bounded length, so that matching stays linear.
 REDACTIONS = (("@", re.compile(r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,4}"), "[EMAIL]"), ("", re.compile(r"\+?\d[\d ()-]{7,17}\d"), "[NUMBER]"))
@@ -74,37 +74,40 @@ class Counter:
             size *= 2
 
 
-class TokenTree:
-    """Leaves of pre-tokens of a document, with sums of characters and tokens over a segment tree."""
+def leaves_of(sizes: list[int], tokens: list[int], per: int = LEAF) -> tuple[list[int], list[int]]:
+    """Characters and tokens of leaves of ``per`` pre-tokens."""
+    at = range(0, len(sizes), per)
+    return [sum(sizes[i : i + per]) for i in at], [sum(tokens[i : i + per]) for i in at]
 
-    def __init__(self, counter: Counter, leaves: list[tuple[list[int], list[int]]]) -> None:
-        self.counter = counter
-        self.leaves = leaves
-        self._build()
 
-    @classmethod
-    def of(cls, counter: Counter, text: str) -> TokenTree:
-        pre = counter.cut(text)
-        size, tokens = list(map(len, pre)), counter.counts(pre)
-        return cls(counter, [(size[i : i + LEAF], tokens[i : i + LEAF]) for i in range(0, len(pre), LEAF)])
+class TokenTree:
+    """Sums of characters and tokens over the leaves of a document, as a segment tree each."""
 
-    def _build(self) -> None:
-        n = max(1, 1 << (max(1, len(self.leaves)) - 1).bit_length())
-        self.width = n
+    def __init__(self, counter: Counter, chars: list[int], tokens: list[int]) -> None:
+        self.counter, self.n = counter, len(chars)
+        n = self.width = max(1, 1 << (max(1, self.n) - 1).bit_length())
         self.chars, self.tokens = np.zeros(2 * n, np.int64), np.zeros(2 * n, np.int64)
-        for k, (size, tokens) in enumerate(self.leaves):
-            self.chars[n + k], self.tokens[n + k] = sum(size), sum(tokens)
+        self.chars[n : n + self.n], self.tokens[n : n + self.n] = chars, tokens
         level = n
         while level > 1:
             half = level // 2
-            self.chars[half:level] = self.chars[level : 2 * level].reshape(-1, 2).sum(axis=1)
-            self.tokens[half:level] = self.tokens[level : 2 * level].reshape(-1, 2).sum(axis=1)
+            for sums in (self.chars, self.tokens):
+                sums[half:level] = sums[level : 2 * level].reshape(-1, 2).sum(axis=1)
             level = half
 
+    @classmethod
+    def of(cls, counter: Counter, text: str) -> TokenTree:
+        pre = counter.cut(text)
+        return cls(counter, *leaves_of(list(map(len, pre)), counter.counts(pre)))
+
     @property
     def total(self) -> int:
         return int(self.tokens[1])
 
+    @property
+    def leaves(self) -> tuple[list[int], list[int]]:
+        return tuple(x[self.width : self.width + self.n].tolist() for x in (self.chars, self.tokens))
+
     def _leaf_at(self, char: int) -> tuple[int, int]:
         """The leaf that holds a character (the last, beyond the end), and where it starts."""
         k, start = 1, 0
@@ -115,10 +118,9 @@ class TokenTree:
                 k += 1
         return k - self.width, start
 
-    def _set(self, leaf: int, content: tuple[list[int], list[int]]) -> None:
-        self.leaves[leaf] = content
+    def _set(self, leaf: int, chars: int, tokens: int) -> None:
         k = self.width + leaf
-        dc, dt = sum(content[0]) - int(self.chars[k]), sum(content[1]) - int(self.tokens[k])
+        dc, dt = chars - int(self.chars[k]), tokens - int(self.tokens[k])
         while k:
             self.chars[k] += dc
             self.tokens[k] += dt
@@ -133,7 +135,7 @@ class TokenTree:
             at = end
         out = "".join([*parts, text[at:]])
         if self.counter.encoder.added.search(text) or self.counter.encoder.added.search(out):
-            self.__init__(self.counter, TokenTree.of(self.counter, out).leaves)
+            self.__init__(self.counter, *TokenTree.of(self.counter, out).leaves)
             return out
         shift = len(out) - len(text)
         for start, end, new in reversed(edits):
@@ -144,56 +146,39 @@ class TokenTree:
     def _replace(self, text: str, out: str, start: int, end: int, size: int, shift: int) -> None:
         """The document reads text[:end] and then on as it will; text[start:end] becomes the ``size`` characters of
         ``out`` at start + shift."""
-        delta = size - (end - start)
-        if not self.leaves:
-            self.__init__(self.counter, TokenTree.of(self.counter, text[:start] + out[start + shift :]).leaves)
+        delta, length = size - (end - start), int(self.chars[1])
+        if not length:
+            self.__init__(self.counter, *TokenTree.of(self.counter, out[start + shift :]).leaves)
             return
-        length = int(self.chars[1])
-        # the last boundary whose pre-token before can't have seen the edit
-        leaf, at = self._leaf_at(max(0, start - 2))
-        while True:
-            bounds = np.concatenate([[at], at + np.cumsum(self.leaves[leaf][0])])
-            safe = bounds[:-1][(bounds[:-1] == 0) | (bounds[:-1] + 2 <= start)]
-            if len(safe) or leaf == 0:
-                break
-            leaf -= 1
-            at -= int(self.chars[self.width + leaf])
-        first = leaf
-        keep = bisect_right(bounds.tolist(), int(safe[-1])) - 1 if len(safe) else 0
-        keep = max(0, keep - 1)  # the pre-token before is cut anew as context
-        pos = begin = int(bounds[keep])
+        # the last boundary before which no pre-token can have seen the edit
+        first, pos = self._leaf_at(max(0, start - 2))
         # cut until an old boundary beyond the edit is met
+        last, at = self._leaf_at(min(max(end, pos), length - 1))
+        begin, bound = pos, at + int(self.chars[self.width + last])
         pre: list[str] = []
-        last, last_at = self._leaf_at(min(max(end, pos), length - 1))
-        ends = last_at + np.cumsum(self.leaves[last][0])
-        met = None
+        met = False
         for piece in self.counter.cut_on(text[pos:start], out, start + shift):
             pre.append(piece)
             pos += len(piece)
-            o = pos - delta
-            if pos >= start + size and o >= end:
-                while o > last_at + self.chars[self.width + last] and last + 1 < len(self.leaves):
-                    last_at += int(self.chars[self.width + last])
+            if pos >= start + size:
+                while bound < pos - delta and last + 1 < self.n:
                     last += 1
-                    ends = last_at + np.cumsum(self.leaves[last][0])
-                hit = np.flatnonzero(ends == o)
-                if len(hit):
-                    met = int(hit[0]) + 1
+                    bound += int(self.chars[self.width + last])
+                if bound == pos - delta and bound >= end:
+                    met = True
                     break
         self.counter.read += pos - begin
-        tail = (self.leaves[last][0][met:], self.leaves[last][1][met:]) if met is not None else ([], [])
-        if met is None:
-            last = len(self.leaves) - 1
-        head = (self.leaves[first][0][:keep], self.leaves[first][1][:keep])
-        sizes, tokens = [*head[0], *map(len, pre), *tail[0]], [*head[1], *self.counter.counts(pre), *tail[1]]
-        if len(sizes) <= LEAF * 2 * (last - first + 1):
+        if not met:
+            last = self.n - 1
+        sizes, tokens, touched = list(map(len, pre)), self.counter.counts(pre), last - first + 1
+        if len(pre) <= LEAF * 2 * touched:
             # the touched leaves take the new content; leaves that are left without any hold nothing
-            per = max(1, -(-len(sizes) // (last - first + 1)))
-            for i, k in enumerate(range(first, last + 1)):
-                self._set(k, (sizes[i * per : (i + 1) * per], tokens[i * per : (i + 1) * per]))
+            new = leaves_of(sizes, tokens, max(1, -(-len(pre) // touched)))
+            for k in range(touched):
+                self._set(first + k, *((new[0][k], new[1][k]) if k < len(new[0]) else (0, 0)))
         else:
-            self.leaves[first : last + 1] = [(sizes[i : i + LEAF], tokens[i : i + LEAF]) for i in range(0, len(sizes), LEAF)]
-            self._build()
+            kept, new = self.leaves, leaves_of(sizes, tokens)
+            self.__init__(self.counter, *(x[:first] + n + x[last + 1 :] for x, n in zip(kept, new, strict=True)))
 
 
 def redactions(text: str) -> list[tuple[int, int, str]]:
@@ -208,14 +193,15 @@ def redactions(text: str) -> list[tuple[int, int, str]]:
 
 
 # --- Spark ----------------------------------------------------------------------------------------------------------
-TREES = "doc_id long, text string, n_tokens long, leaves array<struct<chars: array<int>, tokens: array<int>>>"
-
-
-def _kept(leaves: list[tuple[list[int], list[int]]]) -> list[dict]:
-    return [{"chars": size, "tokens": tokens} for size, tokens in leaves]
+TREES = "doc_id long, text string, n_tokens long, chars array<int>, tokens array<int>"
+_LISTS = ("chars", "tokens")
 
 
-_LEAVES = pa.list_(pa.struct([("chars", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32()))]))
+def _lists(parts: list) -> pa.ListArray:
+    """A list column from the rows' numbers."""
+    offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
+    flat = np.concatenate([np.asarray(p, np.int32) for p in parts]) if parts else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
 
 
 def _build_rows(path: str):
@@ -224,63 +210,73 @@ def _build_rows(path: str):
         for whole in batches:
             for at in range(0, whole.num_rows, 200):
                 b = whole.slice(at, 200)
-                trees = [TokenTree.of(counter, text or "") for text in b.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([t.total for t in trees], pa.int64()), pa.array([_kept(t.leaves) for t in trees], _LEAVES)], names=["doc_id", "text", "n_tokens", "leaves"])
+                chars, tokens = [], []
+                for text in b.column(1).to_pylist():
+                    pre = counter.cut(text or "")
+                    starts = np.arange(0, len(pre), LEAF)
+                    for out, x in ((chars, list(map(len, pre))), (tokens, counter.counts(pre))):
+                        out.append(np.add.reduceat(np.array(x, np.int64), starts) if x else [])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([int(sum(t)) for t in tokens], pa.int64()), _lists(chars), _lists(tokens)], names=["doc_id", "text", "n_tokens", *_LISTS])
 
     return rows
 
 
 def build(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str | None = None) -> DataFrame:
-    """(doc_id, text, n_tokens, leaves): the tree of each row of ``docs``. A null text stays null and counts as empty, with 0
-    tokens; very long texts are read at once by one task, in memory of a few times their size; repeated rows are counted
-    alike; an empty table gives an empty result; other columns are not looked at."""
+    """(doc_id, text, n_tokens, chars, tokens): the tree of each row of ``docs``. A null text stays null and counts as
+    empty, with 0 tokens; very long texts are read at once by one task, in memory of a few times their size; repeated
+    rows are counted alike; an empty table gives an empty result; other columns are not looked at."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(_build_rows(path or default_path()), TREES)
 
 
-def _edit_rows(path: str, find_edits):
+def _edit_rows(path: str, find_edits, with_trees: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(path)
         for whole in batches:
             for at in range(0, whole.num_rows, 200):
                 b = whole.slice(at, 200)
-                out = []
-                given = b.column(4).to_pylist() if find_edits is None else [None] * b.num_rows
-                for i, text, before, leaves, edits in zip(*(b.column(k).to_pylist() for k in range(4)), given, strict=True):
-                    edits = sorted((x["start"], x["end"], x["new"]) for x in edits or []) if find_edits is None else find_edits(text or "")
+                ids, texts, before = (b.column(k) for k in range(3))
+                texts, after = texts.to_pylist(), before.to_pylist()
+                n_edits, recut = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
+                kept = [[np.asarray(row.values) for row in b.column(3 + k)] if with_trees else None for k in range(2)]
+                given = b.column(5).to_pylist() if find_edits is None else None
+                for j, text in enumerate(texts):
+                    edits = find_edits(text or "") if given is None else sorted((x["start"], x["end"], x["new"]) for x in given[j] or [])
                     if not edits:
-                        out.append((i, text, before, leaves, before, 0, 0))
                         continue
-                    tree, read = TokenTree(counter, [(x["chars"], x["tokens"]) for x in leaves]), counter.read
-                    new = tree.edit(text or "", edits)
-                    out.append((i, new, tree.total, _kept(tree.leaves), before, len(edits), counter.read - read))
-                c = list(zip(*out, strict=True)) or [()] * 7
-                yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.string()), pa.array(c[2], pa.int64()), pa.array(c[3], _LEAVES), *(pa.array(c[k], pa.int64()) for k in (4, 5, 6))],
-                                                 names=["doc_id", "text", "n_tokens", "leaves", "n_tokens_before", "n_edits", "chars_recut"])
+                    tree, read = TokenTree(counter, *(b.column(3 + k)[j].as_py() for k in range(2))), counter.read
+                    texts[j] = tree.edit(text or "", edits)
+                    after[j], n_edits[j], recut[j] = tree.total, len(edits), counter.read - read
+                    if with_trees:
+                        for k, new in enumerate(tree.leaves):
+                            kept[k][j] = new
+                out = [ids, *((pa.array(texts, pa.string()), pa.array(after, pa.int64()), *map(_lists, kept)) if with_trees else (pa.array(after, pa.int64()),)), before, pa.array(n_edits), pa.array(recut)]
+                yield pa.RecordBatch.from_arrays(out, names=["doc_id", *(("text", "n_tokens", *_LISTS) if with_trees else ("n_tokens",)), "n_tokens_before", "n_edits", "chars_recut"])
 
     return rows
 
 
-_EDITED = f"{TREES}, n_tokens_before long, n_edits long, chars_recut long"
+_COUNTS = "n_tokens_before long, n_edits long, chars_recut long"
 
 
 def edited(trees: DataFrame, edits: DataFrame, key: str = "doc_id", path: str | None = None) -> DataFrame:
-    """The table of ``build`` after ``edits`` (key, start, end, new: replacements of text[start:end], which do not
-    overlap), with n_tokens_before, n_edits and chars_recut, the characters that were cut again. Rows that repeat an id take the
-    same edits. Edits of one document travel together; their number is bounded by its length."""
+    """The table of ``build`` after ``edits`` (key, start, end, new: replacements of text[start:end], which are apart and
+    start at different places), with n_tokens_before, n_edits and chars_recut, the characters that were cut again. Rows
+    that repeat an id take the same edits. Edits of one document travel together; their number is bounded by its length."""
     e = edits.groupBy(F.col(key).cast("long").alias("_of")).agg(F.collect_list(F.struct("start", "end", "new")).alias("edits"))
-    rows = trees.select("doc_id", "text", "n_tokens", "leaves").join(e, F.col("doc_id") == F.col("_of"), "left").drop("_of")
-    return rows.mapInArrow(_edit_rows(path or default_path(), None), _EDITED)
+    rows = trees.select("doc_id", "text", "n_tokens", *_LISTS).join(e, F.col("doc_id") == F.col("_of"), "left").drop("_of")
+    return rows.mapInArrow(_edit_rows(path or default_path(), None, True), f"{TREES}, {_COUNTS}")
 
 
-def redacted(trees: DataFrame, path: str | None = None) -> DataFrame:
-    """As ``edited``, with the marking of personal data as edits."""
-    return trees.select("doc_id", "text", "n_tokens", "leaves").mapInArrow(_edit_rows(path or default_path(), redactions), _EDITED)
+def redacted(trees: DataFrame, path: str | None = None, with_trees: bool = True) -> DataFrame:
+    """As ``edited``, with the marking of personal data as edits; without the trees only the numbers."""
+    rows = trees.select("doc_id", "text", "n_tokens", *_LISTS)
+    return rows.mapInArrow(_edit_rows(path or default_path(), redactions, with_trees), f"{TREES if with_trees else 'doc_id long, n_tokens long'}, {_COUNTS}")
 
 
 def count_redacted(docs: DataFrame, text: str = "text", key: str = "doc_id", path: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, n_edits, n_tokens_after, chars_recut): tokens of each text before and after personal data is
     marked, and how many characters had to be cut again for it. The trees are written as a table, which the edits are
     taken against."""
-    out = redacted(materialize(build(docs, text, key, path), "token-trees"), path)
+    out = redacted(materialize(build(docs, text, key, path), "token-trees"), path, with_trees=False)
     return out.select("doc_id", F.col("n_tokens_before").alias("n_tokens"), "n_edits", F.col("n_tokens").alias("n_tokens_after"), "chars_recut")
