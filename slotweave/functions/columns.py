@@ -70,6 +70,12 @@ def between_dates(df: DataFrame, start: str | None = None, end: str | None = Non
     return df
 
 
+def must(df: DataFrame, holds: Column, message: Column) -> DataFrame:
+    """``df``, whose rows must all satisfy ``holds``: else reading it fails with ``message``. A filter, which stays whichever
+    columns are read."""
+    return df.where(F.when(F.coalesce(holds, F.lit(False)), True).otherwise(F.raise_error(message).cast("boolean")))
+
+
 def with_run(df: DataFrame, by: list[str], order: str, step: Column) -> DataFrame:
     """Numbers runs of rows whose ``order`` grows by exactly ``step`` (gaps and islands), in column ``run``."""
     w = Window.partitionBy(*by).orderBy(order)

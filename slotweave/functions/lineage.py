@@ -13,10 +13,13 @@ _written: list[tuple[int, str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a folder of our own where that is unset, as in tests."""
+    """spark.checkpoint.dir. Where it is unset, a folder of our own if all runs on this machine, as in tests; else an
+    error, as each executor would write to its own disk."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return f"{named.rstrip('/')}/series"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is unset: tables that are read again need a folder that all executors share")
     key = id(spark.sparkContext)
     if key not in _own:
         _own[key] = "file://" + tempfile.mkdtemp(prefix="slotweave-series-")
@@ -27,12 +30,18 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table that is read back: what follows prunes its columns, starts from its files when an
     executor is lost, and knows its size when it chooses joins. Removed at exit."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    path = scratch(spark)
     df.write.parquet(path)
-    _written.append((id(spark.sparkContext), path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A path of the shared folder for files that are wanted in this session only; removed at exit."""
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    _written.append((id(spark.sparkContext), path))
+    return path
+
+
 @atexit.register
 def _clear() -> None:
     spark = SparkSession.getActiveSession()

@@ -18,13 +18,18 @@ def flat_decisions(verdicts: DataFrame) -> DataFrame:
     return d.withColumn("rejected", F.coalesce("rejected", F.lit(False)))
 
 
-def direction_days(s: DataFrame) -> DataFrame:
-    """Profile of each direction-day: bikes, slots, zero, non-zero and odd ones, night (before 05:00), 07-19h, highest."""
+def direction_days(s: DataFrame, records: DataFrame | None = None) -> DataFrame:
+    """Profile of each direction-day: bikes, slots, zero, non-zero and odd ones, night (before 05:00), 07-19h, highest;
+    with the records also whether any has a warning."""
     n, slot = F.col("count"), F.col("slot")
-    return s.groupBy(*KEYS, "date").agg(
+    days_ = s.groupBy(*KEYS, "date").agg(
         F.sum(n).alias("bikes"), F.count("*").alias("slots"), F.count_if(n == 0).alias("zero_slots"), F.count_if(n > 0).alias("nonzero_slots"), F.count_if(n % 2 == 1).alias("odd_slots"),
         F.sum(F.when(slot < 20, n).otherwise(0)).alias("night"), F.sum(F.when(slot.between(28, 75), n).otherwise(0)).alias("day7_19"), F.max(n).alias("max_slot"),
     )
+    if records is None:
+        return days_
+    warned = records.groupBy(*KEYS, "date").agg(F.coalesce(F.bool_or(F.col("Status") == 1), F.lit(False)).alias("warn"))
+    return days_.join(warned, [*KEYS, "date"], "left")
 
 
 def counter_slots(s: DataFrame, directions: DataFrame) -> DataFrame:
@@ -101,6 +106,28 @@ def feed_days(s: DataFrame, counters: DataFrame, least_nonzero: int = 5) -> Data
     )
 
 
+def feed_patterns(s: DataFrame, counters: DataFrame, least_nonzero: int = 12, least_usual: float = 10, least_hours: int = 12) -> DataFrame:
+    """Per date, vendor and pattern the number of places that show it: ``even``: direction-days with all counts even and
+    enough of them not 0, between a day before and a day after with odd ones; ``zero``: counters without a bike on a day
+    of a weekday on which they usually have some; ``covers``: directions that count at least what another of their
+    counter and site does in every hour that both have, in enough of them, and not nothing."""
+    n = F.col("count")
+    w = Window.partitionBy("DIRECTION_SK").orderBy("date")
+    day = s.groupBy(*KEYS, "date").agg(F.count_if(n > 0).alias("nz"), F.count_if(n % 2 == 1).alias("odd"))
+    near = (F.lag("odd").over(w) > 0) & (F.lead("odd").over(w) > 0) & (F.lag("date").over(w) == F.date_sub("date", 1)) & (F.lead("date").over(w) == F.date_add("date", 1))
+    even = day.withColumn("near", near).where((F.col("odd") == 0) & (F.col("nz") >= least_nonzero) & F.col("near")).select("COUNTER_SK", "date", F.lit("even").alias("pattern"))
+    whole = s.groupBy("COUNTER_SK", "date").agg(F.sum(n).alias("bikes")).withColumn("weekday", F.weekday("date"))
+    usual = whole.groupBy("COUNTER_SK", "weekday").agg(F.median("bikes").alias("usual"))
+    zero = whole.where("bikes = 0").join(usual, ["COUNTER_SK", "weekday"]).where(F.col("usual") >= least_usual).select("COUNTER_SK", "date", F.lit("zero").alias("pattern"))
+    hour = s.groupBy(*KEYS, "date", F.floor(F.col("slot") / 4).alias("hour")).agg(F.sum(n).alias("n"))
+    side = lambda d, x: hour.select("SITE_SK", "COUNTER_SK", "date", "hour", F.col("DIRECTION_SK").alias(d), F.col("n").alias(x))
+    both = side("a", "na").join(side("b", "nb"), ["SITE_SK", "COUNTER_SK", "date", "hour"]).where("a <> b").groupBy("SITE_SK", "COUNTER_SK", "date", "a", "b")
+    covers = both.agg(F.count("*").alias("hours"), F.bool_and(F.col("na") >= F.col("nb")).alias("all"), F.sum("nb").alias("other")).where(F.col("all") & (F.col("hours") >= least_hours) & (F.col("other") > 0))
+    found = even.unionByName(zero).unionByName(covers.select("COUNTER_SK", "date", F.lit("covers").alias("pattern")))
+    vendor = counters.select("COUNTER_SK", F.col("Vendor name").alias("vendor"))
+    return found.join(vendor, "COUNTER_SK", "left").groupBy("date", "vendor", "pattern").agg(F.count("*").alias("places"))
+
+
 def am_share(s: DataFrame) -> DataFrame:
     """Weekly share of the workday morning (06-09h) in morning and afternoon (16-19h), and its change on the week before."""
     h = F.hour("time")

@@ -9,10 +9,11 @@ from ..functions.columns import half_even, ratio
 from ..settings import CAMERA, DEFAULT, KEYS, NOTES, Settings
 from .series import series_parts, weekly_series
 
-#: Actions whose disappearance is worth a look.
+# Actions whose disappearance is worth a look; words of a diagnosis that speak of a whole camera; how much of
+# a diagnosis is shown.
 WATCHED = ("scale", "direction_unreliable", "subtract_other", "drop_duplicates")
-#: Words of a diagnosis that speak of a whole camera.
 CAMERA_WIDE = ("camera", "counter-wide", "every zone", "all zones", "whole counter", "all sites", "every site")
+SHOWN, SHOWN_TAIL = 120, 100
 _FAR = "9999-12-31"
 
 
@@ -29,7 +30,17 @@ def action_counts(old: DataFrame, new: DataFrame) -> DataFrame:
 def listed(new: DataFrame) -> DataFrame:
     """The decisions that go on, and the scales by something else than a half."""
     d = live(new).withColumn("reason", F.when(F.col("end").isNull(), "ongoing").when((F.col("action") == "scale") & ~F.coalesce(F.col("factor") == 0.5, F.lit(False)), "factor"))
-    return d.where("reason is not null").select("reason", "action", "SITE_SK", "DIRECTION_SK", "start", "end", "factor")
+    return d.where("reason is not null").select("reason", "action", "SITE_SK", "DIRECTION_SK", "start", "end", "factor", _shown())
+
+
+def _shown(most: int = SHOWN):
+    return F.substring(F.coalesce("diagnosis", F.lit("")), 1, most).alias("diagnosis")
+
+
+def sizes(old: DataFrame, new: DataFrame, old_parts: DataFrame, new_parts: DataFrame) -> DataFrame:
+    """(version, decisions, series): how many each version has, rejected decisions too."""
+    one = lambda d, p, name: d.agg(F.count("*").alias("decisions")).crossJoin(p.agg(F.count_distinct("SITE_SK", "series").alias("series"))).withColumn("version", F.lit(name))
+    return one(old, old_parts, "old").unionByName(one(new, new_parts, "new")).select("version", "decisions", "series")
 
 
 def fix_diff(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -82,14 +93,14 @@ def flag_dropped(old: DataFrame, new: DataFrame) -> DataFrame:
     o = live(old).where(F.col("action").isin(*WATCHED)).withColumns({"o_start": _day("start"), "o_end": _day("end")})
     n = live(new).select("action", "SITE_SK", _day("start").alias("n_start"), _day("end").alias("n_end"))
     out = o.join(n, (o["action"] == n["action"]) & (o["SITE_SK"] == n["SITE_SK"]) & (n["n_start"] <= o["o_end"]) & (o["o_start"] <= n["n_end"]), "left_anti")
-    return out.select("action", "SITE_SK", "DIRECTION_SK", "start", "end")
+    return out.select("action", "SITE_SK", "DIRECTION_SK", "start", "end", _shown())
 
 
 def flag_tail(new: DataFrame, slots: DataFrame, near_days: int = 3) -> DataFrame:
     """Decisions that end within days of the last date: perhaps they go on."""
     last = slots.agg(F.date_sub(F.max("date"), near_days).cast("string").alias("from_day"))
     d = live(new).where(~F.col("action").isin(*NOTES) & F.col("end").isNotNull()).crossJoin(F.broadcast(last))
-    return d.where(_day("end") >= F.col("from_day")).select("action", "SITE_SK", "DIRECTION_SK", "start", "end")
+    return d.where(_day("end") >= F.col("from_day")).select("action", "SITE_SK", "DIRECTION_SK", "start", "end", _shown(SHOWN_TAIL))
 
 
 def flag_scope(new: DataFrame, slots: DataFrame) -> DataFrame:
@@ -117,6 +128,14 @@ def flag_swap(slots: DataFrame, counters: DataFrame, min_total: int = 200, jump:
     return w.select("SITE_SK", "COUNTER_SK", F.col("a").alias("DIRECTION_SK"), "q", half_even(F.col("before"), 2).alias("before"), half_even(F.col("share"), 2).alias("share"))
 
 
+def swap_series(flips: DataFrame, parts: DataFrame) -> DataFrame:
+    """For each place that ``flag_swap`` shows, all parts of the new series that use its counter; a row of nulls where none
+    does, and each labelled direction is a series of its own."""
+    use = parts.select(F.col("COUNTER_SK"), F.col("SITE_SK").alias("series_site"), "series").distinct()
+    whole = parts.select(F.col("SITE_SK").alias("series_site"), "series", F.col("COUNTER_SK").alias("part_counter"), F.col("DIRECTION_SK").alias("part_direction"), "start", "end")
+    return flips.select("SITE_SK", "COUNTER_SK").distinct().join(use, "COUNTER_SK", "left").join(whole, ["series_site", "series"], "left")
+
+
 def zero_weeks(weeks: DataFrame, busy: float = 50) -> DataFrame:
     """Series with full weeks at 0 though the median full week is busy."""
     z = weeks.where("complete_days = 7").groupBy("SITE_SK", "series").agg(F.median("bikes").alias("median"), F.count_if(F.col("bikes") == 0).alias("zero_weeks"))

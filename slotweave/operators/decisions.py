@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import half_even, slot_start
+from ..functions.columns import half_even, must, slot_start
 from ..functions.lineage import cut
 from ..settings import ACTIONS, KEYS, NOTES, SLOTS_A_DAY
 from .slots import repeated_values
@@ -47,12 +47,23 @@ def filled_slots(scope: DataFrame, slots: DataFrame) -> DataFrame:
     return absent.select(*KEYS, "date", "slot", F.lit(0).alias("raw"), F.lit(0).cast("smallint").alias("records"), F.lit(None).cast("date").alias("load"))
 
 
+def by_month(scope: DataFrame, slots: DataFrame) -> DataFrame:
+    """Decisions with a row for each month that they touch, within the span of the slots."""
+    span = F.broadcast(slots.agg(F.min("date").alias("first"), F.max("date").alias("last")))
+    from_, to = F.trunc(F.greatest(F.to_date("start"), "first"), "month"), F.trunc(F.least(F.to_date("end"), "last"), "month")
+    met = scope.crossJoin(span).where(from_ <= to)
+    return met.withColumn("month", F.explode(F.sequence(from_, to, F.expr("interval 1 month")))).drop("first", "last")
+
+
 def flags(scope: DataFrame, slots: DataFrame) -> DataFrame:
-    """(DIRECTION_SK, time) with a flag for each action in force, and the factor. Two factors at one time are an error."""
-    hit = slots.select("DIRECTION_SK", "time").distinct().join(scope.where("action <> 'zero_fill'").select("DIRECTION_SK", "start", "end", "action", "factor"), "DIRECTION_SK").where("time between start and end")
-    on = hit.groupBy("DIRECTION_SK", "time").agg(*(F.bool_or(F.col("action") == a).alias(f"_{a}") for a in ACTIONS[1:]), F.min("factor").alias("_low"), F.max("factor").alias("_high"))
-    clash = F.raise_error(F.concat(F.lit("overlapping decisions disagree on the factor of direction "), F.col("DIRECTION_SK").cast("string"), F.lit(" at "), F.col("time").cast("string")))
-    return on.withColumn("_factor", F.when(F.col("_low") != F.col("_high"), clash.cast("double")).otherwise(F.col("_low"))).drop("_low", "_high")
+    """(DIRECTION_SK, date, slot) with a flag for each action in force, and the factor. Two factors at one time are an error.
+    Slots meet the decisions of their direction and month, and of these those whose interval they are in."""
+    d = by_month(scope.where("action <> 'zero_fill'"), slots).select("DIRECTION_SK", "month", "start", "end", "action", "factor")
+    at = slots.select("DIRECTION_SK", "date", "slot", "time").distinct().withColumn("month", F.trunc("date", "month"))
+    on = at.join(d, ["DIRECTION_SK", "month"]).where("time between start and end").groupBy("DIRECTION_SK", "date", "slot")
+    on = on.agg(*(F.bool_or(F.col("action") == a).alias(f"_{a}") for a in ACTIONS[1:]), F.min("factor").alias("_factor"), F.max("factor").alias("_high"))
+    clash = F.concat(F.lit("overlapping decisions disagree on the factor of direction "), F.col("DIRECTION_SK").cast("string"), F.lit(" on "), F.col("date").cast("string"))
+    return must(on, F.col("_factor").eqNullSafe(F.col("_high")), clash).drop("_high")
 
 
 def mark(slots: DataFrame, where: Column, fix: str, value: Column | None = None) -> DataFrame:
@@ -67,16 +78,25 @@ def apply(slots: DataFrame, decisions: DataFrame, records: DataFrame) -> DataFra
     """``slots`` with the decisions applied: adds ``time``, ``count`` (null: missing), ``fix`` and
     ``direction_unreliable``. Later actions overwrite the mark of earlier ones; what is missing stays missing.
 
-    The filled table is written once: the flags, the usual numbers of records and the slots themselves read it. Give
-    ``slots`` as a table too (``lineage.cut``), as the scope of decisions and the filling read it several times."""
-    scope = scoped(decisions, slots)
+    The filled table is written once: the flags, the usual numbers of records and the slots themselves read it. So are the
+    flags, a row for each slot that a decision meets: writing them checks them, whatever is read of the result, and
+    tells their size. What only some decisions need is made for these: repeated values for the months of directions with
+    drop_duplicates, sums over a counter's directions for counters with subtract_other. Give ``slots`` as a table too
+    (``lineage.cut``), as the scope of decisions and the filling read it several times."""
+    place = ["DIRECTION_SK", "date", "slot"]
+    scope = cut(scoped(decisions, slots))
     slots = cut(slots.unionByName(filled_slots(scope, slots)).withColumn("time", slot_start(F.col("date"), F.col("slot"))))
+    on = cut(flags(scope, slots))
     slots = slots.withColumns({"count": F.col("raw"), "fix": F.lit(None).cast("string")})
-    dedup = repeated_values(slots, records).select("DIRECTION_SK", "date", "slot", "dedup")
-    s = slots.join(flags(scope, slots), ["DIRECTION_SK", "time"], "left").join(dedup, ["DIRECTION_SK", "date", "slot"], "left")
+    some = by_month(scope.where("action = 'drop_duplicates'"), slots).select("DIRECTION_SK", "month").distinct()
+    within = lambda df: df.withColumn("month", F.trunc("date", "month")).join(some, ["DIRECTION_SK", "month"], "left_semi").drop("month")
+    dedup = repeated_values(within(slots), within(records)).select(*place, "dedup")
+    s = slots.join(on.join(dedup, place, "left"), place, "left")
     s = mark(s, F.col("_drop_duplicates") & F.col("dedup").isNotNull(), "drop_duplicates", F.col("dedup"))
-    other = F.sum("count").over(Window.partitionBy("SITE_SK", "COUNTER_SK", "time")) - F.col("count")
-    s = mark(s.withColumn("_other", other), F.col("_subtract_other"), "subtract_other", F.greatest(F.col("count") - F.col("_other"), F.lit(0)))
+    subtracted = scope.where("action = 'subtract_other'").select("COUNTER_SK").distinct()
+    all_ = s.join(subtracted, "COUNTER_SK", "left_semi").groupBy("SITE_SK", "COUNTER_SK", "time").agg(F.sum("count").alias("_all"), F.bool_or("_subtract_other").alias("_any")).where("_any")
+    s = s.join(all_.drop("_any"), ["SITE_SK", "COUNTER_SK", "time"], "left")
+    s = mark(s, F.col("_subtract_other"), "subtract_other", F.greatest(F.col("count") - (F.col("_all") - F.col("count")), F.lit(0)))
     s = mark(s, F.col("_missing"), "missing")
     s = mark(s, F.col("_scale"), "scale", half_even(F.col("count") * F.col("_factor")))
     s = s.withColumn("direction_unreliable", F.coalesce("_direction_unreliable", F.lit(False)))

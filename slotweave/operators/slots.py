@@ -2,29 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import slot_of, slot_start
+from ..functions.columns import between_dates, days, must, slot_of, slot_start
 from ..functions.lineage import cut
 from ..settings import DEFAULT, KEYS, WORKDAY_TYPE, Settings
 
 LOAD = "ADDED_UPDATED_DATETIME_SYDNEY"
 COUNT = "TOTAL_15MIN_COUNT"
+#: The largest sum and number of records of a slot that the results have room for.
+MOST_RAW, MOST_RECORDS = 65535, 255
 
 
-def local_records(raw: DataFrame, counters: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+def local_records(raw: DataFrame, counters: DataFrame, settings: Settings = DEFAULT, start: str | None = None, end: str | None = None) -> DataFrame:
     """Records with the slots of vendors that publish UTC moved to local time, date and slot both. Where clocks go back
-    two UTC slots fall on one local slot."""
+    two UTC slots fall on one local slot. A period is one of local dates: the scan is cut to it and a day on either side,
+    by the dates as published, and the rest after the shift."""
+    if start:
+        raw = raw.where(F.col("date") >= F.date_sub(F.lit(start).cast("date"), 1))
+    if end:
+        raw = raw.where(F.col("date") <= F.date_add(F.lit(end).cast("date"), 1))
     utc = counters.where(F.col("Vendor name").isin(*settings.utc_vendors)).select("COUNTER_SK", F.lit(True).alias("_utc")).distinct()
     local = F.convert_timezone(F.lit("UTC"), F.lit(settings.zone), slot_start(F.col("date"), F.col("slot")))
     out = raw.join(utc, "COUNTER_SK", "left").withColumn("_local", F.when(F.col("_utc"), local))
     moved = out.withColumns({"date": F.coalesce(F.to_date("_local"), "date"), "slot": F.coalesce(slot_of(F.col("_local")), "slot")})
-    return moved.select(*raw.columns)
-
-
-def _within(value, limit: int, what: str):
-    return F.when(value <= limit, value).otherwise(F.raise_error(F.concat(F.lit(f"{what} out of range: "), value.cast("string"))).cast("long"))
+    return between_dates(moved.select(*raw.columns), start, end)
 
 
 def slot_table(records: DataFrame, latest: bool = False) -> DataFrame:
@@ -35,10 +38,16 @@ def slot_table(records: DataFrame, latest: bool = False) -> DataFrame:
     so none is hot, and a slot rarely has enough records for a combine before the exchange to pay."""
     dealt = records.select(*KEYS, "date", "slot", F.col(LOAD).alias("load"), F.col(COUNT).cast("long").alias("n")).repartition("DIRECTION_SK", "date")
     per_load = dealt.groupBy(*KEYS, "date", "slot", "load").agg(F.sum("n").alias("n"), F.count("*").alias("records"))
+    out = slots_of(per_load)
+    return out if latest else out.drop("latest")
+
+
+def slots_of(per_load: DataFrame) -> DataFrame:
+    """Slots from the sums (n) and numbers of records of each load. Sums and numbers that are out of range are an error."""
     main = F.min_by(F.struct("records", "load"), F.struct((-F.col("n")).alias("n"), F.col("load")))
     out = per_load.groupBy(*KEYS, "date", "slot").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("raw"), main.alias("main"), F.max("load").alias("latest"))
-    out = out.select(*KEYS, "date", "slot", _within(F.col("raw"), 65535, "raw count").cast("int").alias("raw"), _within(F.col("main.records"), 255, "number of records").cast("smallint").alias("records"), F.col("main.load").alias("load"), "latest")
-    return out if latest else out.drop("latest")
+    out = must(out, (F.col("raw") <= MOST_RAW) & (F.col("main.records") <= MOST_RECORDS), F.concat(F.lit("raw count or number of records out of range: "), F.col("raw").cast("string"), F.lit(", "), F.col("main.records").cast("string")))
+    return out.select(*KEYS, "date", "slot", F.col("raw").cast("int").alias("raw"), F.col("main.records").cast("smallint").alias("records"), F.col("main.load").alias("load"), "latest")
 
 
 def usual_records(slots: DataFrame) -> DataFrame:
@@ -77,16 +86,16 @@ def with_workday(df: DataFrame, dates: DataFrame) -> DataFrame:
 
 def review_groups(records: DataFrame) -> DataFrame:
     """(SITE_SK, review_group): sites that share counters, directly or through others, named after the lowest site.
-    Labels flow from sites to counters and back, then jump to the label of their label, until none changes."""
+    Labels flow from sites to counters and back, then jump to the label of their label, until none changes: a table a
+    round, whose writing tells how many changed."""
     pairs = cut(records.select("SITE_SK", "COUNTER_SK").distinct())
-    label = cut(pairs.select("SITE_SK", F.col("SITE_SK").alias("low")).distinct())
+    label = pairs.select("SITE_SK", F.col("SITE_SK").alias("low")).distinct()
     while True:
         counter = pairs.join(label, "SITE_SK").groupBy("COUNTER_SK").agg(F.min("low").alias("low"))
         near = pairs.join(counter, "COUNTER_SK").groupBy("SITE_SK").agg(F.min("low").alias("near"))
         jump = near.join(label.select(F.col("SITE_SK").alias("near"), F.col("low").alias("far")), "near", "left")
         new = label.join(jump, "SITE_SK").select("SITE_SK", F.col("low").alias("was"), F.least("low", "near", "far").alias("low"))
-        new = cut(new)
-        changed = new.where("low <> was").limit(1).count()
-        label = new.drop("was")
-        if not changed:
+        seen = Observation()
+        label = cut(new.observe(seen, F.count_if(F.col("low") < F.col("was")).alias("changed"))).drop("was")
+        if not seen.get["changed"]:
             return label.select("SITE_SK", F.concat(F.lit("G"), F.lpad(F.col("low").cast("string"), 4, "0")).alias("review_group"))

@@ -5,15 +5,17 @@ small scale, so views that look at complete days take a lower threshold here; it
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import date_from_sk, days, half_even, slot_from_label, slot_label, with_run
-from ..functions.lineage import cut
+from ..functions.lineage import cut, scratch
 from ..operators import audit, cleaning, compare, decisions, faults, series, slots, views
 from ..settings import KEYS, Settings
+from ..sources import files, rehearsal, semantic, verdicts
 from ..sources import fixture as X
 from . import oracle as O
 
@@ -38,14 +40,34 @@ def register(select: str | None = None, pre: str = "base", more: str = "") -> Ca
 
 
 # --- inputs of the queries ------------------------------------------------------------------------------------------
-def _records(spark: SparkSession, d: str) -> DataFrame:
-    return slots.local_records(X.records(spark, d), X.counters(spark))
+def _records(spark: SparkSession, d: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    return slots.local_records(X.records(spark, d), X.counters(spark), start=start, end=end)
 
 
 def _s(spark: SparkSession, d: str) -> DataFrame:
     return views.slots(_records(spark, d), X.dates(spark))
 
 
+def _both(spark: SparkSession, d: str) -> list[DataFrame]:
+    """The final slots under the old and the new decisions, from one slot table."""
+    r = _records(spark, d)
+    prepared = cleaning.slots_and_loads(r)
+    return [cleaning.final_slots(r, _dec(spark, rows), X.dates(spark), prepared=prepared) for rows in (X.OLD_DECISIONS, None)]
+
+
+def _cleaned(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
+    """Where the whole cleaning has written its results, and its numbers of fixes."""
+    path = scratch(spark)
+    return path, cleaning.run(_records(spark, d), _dec(spark), X.parts(spark), X.dates(spark), X.directions(spark), X.counters(spark), path)
+
+
+def _verdicts(spark: SparkSession) -> DataFrame:
+    """The reviewer's document, written and read as a file."""
+    path = scratch(spark)
+    files.write_text(spark, json.dumps(X.verdict(), indent=1), path)
+    return verdicts.read_verdicts(spark, path)
+
+
 def _dec(spark: SparkSession, rows: list | None = None) -> DataFrame:
     return decisions.decision_table(X.decisions(spark, rows))
 
@@ -106,6 +128,121 @@ def review_groups(spark, d):
     return slots.review_groups(_records(spark, d))
 
 
+# --- sources and sinks ----------------------------------------------------------------------------------------------
+_STORED = "SELECT SITE_SK, COUNTER_SK, DIRECTION_SK, date, slot, ID, n AS TOTAL_15MIN_COUNT, status AS Status, load AS ADDED_UPDATED_DATETIME_SYDNEY FROM "
+_STORED_COLUMNS = ["SITE_SK", "COUNTER_SK", "DIRECTION_SK", "date", "slot", "ID", "TOTAL_15MIN_COUNT", "Status", slots.LOAD]
+
+
+@register(_STORED + "raw WHERE SITE_SK IN (0, 2, 4) AND date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'")
+def stored_counts(spark, d):
+    """Rows as the source has them, typed, stored by site and year and read back for some sites and a period."""
+    path = scratch(spark)
+    files.write_counts(files.typed_counts(X.source_rows(spark, d)), path)
+    return files.read_counts(spark, path, [0, 2, 4], "2024-01-05", "2024-01-20").select(*_STORED_COLUMNS)
+
+
+@register(_STORED + "recs WHERE SITE_SK >= 3 AND date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'")
+def stored_local(spark, d):
+    """The same for a period of local dates: some of these were published under the date before."""
+    path = scratch(spark)
+    files.write_counts(files.typed_counts(X.source_rows(spark, d)), path)
+    return files.read_local(spark, path, X.counters(spark), [3, 4, 5], "2024-01-05", "2024-01-20").select(*_STORED_COLUMNS)
+
+
+_SK = "CAST('2024' || dayofyear(date) AS INTEGER)"
+
+
+@register(f"SELECT SITE_SK, {_SK} AS DATE_SK, count(*) AS rows FROM raw GROUP BY ALL")
+def inventory(spark, d):
+    return files.inventory(X.source_rows(spark, d))
+
+
+@register("SELECT SITE_SK, sk AS DATE_SK, n AS rows, chunk FROM walk",
+          more=f"""days_ AS (SELECT SITE_SK, sk, n, row_number() OVER (PARTITION BY SITE_SK ORDER BY sk) AS i FROM (SELECT SITE_SK, {_SK} AS sk, count(*) AS n FROM raw GROUP BY ALL)),
+walk(SITE_SK, i, sk, n, chunk, used) AS (SELECT SITE_SK, i, sk, n, 0, n FROM days_ WHERE i = 1 UNION ALL SELECT x.SITE_SK, x.i, x.sk, x.n, CASE WHEN w.used + x.n > 150 THEN w.chunk + 1 ELSE w.chunk END, CASE WHEN w.used + x.n > 150 THEN x.n ELSE w.used + x.n END FROM walk w JOIN days_ x ON x.SITE_SK = w.SITE_SK AND x.i = w.i + 1)""")
+def day_chunks(spark, d):
+    return files.packed(files.inventory(X.source_rows(spark, d)), 150)
+
+
+@register("SELECT SITE_SK, 2024 AS year, count(*) AS rows, count(*) AS stored, SITE_SK IN (3, 5) AS fetched, true AS complete FROM raw GROUP BY SITE_SK")
+def ingest_report(spark, d):
+    """A store that lacks a day of site 3 and all of site 5 is brought up to the inventory."""
+    source, path = X.source_rows(spark, d), scratch(spark)
+    counts = cut(files.typed_counts(source))
+    files.write_counts(counts.where("SITE_SK <> 5 AND NOT (SITE_SK = 3 AND date = DATE'2024-01-09')"), path)
+    return files.ingest(counts, files.inventory(source), path)
+
+
+@register("SELECT c.COUNTER_SK, counter_id AS \"Counter ID\", n AS fact_rows FROM counters c JOIN (SELECT COUNTER_SK, count(*) AS n FROM raw GROUP BY ALL) r ON c.COUNTER_SK = r.COUNTER_SK")
+def dimension_members(spark, d):
+    """A dimension as a file of strings; the member without facts goes."""
+    path = scratch(spark)
+    more = spark.createDataFrame([("999", "C999", "TUBE", "Nobody")], "COUNTER_SK string, `Counter ID` string, Technology string, `Vendor name` string")
+    files.write_csv(X.counters(spark).select(*(F.col(f"`{c}`").cast("string").alias(c) for c in X.counters(spark).columns)).unionByName(more), path)
+    return files.dimension_rows(files.read_dimension(spark, path), X.records(spark, d), "COUNTER_SK").select(F.col("COUNTER_SK").cast("smallint").alias("COUNTER_SK"), "Counter ID", "fact_rows")
+
+
+def _service(spark: SparkSession, fields: dict) -> DataFrame:
+    semantic.register(spark)
+    split = {"site": semantic.Field("c", "SITE_SK"), "day": semantic.Field("c", "DATE_SK"), "rows": semantic.Field("c", "Rows", "Measure")}
+    query = semantic.Query({"c": "Counts"}, {k: semantic.Field("c", *f) for k, f in fields.items()})
+    options = {"embedUrl": "http://embed", "report": "r", "query": query.to_json(), "split": json.dumps({k: vars(f) for k, f in split.items()}), "transport": f"{rehearsal.__name__}:answer"}
+    return spark.read.format("semantic").options(**options)
+
+
+_FACTS = f"""facts AS (SELECT s, 20240 + d AS day, k, (s * 7 + d * 3 + k) % 11 AS n, d FROM (SELECT unnest(range(1, {rehearsal.SITES + 1})) AS s), (SELECT unnest(range(1, {rehearsal.DAYS + 1})) AS d), (SELECT unnest(range(0, {rehearsal.SLOTS})) AS k) WHERE (d + s) % 3 <> 0 OR k % 4 = 0)"""
+
+
+@register("SELECT CAST(s AS INTEGER) AS SITE_SK, CAST(day AS INTEGER) AS DATE_SK, CAST(k AS INTEGER) AS SLOT, strftime(DATE '2024-01-01' + CAST(d AS INTEGER), '%Y-%m-%dT00:00:00') AS LOADED, nullif(n, 0) AS Total FROM facts WHERE s IN (1, 2, 4)", more=_FACTS)
+def service_counts(spark, d):
+    """Through the data source: planned by site and day, fetched in windows of packed rows; a process's first token is refused."""
+    fields = {k: (k,) for k in ("SITE_SK", "DATE_SK", "SLOT", "LOADED")} | {"Total": ("Total", "Measure")}
+    return _service(spark, fields).schema("SITE_SK int, DATE_SK int, SLOT int, LOADED string, Total bigint").load().where("SITE_SK IN (1, 2, 4)")
+
+
+@register("SELECT CAST(s AS INTEGER) AS SITE_SK, CAST(day AS INTEGER) AS DATE_SK, count(*) AS Rows FROM facts GROUP BY ALL", more=_FACTS)
+def service_inventory(spark, d):
+    """A measure groups by the columns that are asked for with it."""
+    return _service(spark, {"SITE_SK": ("SITE_SK",), "DATE_SK": ("DATE_SK",), "Rows": ("Rows", "Measure")}).schema("SITE_SK int, DATE_SK int, Rows bigint").load()
+
+
+@register(O._values_sql([(e, p, k) for e, ps in rehearsal.ENTITIES.items() for p, k in ps.items()], "entity, property, kind", "entity, property, kind"))
+def service_schema(spark, d):
+    found = semantic.Service("http://embed", "r", rehearsal.answer, lambda seconds: None).schema()
+    return spark.createDataFrame([(e, p, k) for e, ps in found.items() for p, k in ps.items()], "entity string, property string, kind string")
+
+
+@register(O._values_sql([(X.GROUP, i, *r) for i, r in enumerate(X.DECISIONS)], "g, i, action, s, d, b, e, f, r, w", 'g AS "group", i, action, CAST(s AS INTEGER) AS SITE_SK, CAST(d AS INTEGER) AS DIRECTION_SK, b AS start, e AS "end", CAST(f AS DOUBLE) AS factor, coalesce(CAST(r AS BOOLEAN), false) AS rejected, w AS diagnosis'))
+def verdict_decisions(spark, d):
+    return audit.flat_decisions(_verdicts(spark)).select("group", "i", "action", "SITE_SK", "DIRECTION_SK", "start", "end", "factor", "rejected", "diagnosis")
+
+
+@register(O._values_sql(X.PARTS, "a, b, c, d, e, f", 'CAST(a AS SMALLINT) AS SITE_SK, b AS series, CAST(c AS SMALLINT) AS COUNTER_SK, CAST(d AS SMALLINT) AS DIRECTION_SK, CAST(e AS DATE) AS start, CAST(f AS DATE) AS "end"'))
+def verdict_series(spark, d):
+    """The series that is rejected goes."""
+    return verdicts.series_table(_verdicts(spark))
+
+
+@register("SELECT SITE_SK, COUNTER_SK, DIRECTION_SK, date, time, workday, records, raw, count, fix, direction_unreliable, hourly_binned FROM cfinal", "clean")
+def written_counts(spark, d):
+    return files.read_slots(spark, _cleaned(spark, d)[0])
+
+
+@register('SELECT SITE_SK, series, COUNTER_SK, DIRECTION_SK, start, "end", match_site FROM qparts', "series")
+def written_series(spark, d):
+    return files.read_series(spark, _cleaned(spark, d)[0])
+
+
+@register("SELECT SITE_SK, series, week, bikes, complete_days, direction_unreliable FROM wk", "series")
+def written_weekly(spark, d):
+    return spark.read.parquet(f"{_cleaned(spark, d)[0]}/weekly")
+
+
+@register("SELECT fix, count(*) AS slots FROM cfinal GROUP BY fix", "clean")
+def written_fixes(spark, d):
+    return _cleaned(spark, d)[1]
+
+
 # --- decisions ------------------------------------------------------------------------------------------------------
 @register('SELECT SITE_SK, DIRECTION_SK, start, "end", action, factor FROM cdec', "clean")
 def decision_table(spark, d):
@@ -195,7 +332,7 @@ def view_slots(spark, d):
 
 @register("SELECT SITE_SK, COUNTER_SK, DIRECTION_SK, date, slot, time, workday, records, count, hourly_binned FROM s WHERE date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'")
 def view_slots_period(spark, d):
-    return views.slots(_records(spark, d), X.dates(spark), "2024-01-08", "2024-01-14")
+    return views.slots(_records(spark, d, "2024-01-08", "2024-01-14"), X.dates(spark))
 
 
 @register("SELECT s.SITE_SK, s.COUNTER_SK, s.DIRECTION_SK, min(date) AS first, max(date) AS last, any_value(d.orientation) AS orientation, any_value(d.way) AS way FROM slots s LEFT JOIN directions d ON s.DIRECTION_SK = d.DIRECTION_SK GROUP BY ALL")
@@ -204,6 +341,17 @@ def meta(spark, d):
     return m.select(*KEYS, "first", "last", F.col("Orientation description").alias("orientation"), F.col("Location in/out").alias("way"))
 
 
+@register('SELECT SITE_SK, site_name AS "Site name", lat AS "Site latitude" FROM sites WHERE SITE_SK IN (SELECT SITE_SK FROM slots)')
+def meta_sites(spark, d):
+    m = views.meta(_records(spark, d), X.sites(spark), X.counters(spark), X.directions(spark))["sites"]
+    return m.select("SITE_SK", "Site name", "Site latitude")
+
+
+@register('SELECT COUNTER_SK, counter_id AS "Counter ID", technology AS "Technology", vendor AS "Vendor name" FROM counters WHERE COUNTER_SK IN (SELECT COUNTER_SK FROM slots)')
+def meta_counters(spark, d):
+    return views.meta(_records(spark, d), X.sites(spark), X.counters(spark), X.directions(spark))["counters"]
+
+
 @register("""SELECT ID, DIRECTION_SK, date, slot, lpad(CAST(slot * 15 // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(slot * 15 % 60 AS VARCHAR), 2, '0') || ' - ' || lpad(CAST((slot * 15 + 14) // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST((slot * 15 + 14) % 60 AS VARCHAR), 2, '0') AS slot_label FROM raw WHERE date = DATE '2024-01-09'""")
 def raw(spark, d):
     return views.raw(X.records(spark, d), "2024-01-09", "2024-01-09").select("ID", "DIRECTION_SK", "date", "slot", "slot_label")
@@ -313,6 +461,41 @@ def weather_shift(spark, d):
     return views.weather(X.weather(spark))
 
 
+@register(O._values_sql(X.EVENTS, "date, end_date, name, kind, sites, effect, source", "CAST(date AS DATE) AS date, CAST(end_date AS DATE) AS end_date, name, effect, array_to_string(list_transform(string_split(sites, ';'), lambda x: CAST(trim(x) AS INTEGER)), ',') AS site_list"))
+def event_list(spark, d):
+    """The list of events, written and read as a file."""
+    path = scratch(spark)
+    files.write_csv(X.events(spark), path)
+    listed = views.events(files.read_events(spark, path))
+    return listed.select("date", "end_date", "name", "effect", F.concat_ws(",", F.col("site_list").cast("array<string>")).alias("site_list"))
+
+
+@register("SELECT * FROM weather")
+def weather_file(spark, d):
+    path = scratch(spark)
+    files.write_csv(X.weather(spark), path)
+    return files.read_weather(spark, path)
+
+
+@register("SELECT site AS SITE_SK FROM reach GROUP BY site HAVING min(low) = 1",
+          more="pairs AS (SELECT DISTINCT SITE_SK, COUNTER_SK FROM recs WHERE SITE_SK > 0), reach(site, low) AS (SELECT SITE_SK, SITE_SK FROM pairs UNION SELECT b.SITE_SK, r.low FROM reach r JOIN pairs a ON a.SITE_SK = r.site JOIN pairs b ON a.COUNTER_SK = b.COUNTER_SK)")
+def group_sites(spark, d):
+    return views.group_sites(slots.review_groups(_records(spark, d).where("SITE_SK > 0")), "G0001")
+
+
+@register("""SELECT CAST(row_number() OVER (ORDER BY n) AS INTEGER) AS n, line FROM (SELECT -2 AS n, '| SITE_SK | COUNTER_SK | DIRECTION_SK | first | last | way |' AS line UNION ALL SELECT -1, '| --- | --- | --- | --- | --- | --- |'
+  UNION ALL SELECT s.DIRECTION_SK, '| ' || s.SITE_SK || ' | ' || s.COUNTER_SK || ' | ' || s.DIRECTION_SK || ' | ' || min(date) || ' | ' || max(date) || ' | ' || coalesce(any_value(way), '') || ' |' FROM slots s LEFT JOIN directions d ON s.DIRECTION_SK = d.DIRECTION_SK GROUP BY s.SITE_SK, s.COUNTER_SK, s.DIRECTION_SK)""")
+def markdown_lines(spark, d):
+    """The directions of a brief, as lines of the file that it is written to."""
+    m = views.meta(_records(spark, d), X.sites(spark), X.counters(spark), X.directions(spark))
+    m["directions"] = m["directions"].select(*KEYS, "first", "last", F.col("Location in/out").alias("way")).orderBy("DIRECTION_SK")
+    path = scratch(spark)
+    files.write_text(spark, files.brief(X.GROUP, [0, 1], m, "How to judge."), path)
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("n", "line"))
+    start = lines.where("line LIKE '| SITE_SK | COUNTER_SK | DIRECTION_SK %'").select(F.col("n").alias("from_n"))
+    return lines.crossJoin(start).where("n >= from_n AND line LIKE '|%'").select((F.col("n") - F.col("from_n") + 1).cast("int").alias("n"), "line")
+
+
 # --- faults ---------------------------------------------------------------------------------------------------------
 _USUAL = "us AS (SELECT DIRECTION_SK, workday, slot, avg(count) AS mean, median(count) AS med FROM s GROUP BY ALL), su AS (SELECT s.*, mean, med FROM s JOIN us USING (DIRECTION_SK, workday, slot))"
 
@@ -358,9 +541,11 @@ def spikes(spark, d):
 
 
 @register("SELECT SITE_SK, COUNTER_SK, DIRECTION_SK, min(week) AS start, max(week) + 6 AS \"end\", count(*) AS weeks, CAST(sum(slots) AS BIGINT) AS slots FROM ar GROUP BY SITE_SK, COUNTER_SK, DIRECTION_SK, run",
-          more=f"aw AS (SELECT s.SITE_SK, s.COUNTER_SK, s.DIRECTION_SK, {O.week()} AS week, count(*) AS slots FROM s JOIN counters c ON s.COUNTER_SK = c.COUNTER_SK AND c.technology = 'CAMERA' WHERE slot = 36 GROUP BY ALL HAVING count(CASE WHEN count = 0 THEN 1 END) = 0), " + O.runs("ar", "aw", "DIRECTION_SK", "week", "7"))
+          more=f"az AS (SELECT * REPLACE (CASE WHEN date >= DATE '2024-01-08' AND DIRECTION_SK % 2 = 1 THEN count + 1 ELSE count END AS count) FROM s), aw AS (SELECT s.SITE_SK, s.COUNTER_SK, s.DIRECTION_SK, {O.week()} AS week, count(*) AS slots FROM az s JOIN counters c ON s.COUNTER_SK = c.COUNTER_SK AND c.technology = 'CAMERA' GROUP BY ALL HAVING count(CASE WHEN count = 0 THEN 1 END) = 0), " + O.runs("ar", "aw", "DIRECTION_SK", "week", "7"))
 def absent_zeros(spark, d):
-    return faults.absent_zeros(_s(spark, d), X.counters(spark))
+    """All slots of a week are looked at. Odd directions count one more from the second week on, so that some have no 0."""
+    more = (F.col("date") >= "2024-01-08") & (F.col("DIRECTION_SK") % 2 == 1)
+    return faults.absent_zeros(_s(spark, d).withColumn("count", F.when(more, F.col("count") + 1).otherwise(F.col("count"))), X.counters(spark))
 
 
 # --- comparison of decisions ----------------------------------------------------------------------------------------
@@ -369,14 +554,14 @@ def action_counts(spark, d):
     return compare.action_counts(X.decisions(spark, X.OLD_DECISIONS), X.decisions(spark))
 
 
-@register("""SELECT CASE WHEN e IS NULL THEN 'ongoing' ELSE 'factor' END AS reason, action, SITE_SK, DIRECTION_SK, b AS start, e AS "end", factor FROM oall WHERE NOT rejected AND (e IS NULL OR action = 'scale' AND factor <> 0.5)""", "old")
+@register("""SELECT CASE WHEN e IS NULL THEN 'ongoing' ELSE 'factor' END AS reason, action, SITE_SK, DIRECTION_SK, b AS start, e AS "end", factor, left(diagnosis, 120) AS diagnosis FROM oall WHERE NOT rejected AND (e IS NULL OR action = 'scale' AND factor <> 0.5)""", "old")
 def listed_decisions(spark, d):
     return compare.listed(X.decisions(spark, X.OLD_DECISIONS))
 
 
 @register("SELECT fix, coalesce(o.n, 0) AS old, coalesce(c.n, 0) AS new FROM (SELECT fix, count(*) AS n FROM ofinal WHERE fix IS NOT NULL GROUP BY fix) o FULL JOIN (SELECT fix, count(*) AS n FROM cfinal WHERE fix IS NOT NULL GROUP BY fix) c USING (fix)", "old")
 def fix_diff(spark, d):
-    return compare.fix_diff(_final(spark, d, X.OLD_DECISIONS), _final(spark, d))
+    return compare.fix_diff(*_both(spark, d))
 
 
 @register("SELECT (SELECT CAST(coalesce(sum(raw), 0) AS BIGINT) FROM cfinal WHERE count IS NULL) AS missing_raw_bikes, count(*) AS series_weeks, CAST(coalesce(sum(bikes), 0) AS BIGINT) AS bikes, count(CASE WHEN complete_days = 7 THEN 1 END) AS full_weeks FROM wk", "series")
@@ -389,21 +574,82 @@ def verdict_totals(spark, d):
   WHERE abs(d_weeks) >= 4 OR abs(mean_ratio - 1) >= 0.02 OR mean_ratio IS NULL""", "old",
           more=O.parts("v", "ofinal", []) + ", " + O.weekly("wo", "ofinal", "vparts") + ", " + O.weekly("wn", "cfinal", "vparts") + f", fa AS (SELECT SITE_SK, series, count(*) AS weeks, {O.he('avg(bikes)')} AS mean FROM wo WHERE complete_days = 7 GROUP BY ALL), fb AS (SELECT SITE_SK, series, count(*) AS weeks, {O.he('avg(bikes)')} AS mean FROM wn WHERE complete_days = 7 GROUP BY ALL)")
 def weekly_diff(spark, d):
-    return compare.weekly_diff(cut(_final(spark, d, X.OLD_DECISIONS)), cut(_final(spark, d)), X.directions(spark), X.counters(spark))
+    return compare.weekly_diff(*map(cut, _both(spark, d)), X.directions(spark), X.counters(spark))
+
+
+def _span(spark, d):
+    return slots.slot_table(_records(spark, d)).groupBy(*KEYS).agg(F.min("date").alias("first"), F.max("date").alias("last"))
 
 
-@register("SELECT CAST(1 AS SMALLINT) AS SITE_SK, 'North joined' AS series, 'only new' AS state, true AS joined")
+def _series(name: str, joined: bool) -> str:
+    return f"""{name} AS (SELECT SITE_SK, series, string_agg(COUNTER_SK || ':' || DIRECTION_SK || ':' || a || ':' || b, ';' ORDER BY COUNTER_SK, DIRECTION_SK) AS key, count(DISTINCT (COUNTER_SK, DIRECTION_SK)) > 1 AS several
+  FROM (SELECT *, CASE WHEN SITE_SK % 3 = 0 AND {joined} THEN 'S' || SITE_SK ELSE 'D' || DIRECTION_SK END AS series, CASE WHEN SITE_SK % 3 = 1 AND {joined} THEN z - 1 ELSE z END AS b
+        FROM (SELECT {O.K}, min(date) AS a, max(date) AS z FROM slots GROUP BY ALL)) GROUP BY SITE_SK, series)"""
+
+
+@register("""SELECT SITE_SK, series, 'unchanged' AS state, false AS joined FROM sold WHERE (SITE_SK, key) IN (SELECT SITE_SK, key FROM snew) UNION ALL SELECT SITE_SK, series, 'only old', false FROM sold WHERE (SITE_SK, key) NOT IN (SELECT SITE_SK, key FROM snew)
+  UNION ALL SELECT SITE_SK, series, 'only new', several FROM snew WHERE (SITE_SK, key) NOT IN (SELECT SITE_SK, key FROM sold)""", more=_series("sold", False) + ", " + _series("snew", True))
 def series_diff(spark, d):
-    return compare.series_diff(_none(spark), X.parts(spark))
+    span = cut(_span(spark, d))
+    return compare.series_diff(X.derived_parts(span, False), X.derived_parts(span, True))
+
+
+@register("SELECT 'old' AS version, (SELECT count(*) FROM oall) AS decisions, (SELECT count(DISTINCT (SITE_SK, series)) FROM sold) AS series UNION ALL SELECT 'new', (SELECT count(*) FROM call), (SELECT count(DISTINCT (SITE_SK, series)) FROM snew)", "old", more=_series("sold", False) + ", " + _series("snew", True))
+def verdict_sizes(spark, d):
+    span = cut(_span(spark, d))
+    return compare.sizes(X.decisions(spark, X.OLD_DECISIONS), X.decisions(spark), X.derived_parts(span, False), X.derived_parts(span, True))
+
 
+# decisions that a rule makes of the days that directions have: more of them than the literal ones, from all of the table
+def _derived(name: str, turn: int) -> str:
+    kinds = "['missing', 'scale', 'subtract_other', 'drop_duplicates', 'direction_unreliable', 'uncertain']"
+    return f"""{name} AS (SELECT list_extract({kinds}, k % 6 + 1) AS action, SITE_SK, CASE WHEN DIRECTION_SK % 4 <> 0 THEN DIRECTION_SK END AS DIRECTION_SK, CAST(date AS VARCHAR) AS b, CASE WHEN day(date) % 5 <> 0 THEN CAST(date + CAST(DIRECTION_SK % 3 AS INTEGER) AS VARCHAR) END AS e,
+  CASE WHEN k % 6 = 1 THEN CASE WHEN day(date) % 2 = 0 THEN 0.5 ELSE 0.25 END END::DOUBLE AS factor, day(date) % 9 = 0 AS rejected, 'Camera day ' || date AS diagnosis FROM (SELECT *, DIRECTION_SK + day(date) AS k FROM daily) WHERE k % 4 = {turn})"""
 
-@register("""SELECT action, SITE_SK, DIRECTION_SK, b AS start, e AS "end" FROM oall o WHERE NOT rejected AND action IN ('scale', 'direction_unreliable', 'subtract_other', 'drop_duplicates') AND NOT EXISTS
+
+_TWO = _derived("od", 0) + ", " + _derived("nd", 1)
+
+
+def _two(spark, d):
+    days_ = cut(views.daily(_s(spark, d)))
+    return [X.derived_decisions(days_, turn) for turn in (0, 1)]
+
+
+@register("SELECT 'old' AS version, action, count(*) AS decisions FROM od WHERE NOT rejected GROUP BY action UNION ALL SELECT 'new', action, count(*) FROM nd WHERE NOT rejected GROUP BY action", more=_TWO)
+def derived_action_counts(spark, d):
+    return compare.action_counts(*_two(spark, d))
+
+
+@register("""SELECT CASE WHEN e IS NULL THEN 'ongoing' ELSE 'factor' END AS reason, action, SITE_SK, DIRECTION_SK, b AS start, e AS "end", factor, left(diagnosis, 120) AS diagnosis FROM nd WHERE NOT rejected AND (e IS NULL OR action = 'scale' AND factor <> 0.5)""", more=_TWO)
+def derived_listed(spark, d):
+    return compare.listed(_two(spark, d)[1])
+
+
+@register("""SELECT action, SITE_SK, DIRECTION_SK, b AS start, e AS "end", left(diagnosis, 120) AS diagnosis FROM od o WHERE NOT rejected AND action IN ('scale', 'direction_unreliable', 'subtract_other', 'drop_duplicates') AND NOT EXISTS
+  (SELECT 1 FROM nd n WHERE NOT n.rejected AND n.action = o.action AND n.SITE_SK = o.SITE_SK AND n.b <= coalesce(o.e, '9999-12-31') AND o.b <= coalesce(n.e, '9999-12-31'))""", more=_TWO)
+def derived_dropped(spark, d):
+    return compare.flag_dropped(*_two(spark, d))
+
+
+@register("""SELECT action, SITE_SK, DIRECTION_SK, b AS start, e AS "end", left(diagnosis, 100) AS diagnosis FROM nd WHERE NOT rejected AND action <> 'uncertain' AND e IS NOT NULL AND e >= CAST((SELECT max(date) FROM slots) - 3 AS VARCHAR)""", more=_TWO)
+def derived_tail(spark, d):
+    return compare.flag_tail(_two(spark, d)[1], slots.slot_table(_records(spark, d)))
+
+
+@register("""SELECT COUNTER_SK, b AS start, e AS "end", array_to_string(list_sort(list(DISTINCT m.SITE_SK)), ',') AS at, array_to_string(any_value(sites), ',') AS sites FROM nd m JOIN co c ON list_contains(c.sites, m.SITE_SK) WHERE NOT rejected AND action = 'missing' GROUP BY COUNTER_SK, b, e
+  HAVING count(DISTINCT m.SITE_SK) < any_value(len(sites))""", more=_TWO + ", co AS (SELECT COUNTER_SK, list_sort(list(DISTINCT SITE_SK)) AS sites FROM slots GROUP BY COUNTER_SK HAVING count(DISTINCT SITE_SK) > 1)")
+def derived_scope(spark, d):
+    """All diagnoses speak of a camera, so that a span at one of its sites is enough."""
+    return compare.flag_scope(_two(spark, d)[1], slots.slot_table(_records(spark, d)))
+
+
+@register("""SELECT action, SITE_SK, DIRECTION_SK, b AS start, e AS "end", left(diagnosis, 120) AS diagnosis FROM oall o WHERE NOT rejected AND action IN ('scale', 'direction_unreliable', 'subtract_other', 'drop_duplicates') AND NOT EXISTS
   (SELECT 1 FROM call n WHERE NOT n.rejected AND n.action = o.action AND n.SITE_SK = o.SITE_SK AND left(n.b, 10) <= left(coalesce(o.e, '9999-12-31'), 10) AND left(o.b, 10) <= left(coalesce(n.e, '9999-12-31'), 10))""", "old")
 def flag_dropped(spark, d):
     return compare.flag_dropped(X.decisions(spark, X.OLD_DECISIONS), X.decisions(spark))
 
 
-@register("""SELECT action, SITE_SK, DIRECTION_SK, b AS start, e AS "end" FROM oall WHERE NOT rejected AND action NOT IN ('uncertain', 'restore') AND e IS NOT NULL AND left(e, 10) >= CAST((SELECT max(date) FROM slots) - 3 AS VARCHAR)""", "old")
+@register("""SELECT action, SITE_SK, DIRECTION_SK, b AS start, e AS "end", left(diagnosis, 100) AS diagnosis FROM oall WHERE NOT rejected AND action NOT IN ('uncertain', 'restore') AND e IS NOT NULL AND left(e, 10) >= CAST((SELECT max(date) FROM slots) - 3 AS VARCHAR)""", "old")
 def flag_tail(spark, d):
     return compare.flag_tail(X.decisions(spark, X.OLD_DECISIONS), slots.slot_table(_records(spark, d)))
 
@@ -429,6 +675,14 @@ def flag_swap(spark, d):
     return compare.flag_swap(s, X.counters(spark), min_total=20)
 
 
+@register("SELECT f.SITE_SK, f.COUNTER_SK, p.SITE_SK AS series_site, p.series, p.COUNTER_SK AS part_counter, p.DIRECTION_SK AS part_direction, p.a AS start, p.z AS \"end\" FROM (SELECT DISTINCT SITE_SK, COUNTER_SK FROM slots WHERE SITE_SK % 2 = 0) f LEFT JOIN (SELECT DISTINCT SITE_SK, series, COUNTER_SK FROM sp) u ON u.COUNTER_SK = f.COUNTER_SK LEFT JOIN sp p ON p.SITE_SK = u.SITE_SK AND p.series = u.series",
+          more=f"sp AS (SELECT *, 'S' || SITE_SK AS series FROM (SELECT {O.K}, min(date) AS a, max(date) AS z FROM slots GROUP BY ALL) WHERE SITE_SK % 3 = 0)")
+def swap_series(spark, d):
+    """Every second site stands for those that flip; series are those that the rule joins."""
+    span = cut(_span(spark, d))
+    return compare.swap_series(span.where("SITE_SK % 2 = 0"), X.derived_parts(span, True).where("SITE_SK % 3 = 0"))
+
+
 @register("SELECT SITE_SK, series, median(bikes) AS median, count(CASE WHEN bikes = 0 THEN 1 END) AS zero_weeks FROM (SELECT SITE_SK, series, CASE WHEN week = DATE '2024-01-08' THEN 0 ELSE bikes END AS bikes FROM wk WHERE complete_days = 7) GROUP BY ALL HAVING median(bikes) >= 50 AND count(CASE WHEN bikes = 0 THEN 1 END) > 0", "series")
 def zero_weeks(spark, d):
     f = cut(_final(spark, d))
@@ -437,9 +691,10 @@ def zero_weeks(spark, d):
 
 
 # --- audits ---------------------------------------------------------------------------------------------------------
-@register(f"SELECT {O.K}, date, CAST(sum(count) AS BIGINT) AS bikes, count(*) AS slots, count(CASE WHEN count = 0 THEN 1 END) AS zero_slots, count(CASE WHEN count > 0 THEN 1 END) AS nonzero_slots, count(CASE WHEN count % 2 = 1 THEN 1 END) AS odd_slots, CAST(sum(CASE WHEN slot < 20 THEN count ELSE 0 END) AS BIGINT) AS night, CAST(sum(CASE WHEN slot BETWEEN 28 AND 75 THEN count ELSE 0 END) AS BIGINT) AS day7_19, max(count) AS max_slot FROM s GROUP BY ALL")
+@register(f"SELECT {O.K}, date, CAST(sum(count) AS BIGINT) AS bikes, count(*) AS slots, count(CASE WHEN count = 0 THEN 1 END) AS zero_slots, count(CASE WHEN count > 0 THEN 1 END) AS nonzero_slots, count(CASE WHEN count % 2 = 1 THEN 1 END) AS odd_slots, CAST(sum(CASE WHEN slot < 20 THEN count ELSE 0 END) AS BIGINT) AS night, CAST(sum(CASE WHEN slot BETWEEN 28 AND 75 THEN count ELSE 0 END) AS BIGINT) AS day7_19, max(count) AS max_slot, any_value(warn) AS warn FROM s JOIN (SELECT SITE_SK, COUNTER_SK, DIRECTION_SK, date, bool_or(status = 1) AS warn FROM recs GROUP BY ALL) w USING (SITE_SK, COUNTER_SK, DIRECTION_SK, date) GROUP BY ALL")
 def direction_days(spark, d):
-    return audit.direction_days(_s(spark, d))
+    r = _records(spark, d)
+    return audit.direction_days(views.slots(r, X.dates(spark)), r)
 
 
 @register("SELECT COUNTER_SK, date, slot, time, CAST(sum(count) AS BIGINT) AS bikes, count(DISTINCT s.DIRECTION_SK) AS directions, CAST(sum(CASE WHEN way = 'IN' THEN count ELSE 0 END) AS BIGINT) AS n_in, CAST(sum(CASE WHEN way = 'OUT' THEN count ELSE 0 END) AS BIGINT) AS n_out FROM s LEFT JOIN directions d ON s.DIRECTION_SK = d.DIRECTION_SK GROUP BY ALL")
@@ -493,6 +748,22 @@ def feed_wide_days(spark, d):
     return audit.feed_days(_s(spark, d), X.counters(spark), 2)
 
 
+_PLANTED = "date = DATE '2024-01-11' AND DIRECTION_SK = 21 THEN count * 2 WHEN date = DATE '2024-01-17' AND COUNTER_SK = 102 THEN 0 WHEN date = DATE '2024-01-19' AND DIRECTION_SK % 2 = 0 THEN count + 40"
+
+
+@register("SELECT date, vendor, pattern, count(*) AS places FROM (SELECT COUNTER_SK, date, 'even' AS pattern FROM pe WHERE odd = 0 AND nz >= 2 AND o1 > 0 AND o2 > 0 AND d1 = date - 1 AND d2 = date + 1 UNION ALL SELECT w.COUNTER_SK, w.date, 'zero' FROM pw w JOIN pu u ON w.COUNTER_SK = u.COUNTER_SK AND w.wd = u.wd WHERE bikes = 0 AND usual >= 10 UNION ALL SELECT COUNTER_SK, date, 'covers' FROM pc) x LEFT JOIN counters c USING (COUNTER_SK) GROUP BY ALL",
+          more=f"""ph AS (SELECT * REPLACE (CASE WHEN {_PLANTED} ELSE count END AS count) FROM s),
+pe AS (SELECT *, lag(odd) OVER w AS o1, lead(odd) OVER w AS o2, lag(date) OVER w AS d1, lead(date) OVER w AS d2 FROM (SELECT {O.K}, date, count(CASE WHEN count > 0 THEN 1 END) AS nz, count(CASE WHEN count % 2 = 1 THEN 1 END) AS odd FROM ph GROUP BY ALL) WINDOW w AS (PARTITION BY DIRECTION_SK ORDER BY date)),
+pw AS (SELECT COUNTER_SK, date, isodow(date) AS wd, sum(count) AS bikes FROM ph GROUP BY ALL), pu AS (SELECT COUNTER_SK, wd, median(bikes) AS usual FROM pw GROUP BY ALL),
+pr AS (SELECT {O.K}, date, slot // 4 AS h, sum(count) AS n FROM ph GROUP BY ALL),
+pc AS (SELECT a.COUNTER_SK, a.date FROM pr a JOIN pr b ON a.SITE_SK = b.SITE_SK AND a.COUNTER_SK = b.COUNTER_SK AND a.date = b.date AND a.h = b.h AND a.DIRECTION_SK <> b.DIRECTION_SK GROUP BY a.SITE_SK, a.COUNTER_SK, a.date, a.DIRECTION_SK, b.DIRECTION_SK HAVING bool_and(a.n >= b.n) AND count(*) >= 2 AND sum(b.n) > 0)""")
+def feed_wide_patterns(spark, d):
+    """One direction's day is doubled, a counter's day set to 0, and some directions get a day of many bikes."""
+    n = F.when((F.col("date") == "2024-01-11") & (F.col("DIRECTION_SK") == 21), F.col("count") * 2).when((F.col("date") == "2024-01-17") & (F.col("COUNTER_SK") == 102), F.lit(0))
+    n = n.when((F.col("date") == "2024-01-19") & (F.col("DIRECTION_SK") % 2 == 0), F.col("count") + 40).otherwise(F.col("count"))
+    return audit.feed_patterns(_s(spark, d).withColumn("count", n), X.counters(spark), 2, 10, 2)
+
+
 @register(f"SELECT {O.K}, week, am, pm, share, {O.he('share - lag(share) OVER (PARTITION BY ' + O.K + ' ORDER BY week)', 3)} AS change FROM (SELECT *, {O.he('am / (am + pm)', 3)} AS share FROM aa WHERE am + pm > 0)",
           more=f"aa AS (SELECT {O.K}, {O.week()} AS week, CAST(sum(CASE WHEN hour(time) BETWEEN 6 AND 8 THEN count ELSE 0 END) AS BIGINT) AS am, CAST(sum(CASE WHEN hour(time) BETWEEN 16 AND 18 THEN count ELSE 0 END) AS BIGINT) AS pm FROM s WHERE workday GROUP BY ALL)")
 def am_share_swap(spark, d):

@@ -21,6 +21,10 @@ def _values(name: str, cols: str, rows: list[tuple], casts: str) -> str:
     return f"{name} AS (SELECT {casts} FROM (VALUES {body}) t({cols}))"
 
 
+def _values_sql(rows: list[tuple], cols: str, casts: str) -> str:
+    return f"SELECT {casts} FROM (VALUES " + ", ".join("(" + ", ".join(map(_v, r)) + ")" for r in rows) + f") t({cols})"
+
+
 def he(x: str, n: int = 0) -> str:
     return f"(round_even(CAST({x} AS DOUBLE) * {10.0**n}, 0) / {10.0**n})" if n else f"round_even(CAST({x} AS DOUBLE), 0)"
 

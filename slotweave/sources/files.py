@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import date_from_sk, slot_from_label
-from ..operators.slots import LOAD
+from ..functions.lineage import cut
+from ..operators.slots import LOAD, local_records
 
 #: The columns of published counts.
 RAW_SCHEMA = T.StructType([
@@ -46,6 +49,54 @@ def read_counts(spark: SparkSession, path: str, sites: list[int] | None = None,
     return df.select(*RAW_SCHEMA.names)
 
 
+def read_local(spark: SparkSession, path: str, counters: DataFrame, sites: list[int] | None = None, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Counts in local time for a period of local dates: a day more on either side is read, as some are published in UTC."""
+    day = lambda d, n: d and str(date.fromisoformat(d) + timedelta(days=n))
+    return local_records(read_counts(spark, path, sites, day(start, -1), day(end, 1)), counters, start=start, end=end)
+
+
+def inventory(rows: DataFrame) -> DataFrame:
+    """(SITE_SK, DATE_SK, rows) that the source has."""
+    return rows.groupBy("SITE_SK", "DATE_SK").agg(F.count("*").alias("rows"))
+
+
+def packed(days: DataFrame, most: int) -> DataFrame:
+    """(SITE_SK, DATE_SK, rows, chunk) of an inventory: the days of a site, in order, dealt to chunks that hold at most
+    ``most`` rows; a larger day stands alone. A site has few days, so they are folded as an array."""
+    listed = days.groupBy("SITE_SK").agg(F.sort_array(F.collect_list(F.struct("DATE_SK", F.col("rows").cast("long").alias("rows")))).alias("d"))
+    none = F.struct(F.expr("CAST(array() AS ARRAY<INT>)").alias("chunks"), F.lit(-1).alias("chunk"), F.lit(most + 1).cast("long").alias("used"))
+
+    def put(state, day):
+        new = state["used"] + day["rows"] > most
+        chunk = state["chunk"] + new.cast("int")
+        return F.struct(F.concat(state["chunks"], F.array(chunk)).alias("chunks"), chunk.alias("chunk"), (F.when(new, F.lit(0)).otherwise(state["used"]) + day["rows"]).cast("long").alias("used"))
+
+    out = listed.withColumn("c", F.aggregate("d", none, put)["chunks"]).select("SITE_SK", F.explode(F.arrays_zip("d", "c")).alias("x"))
+    return out.select("SITE_SK", "x.d.DATE_SK", "x.d.rows", F.col("x.c").alias("chunk"))
+
+
+def ingest(counts: DataFrame, expected: DataFrame, path: str) -> DataFrame:
+    """Brings the stored counts up to an inventory: site-years whose number of rows differs are replaced, each as a whole,
+    the others stay. The report: (SITE_SK, year, rows, stored, fetched, complete); what is not complete, because the
+    source changed on the way, is fetched by the next run."""
+    spark = counts.sparkSession
+    have = lambda: read_counts(spark, path) if _exists(spark, path) else counts.where("false")
+    stale = cut(stale_site_years(expected, have())).select("SITE_SK", "year")
+    sites = [r[0] for r in stale.select("SITE_SK").distinct().collect()]  # as many as sites at most
+    if sites:
+        wanted = counts.where(F.col("SITE_SK").isin(sites)).withColumn("year", F.year("date")).join(stale, ["SITE_SK", "year"], "left_semi")
+        write_counts(wanted.drop("year"), path)
+    want = expected.groupBy("SITE_SK", F.substring(F.col("DATE_SK").cast("string"), 1, 4).cast("int").alias("year")).agg(F.sum("rows").alias("rows"))
+    stored = have().groupBy("SITE_SK", F.year("date").alias("year")).agg(F.count("*").alias("stored"))
+    out = want.join(stored, ["SITE_SK", "year"], "left").join(stale.withColumn("fetched", F.lit(True)), ["SITE_SK", "year"], "left")
+    return out.select("SITE_SK", "year", "rows", F.coalesce("stored", F.lit(0)).alias("stored"), F.coalesce("fetched", F.lit(False)).alias("fetched"), F.coalesce(F.col("stored") == F.col("rows"), F.lit(False)).alias("complete"))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def stale_site_years(expected: DataFrame, counts: DataFrame) -> DataFrame:
     """(SITE_SK, year, rows) of an inventory (SITE_SK, DATE_SK, rows) whose stored rows are not as many."""
     want = expected.groupBy("SITE_SK", F.substring(F.col("DATE_SK").cast("string"), 1, 4).cast("int").alias("year")).agg(F.sum("rows").alias("rows"))
@@ -75,13 +126,31 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_cleaned(final: DataFrame, series: DataFrame, weeks: DataFrame, path: str) -> None:
-    """The three results. The first is dealt by site, so that the folders of a site are written once."""
+#: The columns of cleaned slots, as written and read.
+FINAL = "SITE_SK smallint, COUNTER_SK smallint, DIRECTION_SK smallint, date date, time timestamp_ntz, workday boolean, records smallint, raw int, count int, fix string, direction_unreliable boolean, hourly_binned boolean"
+SERIES = "SITE_SK smallint, series string, COUNTER_SK smallint, DIRECTION_SK smallint, start date, end date, match_site smallint"
+
+
+def write_slots(final: DataFrame, path: str) -> None:
+    """Cleaned slots, a folder a site; a site's counters are dealt out, each in the order in which it is read."""
     final.repartition("SITE_SK", "COUNTER_SK").sortWithinPartitions("SITE_SK", "COUNTER_SK", "DIRECTION_SK", "time").write.mode("overwrite").partitionBy("SITE_SK").parquet(f"{path}/counts_15min")
-    write_csv(series.orderBy("SITE_SK", "series", "COUNTER_SK", "DIRECTION_SK", "start", "end"), f"{path}/series")
+
+
+def read_slots(spark: SparkSession, path: str) -> DataFrame:
+    out = spark.read.schema(FINAL).parquet(f"{path}/counts_15min")
+    return out.select(*(c.split()[0] for c in FINAL.split(", ")))
+
+
+def write_series(parts: DataFrame, weeks: DataFrame, path: str) -> None:
+    """The parts of the series as CSV, and their weekly totals."""
+    write_csv(parts.orderBy("SITE_SK", "series", "COUNTER_SK", "DIRECTION_SK", "start", "end"), f"{path}/series")
     weeks.orderBy("SITE_SK", "series", "week").write.mode("overwrite").parquet(f"{path}/weekly")
 
 
+def read_series(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SERIES).option("header", True).csv(f"{path}/series")
+
+
 def markdown(df: DataFrame) -> str:
     """A small result as a table of text; null is empty. Rows stream to the driver one partition at a time."""
     line = lambda cells: "| " + " | ".join(cells) + " |"
@@ -89,6 +158,13 @@ def markdown(df: DataFrame) -> str:
     return "\n".join([line(df.columns), line("---" for _ in df.columns), *rows])
 
 
-def brief(title: str, tables: dict[str, DataFrame], text: str) -> str:
-    """What a reviewer of a group needs to know: its sites, counters and directions, and how to judge them."""
-    return "\n\n".join([f"# {title}", *(f"## {name}\n\n{markdown(df)}" for name, df in tables.items()), text])
+def brief(group: str, sites: list[int], meta: dict[str, DataFrame], text: str) -> str:
+    """What a reviewer of a group needs to know: its sites, their counters, their directions with the dates that they have
+    data, and how to judge them."""
+    titles = {"sites": "Sites", "counters": "Counters", "directions": "Directions (dates with data)"}
+    return "\n\n".join([f"# Review group {group}", f"The group's sites: `{sites}`", *(f"## {titles[name]}\n\n{markdown(meta[name])}" for name in titles), text])
+
+
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A text as a file of lines under ``path``."""
+    spark.createDataFrame([(line,) for line in text.split("\n")], "line string").coalesce(1).write.mode("overwrite").text(path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import slot_label
+
 COUNTERS = [(100, "C100", "PIEZO", "MetroCount"), (101, "C101", "TUBE", "MetroCount"), (102, "C102", "CAMERA", "VivaCity")]
 DIRECTIONS = [(0, "North", None), (1, "South", None), (10, "North", None), (11, "South", None), (12, "North", None), (20, "North", None), (21, "South", None), (30, "North", None), (40, "North", "IN"), (41, "South", "OUT"), (50, "North", "IN"), (51, "South", "OUT")]
 SITES = [(k, f"Site {k}", -33.86 + 0.012 * k, 151.20 + 0.009 * k) for k in range(6)]
@@ -37,6 +39,9 @@ OLD_DECISIONS = [
     ("missing", 4, None, "2024-01-20", "2024-01-28", None, None, "camera dead"),
 ]
 PARTS = [(1, "North joined", 100, 10, None, "2024-01-14"), (1, "North joined", 101, 12, "2024-01-15", None)]
+#: (date, end_date, name, kind, sites, effect, source)
+EVENTS = [("2024-01-07", "2024-01-07", "Ride to work, \"early\"", "ride", "1; 3;5", "more, by half", "paper"), ("2024-01-19", "2024-01-21", "Road works", "closure", "2", None, "notice")]
+GROUP = "G0000"
 _DECISION = "action string, SITE_SK smallint, DIRECTION_SK smallint, start string, end string, factor double, rejected boolean, diagnosis string"
 
 RECORDS = """
@@ -51,6 +56,43 @@ FROM {events}
 """
 
 
+def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw records as the service has them."""
+    r = records(spark, sf_dir)
+    sk = F.concat(F.year("date"), F.dayofyear("date")).cast("int")
+    day = F.concat(F.col("ADDED_UPDATED_DATETIME_SYDNEY").cast("string"), F.lit("T00:00:00"))
+    none = lambda kind: F.lit(None).cast(kind)
+    return r.withColumns({"DATE_SK": sk, "15MIN_TIME_SLOT": slot_label(F.col("slot")), "MODE_SK": F.lit(3), "SPEED_15MIN_MEDIAN": none("double"), "SPEED_15MIN_85P": none("double"), "Status description": F.when(F.col("Status") == 1, "warning"), "ADDED_UPDATED_DATETIME_SYDNEY": day}).drop("date", "slot")
+
+
+def verdict(rows: list[tuple] | None = None) -> dict:
+    """A reviewer's document of the decisions and series."""
+    names = ("action", "SITE_SK", "DIRECTION_SK", "start", "end", "factor", "rejected", "diagnosis")
+    series: dict[tuple, list[dict]] = {}
+    for site, name, counter, direction, start, end in PARTS:
+        series.setdefault((site, name), []).append({"COUNTER_SK": counter, "DIRECTION_SK": direction, "start": start, "end": end})
+    told = [{"SITE_SK": s, "name": n, "parts": p} for (s, n), p in series.items()] + [{"SITE_SK": 4, "name": "wrong", "rejected": True, "parts": [{"COUNTER_SK": 102, "DIRECTION_SK": 40}]}]
+    return {"group": GROUP, "decisions": [{k: v for k, v in zip(names, r, strict=True) if v is not None} for r in rows or DECISIONS], "series": told, "proposals": []}
+
+
+def derived_decisions(daily: DataFrame, turn: int) -> DataFrame:
+    """Decisions made by rule from the days that directions have: the same rule is stated in SQL."""
+    k = F.col("DIRECTION_SK") + F.dayofmonth("date")
+    one = daily.where(k % 4 == turn)
+    kinds = F.array(*(F.lit(a) for a in ("missing", "scale", "subtract_other", "drop_duplicates", "direction_unreliable", "uncertain")))
+    end = F.when(F.dayofmonth("date") % 5 != 0, F.date_add("date", F.col("DIRECTION_SK") % 3).cast("string"))
+    return one.select(F.element_at(kinds, (k % 6 + 1).cast("int")).alias("action"), "SITE_SK", F.when(F.col("DIRECTION_SK") % 4 != 0, F.col("DIRECTION_SK")).alias("DIRECTION_SK"), F.col("date").cast("string").alias("start"), end.alias("end"),
+                      F.when(k % 6 == 1, F.when(F.dayofmonth("date") % 2 == 0, 0.5).otherwise(0.25)).alias("factor"), (F.dayofmonth("date") % 9 == 0).alias("rejected"), F.concat(F.lit("Camera day "), F.col("date").cast("string")).alias("diagnosis"))
+
+
+def derived_parts(span: DataFrame, joined: bool) -> DataFrame:
+    """Series by rule from (keys, first, last): each direction alone, or those of every third site as one."""
+    one = F.concat(F.lit("D"), F.col("DIRECTION_SK").cast("string"))
+    name = F.when((F.col("SITE_SK") % 3 == 0) & F.lit(joined), F.concat(F.lit("S"), F.col("SITE_SK").cast("string"))).otherwise(one)
+    end = F.when((F.col("SITE_SK") % 3 == 1) & F.lit(joined), F.date_sub("last", 1)).otherwise(F.col("last"))
+    return span.select("SITE_SK", name.alias("series"), "COUNTER_SK", "DIRECTION_SK", F.col("first").alias("start"), end.alias("end"))
+
+
 def _table(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
     """Literal rows with a size that the optimizer knows, so that it can broadcast them."""
     names, kinds = zip(*((c.rpartition(" ")[0], c.rpartition(" ")[2]) for c in columns.split(", ")), strict=True)
@@ -95,6 +137,10 @@ def weather(spark: SparkSession) -> DataFrame:
     return _table(spark, WEATHER, "date string, rain_mm_to_9am double, max_temp_c double").withColumn("date", F.col("date").cast("date"))
 
 
+def events(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(EVENTS, "date string, end_date string, name string, kind string, sites string, effect string, source string")
+
+
 def decisions(spark: SparkSession, rows: list | None = None) -> DataFrame:
     return _table(spark, DECISIONS if rows is None else rows, _DECISION)
 

@@ -41,9 +41,10 @@ def from_dicts(spark: SparkSession, verdicts: list[dict]) -> DataFrame:
 
 
 def at_revision(root: str, path: str, revision: str | None = None) -> dict:
-    """A verdict as it is in the working tree, or was at a revision of the repository."""
-    if revision is None:
-        return json.loads(Path(root, path).read_text())
+    """A verdict as it is in the working tree, or was at a revision of the repository; a revision that ends in .json is the
+    place of another file."""
+    if revision is None or revision.endswith(".json"):
+        return json.loads(Path(root, revision or path).read_text())
     shown = subprocess.run(["git", "-C", root, "show", f"{revision}:{path}"], capture_output=True, text=True, check=True)
     return json.loads(shown.stdout)
 

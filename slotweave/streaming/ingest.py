@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..functions.columns import slot_start
-from ..operators.slots import COUNT, LOAD
-from ..settings import KEYS
+from ..operators.slots import COUNT, LOAD, local_records, slots_of
+from ..settings import DEFAULT, KEYS, Settings
 
 
 def slot_sums(records: DataFrame, late: str = "7 days") -> DataFrame:
@@ -17,12 +17,14 @@ def slot_sums(records: DataFrame, late: str = "7 days") -> DataFrame:
     return timed.groupBy(*KEYS, F.window("time", "15 minutes").alias("w")).agg(F.sum(COUNT).alias("raw"), F.count("*").alias("records")).select(*KEYS, F.col("w.start").alias("time"), "raw", "records")
 
 
-def ingest(spark: SparkSession, records: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def ingest(spark: SparkSession, records: DataFrame, path: str, checkpoint: str, counters: DataFrame | None = None, settings: Settings = DEFAULT) -> StreamingQuery:
     """Appends each batch's per-load sums under its own folder. A batch that is run again replaces its folder, so that
-    every record counts once; ``stored`` merges the folders."""
+    every record counts once; ``stored`` merges the folders. With the counters, those of vendors on UTC are moved to local
+    time first."""
 
     def fold(batch: DataFrame, number: int) -> None:
-        per_load = batch.groupBy(*KEYS, "date", "slot", F.col(LOAD).alias("load")).agg(F.sum(F.col(COUNT).cast("long")).alias("n"), F.count("*").alias("records"))
+        local = batch if counters is None else local_records(batch, counters, settings)
+        per_load = local.groupBy(*KEYS, "date", "slot", F.col(LOAD).alias("load")).agg(F.sum(F.col(COUNT).cast("long")).alias("n"), F.count("*").alias("records"))
         per_load.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return records.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -31,6 +33,4 @@ def ingest(spark: SparkSession, records: DataFrame, path: str, checkpoint: str)
 def stored(spark: SparkSession, path: str) -> DataFrame:
     """The slot table of all batches so far."""
     loads = spark.read.parquet(path).groupBy(*KEYS, "date", "slot", "load").agg(F.sum("n").alias("n"), F.sum("records").alias("records"))
-    main = F.min_by(F.struct("records", "load"), F.struct((-F.col("n")).alias("n"), F.col("load")))
-    out = loads.groupBy(*KEYS, "date", "slot").agg(F.sum("n").cast("int").alias("raw"), main.alias("m"))
-    return out.select(*KEYS, "date", "slot", "raw", F.col("m.records").cast("smallint").alias("records"), F.col("m.load").alias("load"))
+    return slots_of(loads).drop("latest")

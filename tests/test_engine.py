@@ -52,6 +52,40 @@ def test_out_of_range(spark):
         slots.slot_table(recs(spark, [(0, 100, 0, "2024-01-02", 5, k, 40000, "2024-01-03") for k in range(2)])).collect()
 
 
+def test_checks_hold_whatever_is_read(spark):
+    many = recs(spark, [(0, 100, 0, "2024-01-02", 5, k, 40000, "2024-01-03") for k in range(2)])
+    for read in (lambda t: t.select("records"), lambda t: t.select("SITE_SK").distinct(), lambda t: t.groupBy("date").count()):
+        with pytest.raises(Exception, match="out of range"):
+            read(slots.slot_table(many)).collect()
+    r = recs(spark, [(2, 101, 20, "2024-01-08", 1, 1, 2, "2024-02-01")])
+    clash = decs(spark, ("scale", 2, None, "2024-01-01", None, 0.5), ("scale", 2, 20, "2024-01-01", None, 0.25))
+    for read in (lambda t: t.select("direction_unreliable"), lambda t: t.select("SITE_SK").distinct(), lambda t: t.groupBy("date").count()):
+        with pytest.raises(Exception, match="disagree on the factor"):
+            read(decisions.apply(slots.slot_table(r), clash, r)).collect()
+
+
+def test_decisions_meet_their_months_only(spark):
+    rows = [(2, 101, 20, d, 1, 1, 2, "2024-12-01") for d in ("2024-01-31", "2024-02-01", "2024-02-29", "2024-03-01", "2024-03-31", "2024-05-01")]
+    r = recs(spark, rows)
+    d = decs(spark, ("missing", 2, 20, "2024-01-31", "2024-02-01", None), ("scale", 2, 20, "2024-03-31", None, 0.5), ("direction_unreliable", 2, None, "2023-01-01", "2024-02-29 00:15", None))
+    got = {str(x["date"]): (x["count"], x["fix"], x["direction_unreliable"]) for x in decisions.apply(slots.slot_table(r), d, r).collect()}
+    assert got == {"2024-01-31": (None, "missing", True), "2024-02-01": (None, "missing", True), "2024-02-29": (2, None, True), "2024-03-01": (2, None, False), "2024-03-31": (1, "scale", False), "2024-05-01": (1, "scale", False)}
+
+
+def test_shared_folder_on_a_cluster():
+    from slotweave.functions import lineage
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://there:7077"
+
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        lineage.shared_folder(Cluster)
+
+
 def _values(day, slot, values):
     return [(0, 100, 0, day, slot, k, v, "2024-02-01") for k, v in enumerate(values)]
 
