@@ -111,19 +111,15 @@ def _base(window: int):
 
 
 def _windows(window: int):
-    """(owner, text, stretches) -> (owner, digest of the stretch, place in it, digest of the window)."""
+    """(owner, t, text, stretches) -> (owner, t, start, digest) of each window of the stretches."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for owner, text, spans in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            for owner, t, text, spans in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
                 w = word_hashes(text.split())
-                size = np.array([x["e"] - x["s"] + 1 for x in spans], np.int64)
-                of = np.repeat(np.arange(len(spans)), size)
-                off = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
-                at = np.array([x["s"] for x in spans], np.int64)[of] + off
+                at = np.unique(np.concatenate([np.arange(x["s"], x["e"] + 1, dtype=np.int64) for x in spans]))
                 w1, w2 = span_digests(w, at, at + window)
-                h1, h2 = (np.array([x[c] for x in spans], np.int64)[of] for c in ("h1", "h2"))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), owner, np.int64)), pa.array(h1), pa.array(h2), pa.array(off.astype(np.int32)), pa.array(w1), pa.array(w2)], names=["owner", "h1", "h2", "off", "w1", "w2"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), owner, np.int64)), pa.array(np.full(len(at), t, np.int64)), pa.array(at.astype(np.int32)), pa.array(w1), pa.array(w2)], names=["owner", "t", "s", "w1", "w2"])
 
     return rows
 
@@ -165,7 +161,10 @@ _ROW = [c.split()[0] for c in RUN.split(", ")]
 
 class FingerprintIndex:
     """Sorted immutable runs of the distinct stretches of all batches so far, under ``path``: of each the digest (h1, h2), the
-    fingerprint, the first document that has it in its batch and where, and the largest doc_id there that has it."""
+    fingerprint, the first document that has it in its batch and where, and the largest doc_id there that has it.
+
+    There is one writer at a time. A batch counts when its manifest is written; a run that no manifest names was left by a
+    writer that died, and isn't read."""
 
     def __init__(self, spark: SparkSession, path: str, window: int = WINDOW) -> None:
         """The index at ``path`` as its last manifest tells, or a new one."""
@@ -212,34 +211,38 @@ class FingerprintIndex:
         name = self._write(found)
         own = self.runs[name]
         # merge joins of sorted runs: which digests does history have?
-        seen = own.select("h1", "h2", "doc_id", "last")
+        seen = own.select("h1", "h2", "fp", "doc_id", "last")
         for i, run in enumerate(before.values()):
             seen = seen.join(run.select("h1", "h2", F.lit(True).alias(f"in{i}")), ["h1", "h2"], "left")
         old = reduce(lambda x, y: x | y, [F.coalesce(f"in{i}", F.lit(False)) for i in range(len(before))], F.lit(False))
-        known = seen.withColumn("old", old).where(F.col("old") | (F.col("doc_id") < F.col("last")))
-        known = materialize(known.select("h1", "h2", F.when(F.col("old"), F.lit(HISTORY)).otherwise(F.col("doc_id")).alias("owner")), "sub-known")
-        whole = materialize(st.join(known, ["h1", "h2"]).where("owner < doc_id").select("doc_id", "t", "s", "e"), "sub-whole")
-
+        seen = materialize(seen.select("h1", "h2", "fp", "doc_id", "last", old.alias("old")), "sub-seen")
+        known = seen.where("old or doc_id < last").select("h1", "h2", F.when(F.col("old"), F.lit(HISTORY)).otherwise(F.col("doc_id")).alias("owner"), F.lit(False).alias("asked"))
         # stretches that are new, but have a fingerprint that history or an earlier document has
-        new = own.join(known.where(F.col("owner") == HISTORY).select("h1", "h2"), ["h1", "h2"], "left_anti").select("h1", "h2", "fp", "doc_id", "t", "s", "e")
+        new = seen.where("not old").select("h1", "h2", "fp", "doc_id")
         by_fp = materialize(new.groupBy("fp").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")), "sub-fp")
-        past = [run.join(by_fp.select("fp"), "fp", "left_semi").select("h1", "h2", "fp", "doc_id", "t", "s", "e") for run in before.values()]
+        past = [run.join(by_fp.select("fp"), "fp", "left_semi").select("fp", "doc_id", "t", "s", "e") for run in before.values()]
         sources = materialize(reduce(DataFrame.unionByName, past), "sub-source") if past else None
         hit = by_fp.where("lo < hi").select("fp")
-        hit = hit.unionByName(sources.select("fp")).distinct() if past else hit
-        asked = new.join(hit, "fp", "left_semi").withColumn("owner", F.col("doc_id"))
+        hit = materialize(hit.unionByName(sources.select("fp")).distinct() if past else hit, "sub-hit")
+        asked = new.join(hit, "fp", "left_semi").select("h1", "h2", F.col("doc_id").alias("owner"), F.lit(True).alias("asked"))
+        marks = materialize(known.unionByName(asked), "sub-mark")
+        release(seen, by_fp, hit)
+        met = st.join(marks, ["h1", "h2"]).where(F.when(F.col("asked"), F.col("owner") == F.col("doc_id")).otherwise(F.col("owner") < F.col("doc_id")))
+        met = materialize(met.select("doc_id", "t", "s", "e", "asked"), "sub-met")
+
+        stretches = met.where("asked").select("doc_id", "t", "s", "e", F.col("doc_id").alias("owner"))
         if past:
-            asked = asked.unionByName(sources.withColumn("owner", F.lit(HISTORY)))
-        stretches = asked.groupBy("doc_id", "t").agg(F.min("owner").alias("owner"), F.collect_set(F.struct("s", "e", "h1", "h2")).alias("spans"))
-        read = texts.join(stretches, ["doc_id", "t"]).dropDuplicates(["doc_id", "t"]).select("owner", "text", "spans")
-        windows = materialize(read.mapInArrow(_windows(window), "owner long, h1 long, h2 long, off int, w1 long, w2 long"), "sub-window")
+            stretches = stretches.unionByName(sources.select("doc_id", "t", "s", "e", F.lit(HISTORY).alias("owner")))
+        stretches = stretches.groupBy("doc_id", "t", "owner").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+        read = texts.join(stretches, ["doc_id", "t"]).dropDuplicates(["doc_id", "t", "owner"]).select("owner", "t", "text", "spans")
+        windows = materialize(read.mapInArrow(_windows(window), "owner long, t long, s int, w1 long, w2 long"), "sub-window")
+        # written before it is joined, so that adaptive execution can split a window that very many documents have
         earliest = windows.groupBy("w1", "w2").agg(F.min("owner").alias("first"), F.max("owner").alias("last")).where("first < last").drop("last")
-        single = windows.where(F.col("owner") != HISTORY).join(earliest, ["w1", "w2"]).where("first < owner").groupBy("owner", "h1", "h2").agg(F.collect_set("off").alias("offs"))
-        # the same stretch may stand at several places of its document
-        at = st.join(single, ["h1", "h2"]).where("owner = doc_id").select("doc_id", "t", F.explode(F.transform("offs", lambda k: F.col("s") + k)).alias("s"))
-        spans = whole.unionByName(at.select("doc_id", "t", "s", F.col("s").alias("e"))).groupBy("doc_id", "t").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+        earliest = materialize(earliest, "sub-earliest")
+        single = windows.where(F.col("owner") != HISTORY).join(earliest, ["w1", "w2"]).where("first < owner").select(F.col("owner").alias("doc_id"), "t", "s", F.col("s").alias("e"))
+        spans = met.where("not asked").select("doc_id", "t", "s", "e").unionByName(single).groupBy("doc_id", "t").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
         out = materialize(spans, "sub-spans")
-        release(known, whole, by_fp, windows, *([sources] if past else []))
+        release(marks, met, windows, earliest, *([sources] if past else []))
         self._grow(name)
         return out
 
