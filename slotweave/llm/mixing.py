@@ -57,28 +57,45 @@ def _running(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> Dat
     return out.withColumns({k: F.col(k) + F.col(f"_b{k}") for k in sums}).drop("_range", *names, *(f"_{k}" for k in sums), *(f"_b{k}" for k in sums))
 
 
-def uniform(key: str, seed: str = SEED) -> Column:
+def uniform(key: Column, seed: str = SEED) -> Column:
     """In [0, 1), from the first 32 bits of an MD5: the same in every run and in every engine."""
-    return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(key).cast("string"), F.lit("")))), 1, 8), 16, 10).cast("double") / 4294967296.0
+    return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), key)), 1, 8), 16, 10).cast("double") / 4294967296.0
+
+
+def _drawn(docs: DataFrame, text: str, key: str, seed: str) -> Column:
+    """The number that a row draws: by its id, and where it has none by its text, so that such rows draw apart."""
+    return uniform(F.coalesce(F.col(key).cast("string"), F.concat(F.lit("-"), F.md5(F.coalesce(F.col(text), F.lit(""))))), seed)
+
+
+def _copies(target: Column, size: Column, draw: Column) -> Column:
+    rate = F.when(size > 0, target / size).otherwise(0.0)
+    return F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")
 
 
 def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = MAX_REPEATS, seed: str = SEED) -> DataFrame:
-    """(row, size, source_size, target, copies): each row of ``docs`` as a struct, and how often the mix takes it.
+    """(doc_id, source, size, source_size, target, copies), a row for each row of ``docs``: how often the mix takes it.
 
     The rate of a source is target / size; a document is taken floor(rate) times, and once more if its seeded uniform
     number is below the rest. A null text has size 0; null sources are one source, the last. Where all sizes of a source
-    are 0 its target is 0 and its documents are not taken. Rows that repeat a doc_id are taken alike; an empty table
-    gives an empty mix; the names of other columns don't matter."""
-    sized = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
-    targets = materialize(source_targets(sized.select("source", "size"), weights=weights, cap=cap), "mix-targets")
-    targets = targets.select(F.col("source").alias("of"), "source_size", "target")
+    are 0 its target is 0 and its documents are not taken. Rows that repeat a doc_id are taken alike, rows without one by
+    their text; an empty table gives an empty mix; the names of other columns don't matter. Texts are read once, for a
+    table of their sizes."""
+    sized, targets = _measured(docs, text, key, source, weights, cap, seed)
     out = sized.join(targets, F.col("source").eqNullSafe(F.col("of")))
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    copies = F.floor(rate) + (uniform(f"row.{key}", seed) < rate - F.floor(rate)).cast("long")
-    return out.select("row", "size", "source_size", "target", copies.alias("copies"))
+    return out.select("doc_id", "source", "size", "source_size", "target", _copies(F.col("target"), F.col("source_size"), F.col("draw")).alias("copies"))
+
+
+def _measured(docs: DataFrame, text: str, key: str, source: str, weights: tuple[int, ...], cap: int, seed: str) -> tuple[DataFrame, DataFrame]:
+    """The sizes and draws of all rows, and the targets (of, source_size, target) of their sources, as tables."""
+    sized = materialize(docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), _drawn(docs, text, key, seed).alias("draw")), "mix-sized")
+    targets = materialize(source_targets(sized.select("source", "size"), weights=weights, cap=cap), "mix-targets")
+    return sized, targets.select(F.col("source").alias("of"), "source_size", "target")
 
 
-def mix_documents(docs: DataFrame, **how) -> DataFrame:
-    """The mix itself: every document of ``docs`` as often as it is taken, with the columns of ``docs``."""
-    taken = mix(docs, **how).where("copies > 0")
+def mix_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = MAX_REPEATS, seed: str = SEED) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken (see ``mix``), with the columns of ``docs``. How often
+    follows from the row's source and draw, so rows meet the table of sources only."""
+    _, targets = _measured(docs, text, key, source, weights, cap, seed)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(source).alias("source"), _drawn(docs, text, key, seed).alias("draw"))
+    taken = rows.join(targets, F.col("source").eqNullSafe(F.col("of"))).withColumn("copies", _copies(F.col("target"), F.col("source_size"), F.col("draw"))).where("copies > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
