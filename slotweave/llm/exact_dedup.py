@@ -15,6 +15,7 @@ from __future__ import annotations
 import pickle
 import tempfile
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 import xxhash
@@ -143,7 +144,7 @@ def grace(rows: Iterator[tuple[int, int, int, bytes]], budget: int = TABLE_BYTES
             put(([rep], i, n), content)
         for f in files:
             f.seek(0)
-            yield from ((sum(r, []), i, n) for r, i, n in grace(_load(f), budget, level + 1))
+            yield from ((list(chain.from_iterable(r)), i, n) for r, i, n in grace(_load(f), budget, level + 1))
             f.close()
     finally:
         for f in files:

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ ITERATIONS = 400
 def _piece_rows(path: str, cap: int, with_ids: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
+        row = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 b = whole.slice(at, 500)
@@ -35,21 +37,22 @@ def _piece_rows(path: str, cap: int, with_ids: bool):
                 for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                     ids = np.append(enc.encode(text) if text else np.empty(0, "<u4"), np.array([END], "<u4"))
                     cuts = [0, *range(len(ids) % cap or cap, len(ids) + 1, cap)] if len(ids) > cap else [0, len(ids)]
-                    out += [(i, k, s, e - s, zlib.crc32(ids[s:e].tobytes()), ids[s:e].astype(np.int32) if with_ids else None) for k, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False))]
+                    row += 1
+                    out += [(i, k, s, e - s, zlib.crc32(ids[s:e].tobytes()), row, ids[s:e].astype(np.int32) if with_ids else None) for k, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False))]
                 c = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c[0], pa.int64()), pa.array(c[1], pa.int32()), *(pa.array(c[k], pa.int64()) for k in (2, 3, 4)), pa.array(c[5], pa.list_(pa.int32()))],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"],
+                    [pa.array(c[0], pa.int64()), pa.array(c[1], pa.int32()), *(pa.array(c[k], pa.int64()) for k in (2, 3, 4, 5)), pa.array(c[6], pa.list_(pa.int32()))],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32", "row", "ids"],
                 )
 
     return rows
 
 
 def pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", cap: int = CAP, path: str | None = None, with_ids: bool = False) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32, ids): the pieces of each document; a longer one than ``cap`` is cut so
-    that all pieces but the first have ``cap`` tokens."""
+    """(doc_id, piece, start, length, ids_crc32, row, ids): the pieces of each document; a longer one than ``cap`` is cut so
+    that all pieces but the first have ``cap`` tokens. row: a number that the pieces of one row of ``docs`` share."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_piece_rows(path or default_path(), cap, with_ids), "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>")
+    return rows.mapInArrow(_piece_rows(path or default_path(), cap, with_ids), "doc_id long, piece int, start long, length long, ids_crc32 long, row long, ids array<int>")
 
 
 # --- plan -----------------------------------------------------------------------------------------------------------
@@ -212,17 +215,18 @@ def _placed(shared):
 
 
 def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", cap: int = CAP, path: str | None = None, with_ids: bool = False) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32 [, ids], sequence_id, offset), a row for each piece.
+    """(doc_id, piece, start, length, ids_crc32, row [, ids], sequence_id, offset), a row for each piece.
 
-    ``path`` names the tokenizer's file. A null text is an empty document, which has only its end id. Documents that
-    repeat a doc_id are packed as any other. Sequences have no gaps and at most ``cap`` tokens. An empty table gives no
-    piece; further columns are not looked at."""
+    ``path`` names the tokenizer's file. A null text is an empty document, which has only its end id; a very long one is
+    encoded at once by one task, and is many pieces. Documents that repeat a doc_id, or have none, are packed as any
+    other; (row, piece) tells all pieces apart. Sequences have no gaps and at most ``cap`` tokens. An empty table gives
+    no piece; further columns are not looked at."""
     cut = materialize(pieces(docs, text, key, cap, path, with_ids), "pack-pieces")
     hist = np.zeros(cap + 1, np.int64)
     for length, n in cut.groupBy("length").agg(F.count("*")).collect():  # at most cap rows
         hist[length] = n
     p = docs.sparkSession.sparkContext.broadcast(plan(hist))
     cut = cut if with_ids else cut.drop("ids")
-    ranked = with_rank(cut, ["length"], ["doc_id", "piece"]).select(*cut.columns, "rank")
+    ranked = with_rank(cut, ["length"], ["row", "piece"]).select(*cut.columns, "rank")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema) + ", sequence_id long, offset long"
     return ranked.mapInArrow(_placed(p), schema)

@@ -102,14 +102,21 @@ def test_batches_of_edits_against_the_kept_trees(spark, docs_of, tmp_path):
 
 
 def check_packing(rows, got):
-    ids = {i: [*plain_ids(t or ""), 2] for i, t in rows}
-    for i, all_ids in ids.items():
-        mine = sorted((r for r in got if r["doc_id"] == i), key=lambda r: r["piece"])
-        assert [r["piece"] for r in mine] == list(range(len(mine))) and sum(r["length"] for r in mine) == len(all_ids)
+    """Each row's pieces hold its ids, in places without gaps; the number of sequences. Rows that repeat an id are equal."""
+    text_of, by_row = dict(rows), {}
+    for r in got:
+        by_row.setdefault(r["row"], []).append(r)
+    assert Counter(r[0]["doc_id"] for r in by_row.values()) == Counter(i for i, _ in rows)
+    ids = {i: [*plain_ids(t or ""), 2] for i, t in text_of.items()}
+    for mine in by_row.values():
+        mine.sort(key=lambda r: r["piece"])
+        all_ids = ids[mine[0]["doc_id"]]
+        assert [r["piece"] for r in mine] == list(range(len(mine))) and sum(r["length"] for r in mine) == len(all_ids) and len({r["doc_id"] for r in mine}) == 1
         assert len(mine) == max(1, -(-len(all_ids) // 1024)) and all(r["length"] == 1024 for r in mine[1:])
         at = 0
         for r in mine:
-            assert r["start"] == at and r["ids_crc32"] == zlib.crc32(np.array(all_ids[at : at + r["length"]], "<u4").tobytes())
+            part = all_ids[at : at + r["length"]]
+            assert r["start"] == at and r["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes()) and ("ids" not in r or r["ids"] == part)
             at += r["length"]
     places = {}
     for r in got:
@@ -134,6 +141,8 @@ def test_pack(docs_of):
 
 def test_pack_repeated_rows(docs_of):
     got = packing.pack(docs_of([(1, "a b c")] * 700)).collect()
+    assert check_packing([(1, "a b c")] * 700, got) == 3
+    assert check_packing([(None, "word " * 1500)] * 5, packing.pack(docs_of([(None, "word " * 1500)] * 5), with_ids=True).collect()) == 8
     assert len(got) == 700 and len({(r["sequence_id"], r["offset"]) for r in got}) == 700 and len({r["sequence_id"] for r in got}) == 3
 
 
@@ -176,7 +185,7 @@ def test_mix(docs_of):
     r = random.Random(7)
     rows = [(i, "w " * r.randint(1, 9), "en", r.choice(["a", "a", "a", "b", "c", None])) for i in range(900)] + [(2000, None, "en", "a"), (2001, "", "en", "zero")]
     df = docs_of(rows)
-    got = mixing.mix(df).select("row.doc_id", "row.source", "size", "source_size", "target", "copies").collect()
+    got = mixing.mix(df).collect()
     assert len(got) == len(rows)
     for s in ("a", "b", "c", None):
         mine = [x for x in got if x["source"] == s]
@@ -187,6 +196,14 @@ def test_mix(docs_of):
     assert mixing.mix_documents(df.where("false")).count() == 0
 
 
+def test_mix_of_rows_without_ids(docs_of):
+    rows = [(None, f"w{i} " * 3, "en", "b") for i in range(600)] + [(i, "w " * 9, "en", "a") for i in range(900)]
+    got = mixing.mix(docs_of(rows)).where("source = 'b'").collect()
+    copies = Counter(x["copies"] for x in got)
+    assert len(copies) == 2 and sum(x["size"] * x["copies"] for x in got) == pytest.approx(got[0]["target"], rel=0.1)
+    assert Counter(x["text"] for x in mixing.mix_documents(docs_of(rows)).where("source = 'b'").collect()).total() == sum(x["copies"] for x in got)
+
+
 # --- urls -----------------------------------------------------------------------------------------------------------
 def test_urls(spark):
     link = '<a href="http://{0}/x"><A HREF=//{0}/y><a href="/own">'

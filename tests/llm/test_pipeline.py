@@ -7,10 +7,10 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from slotweave.llm import queries
+from slotweave.llm import quality, queries
 
 from .test_dedup import exact_by_force, near_by_force
-from .test_other import targets_by_force
+from .test_other import check_packing, targets_by_force
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the driver's tables")
@@ -31,6 +31,8 @@ def test_stages(spark, tmp_path):
             labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{DATA}/labels.parquet").collect()}
             gone = {r["doc_id"] for r in before} - {r["doc_id"] for r in got}
             assert gone and not any(labels.get(i) == 1 for i in gone)
+            judged = quality.classify(docs, spark.read.parquet(f"{DATA}/labels.parquet")).collect()
+            assert {r["doc_id"] for r in got} == {r["doc_id"] for r in judged if r["p_good"] >= quality.THRESHOLD}
         elif name == "exact_dedup":
             assert {r["doc_id"] for r in got} == {i for i, x in exact_by_force(rows).items() if x[2]}
         elif name == "minhash_near_dedup":
@@ -44,11 +46,8 @@ def test_stages(spark, tmp_path):
                 rate = target[r["source"]] / sizes[r["source"]]
                 assert int(rate) <= taken[r["doc_id"]] <= int(rate) + 1
         else:
-            copies = Counter(r["doc_id"] for r in before)
-            once = [r for r in got if copies[r["doc_id"]] == 1]
-            assert len(got) > len(once) > 0
-            places = {(r["sequence_id"], r["offset"]) for r in got}
-            assert len(places) == len(got)
+            n = check_packing(rows, got)
+            assert len({r["doc_id"] for r in got}) < len({r["row"] for r in got}) and n <= 1.03 * sum(r["length"] for r in got) / 1024 + 1
             return
         docs = after
 
