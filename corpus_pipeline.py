@@ -30,8 +30,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The tokenized pieces of the mix and their places in the training sequences."""
-    return packing.pack(docs)
+    """The pieces of the mix with their token ids, and their places in the training sequences. Of a document that the mix
+    takes several times each copy has a row number of its own."""
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES = [
