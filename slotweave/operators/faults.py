@@ -33,21 +33,22 @@ def zeros(s: DataFrame, start: str | None = None, end: str | None = None, min_ho
 
 def doubled(s: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Runs of days (with any bikes; days without don't break a run) on which every count is even. ``level`` compares
-    their totals with days that have odd counts nearby, workdays with workdays."""
-    day = s.groupBy(*KEYS, "date", "workday").agg(F.sum("count").alias("tot"), F.count_if(F.col("count") > 0).alias("nz"), F.count_if(F.col("count") % 2 == 1).alias("odd"))
-    w = Window.partitionBy("DIRECTION_SK").orderBy("date")
-    day = day.where("nz > 0").withColumn("even", F.col("odd") == 0)
-    day = day.withColumn("new", F.coalesce((F.col("even") != F.lag("even").over(w)).cast("int"), F.lit(1))).withColumn("run", F.sum("new").over(w)).drop("new")
-    runs = day.where("even").groupBy(*KEYS, "run").agg(F.min("date").alias("start"), F.max("date").alias("end"), F.count("*").alias("days"), F.sum("nz").alias("nonzero_slots")).where(F.col("nonzero_slots") >= settings.min_even_nonzero)
-    ref = day.where("not even").select("DIRECTION_SK", "date", "workday", "tot")
-    reach = settings.reference_days
-    before = (F.col("date") >= F.date_sub("start", reach)) & (F.col("date") < F.col("start"))
-    after = (F.col("date") > F.col("end")) & (F.col("date") <= F.date_add("end", reach))
-    near = runs.select("DIRECTION_SK", "run", "start", "end").join(ref, "DIRECTION_SK").where(before | after)
-    near = near.groupBy("DIRECTION_SK", "run", "workday").agg(F.median("tot").alias("ref"))
-    level = day.where("even").select("DIRECTION_SK", "run", "workday", "tot").join(near, ["DIRECTION_SK", "run", "workday"], "left")
-    level = level.groupBy("DIRECTION_SK", "run").agg(half_even(F.median(ratio(F.col("tot"), F.col("ref"))), 2).alias("level"))
-    return runs.join(level, ["DIRECTION_SK", "run"], "left").select(*KEYS, "start", "end", "days", "nonzero_slots", "level")
+    their totals with days that have odd counts nearby, workdays with workdays.
+
+    A day's place among all days of its direction less its place among those of its kind is the same along a run. No day
+    with odd counts lies inside one, so those nearby are the ones within reach of its first and last day."""
+    count = F.col("count")
+    day = s.groupBy(*KEYS, "date", "workday").agg(F.sum("count").alias("bikes"), F.count_if(count > 0).alias("busy"), (F.count_if(count % 2 == 1) == 0).alias("even")).where("busy > 0")
+    of = Window.partitionBy("DIRECTION_SK").orderBy("date", "SITE_SK")
+    kind = Window.partitionBy("DIRECTION_SK", "even").orderBy("date", "SITE_SK")
+    even = day.withColumn("island", F.row_number().over(of) - F.row_number().over(kind)).where("even")
+    spans = even.groupBy(*KEYS, "island").agg(F.min("date").alias("start"), F.max("date").alias("end"), F.count("*").alias("days"), F.sum("busy").alias("nonzero_slots"))
+    spans = spans.where(F.col("nonzero_slots") >= settings.min_even_nonzero)
+    odd = day.where("not even").select("DIRECTION_SK", "workday", F.col("date").alias("on"), F.col("bikes").alias("usual"))
+    reach = F.col("on").between(F.date_sub("start", settings.reference_days), F.date_add("end", settings.reference_days))
+    expected = spans.join(odd, "DIRECTION_SK").where(reach).groupBy("DIRECTION_SK", "island", "workday").agg(F.median("usual").alias("usual"))
+    level = even.join(expected, ["DIRECTION_SK", "island", "workday"]).groupBy("DIRECTION_SK", "island").agg(half_even(F.median(ratio(F.col("bikes"), F.col("usual"))), 2).alias("level"))
+    return spans.join(level, ["DIRECTION_SK", "island"], "left").select(*KEYS, "start", "end", "days", "nonzero_slots", "level")
 
 
 def duplicates(records: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:

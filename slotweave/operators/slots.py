@@ -58,16 +58,21 @@ def usual_records(slots: DataFrame) -> DataFrame:
 
 def repeated_values(slots: DataFrame, records: DataFrame) -> DataFrame:
     """Slots with more records than usual in their month: the count without the extra records that repeat others
-    (``dedup``), what that drops, and whether every extra record repeats one (``matched``). Only the main load counts."""
-    usual = usual_records(slots)
-    extra = slots.withColumn("month", F.trunc("date", "month")).join(usual, ["DIRECTION_SK", "month"]).where("records > usual").select("DIRECTION_SK", "date", "slot", "load", "usual")
-    loaded = records.select("DIRECTION_SK", "date", "slot", F.col(LOAD).alias("load"), F.col(COUNT).cast("long").alias("value"))
-    values = loaded.join(extra, ["DIRECTION_SK", "date", "slot", "load"]).groupBy("DIRECTION_SK", "date", "slot", "usual", "value").agg(F.count("*").alias("k"))
-    twice = F.sort_array(F.flatten(F.collect_list(F.array_repeat("value", F.floor(F.col("k") / 2).cast("int")))), asc=False)
-    slot = values.groupBy("DIRECTION_SK", "date", "slot").agg((F.sum("k") - F.first("usual")).cast("int").alias("excess"), F.sum(F.col("value") * F.col("k")).alias("total"), twice.alias("twice"))
-    dropped = F.aggregate(F.slice("twice", F.lit(1), F.col("excess")), F.lit(0).cast("long"), lambda a, x: a + x)
-    slot = slot.withColumn("dropped", dropped)
-    return slot.select("DIRECTION_SK", "date", "slot", (F.col("total") - F.col("dropped")).alias("dedup"), "dropped", (F.size("twice") >= F.col("excess")).alias("matched"))
+    (``dedup``), what that drops, and whether every extra record repeats one (``matched``). Only the main load counts.
+
+    Equal values pair up, and pairs are dropped from the highest value down until the extra records are used up; how many
+    pairs are above a value is a running sum over the few values of a slot."""
+    place = ["DIRECTION_SK", "date", "slot"]
+    crowded = slots.withColumn("month", F.trunc("date", "month")).join(usual_records(slots), ["DIRECTION_SK", "month"]).where("records > usual")
+    loaded = records.select(*place, F.col(LOAD).alias("load"), F.col(COUNT).cast("long").alias("value"))
+    times = loaded.join(crowded.select(*place, "load", "usual"), [*place, "load"]).groupBy(*place, "usual", "value").agg(F.count("*").alias("times"))
+    of_slot = Window.partitionBy(*place)
+    pairs = F.floor(F.col("times") / 2)
+    above = F.coalesce(F.sum(pairs).over(of_slot.orderBy(F.col("value").desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = times.withColumns({"pairs": pairs, "above": above, "excess": F.sum("times").over(of_slot) - F.col("usual")})
+    gone = F.sum(F.greatest(F.least("pairs", F.col("excess") - F.col("above")), F.lit(0)) * F.col("value"))
+    kept = F.sum(F.col("value") * F.col("times")) - gone
+    return ranked.groupBy(*place).agg(kept.alias("dedup"), gone.alias("dropped"), (F.sum("pairs") >= F.first("excess")).alias("matched"))
 
 
 def with_hourly(slots: DataFrame, settings: Settings = DEFAULT, slot: str = "slot", raw: str = "raw") -> DataFrame:
