@@ -226,7 +226,9 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", cap: int = CA
     for length, n in cut.groupBy("length").agg(F.count("*")).collect():  # at most cap rows
         hist[length] = n
     p = docs.sparkSession.sparkContext.broadcast(plan(hist))
-    cut = cut if with_ids else cut.drop("ids")
-    ranked = with_rank(cut, ["length"], ["row", "piece"]).select(*cut.columns, "rank")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema) + ", sequence_id long, offset long"
-    return ranked.mapInArrow(_placed(p), schema)
+    # places are found without the ids, which join their pieces at the end
+    bare = cut.drop("ids")
+    ranked = with_rank(bare, ["length"], ["row", "piece"]).select(*bare.columns, "rank")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in bare.schema) + ", sequence_id long, offset long"
+    placed = ranked.mapInArrow(_placed(p), schema)
+    return placed.join(cut.select("row", "piece", "ids"), ["row", "piece"]) if with_ids else placed

@@ -9,7 +9,7 @@ import re
 import numpy as np
 
 #: Units kept at most; the cache starts anew when it is full.
-CACHE_UNITS = 400_000
+CACHE_UNITS = 200_000
 #: Where cutting before each space could change the ids: a space beside other white space. Such a text is encoded whole.
 _IRREGULAR = re.compile(r" \s|\s ")
 _loaded: dict[str, UnitEncoder] = {}
