@@ -173,13 +173,13 @@ def duplicate_days(s: DataFrame, times: float = 1.8, least: int = 3, settings: S
     return hit.groupBy("date").agg(F.count_distinct("COUNTER_SK").alias("counters")).where(F.col("counters") >= least)
 
 
-def shapes(s: DataFrame, directions: DataFrame, least_nonzero: int = 40, odd_share: float = 0.05) -> DataFrame:
-    """Per counter and month: shares of odd slots and of the hours 0-5, in over out, and whether odd slots are so few
+def shapes(s: DataFrame, directions: DataFrame, least_nonzero: int = 40, odd_share: float = 0.05, by: tuple[str, ...] = ("COUNTER_SK",)) -> DataFrame:
+    """Per counter (or zone, by other keys) and month: shares of odd slots and of the hours 0-5, in over out, and whether odd slots are so few
     that counts look doubled."""
     j = s.join(directions.select("DIRECTION_SK", F.col("Location in/out").alias("way")), "DIRECTION_SK", "left")
     n = F.col("count")
-    m = j.groupBy("COUNTER_SK", F.trunc("date", "month").alias("month")).agg(
+    m = j.groupBy(*by, F.trunc("date", "month").alias("month")).agg(
         F.count_if(n > 0).alias("nz"), F.count_if(n % 2 == 1).alias("odd"), F.sum(n).alias("bikes"), F.sum(F.when(F.col("slot") < 20, n).otherwise(0)).alias("night"),
         F.sum(F.when(F.col("way") == "IN", n).otherwise(0)).alias("n_in"), F.sum(F.when(F.col("way") == "OUT", n).otherwise(0)).alias("n_out"),
     ).where(F.col("nz") >= least_nonzero)
-    return m.select("COUNTER_SK", "month", "nz", half_even(F.col("odd") / F.greatest("nz", F.lit(1)), 3).alias("odd_share"), half_even(ratio(F.col("night"), F.col("bikes")), 3).alias("night_share"), half_even(ratio(F.col("n_in"), F.col("n_out")), 3).alias("in_out"), (F.col("odd") < odd_share * F.col("nz")).alias("looks_doubled"))
+    return m.select(*by, "month", "nz", half_even(F.col("odd") / F.greatest("nz", F.lit(1)), 3).alias("odd_share"), half_even(ratio(F.col("night"), F.col("bikes")), 3).alias("night_share"), half_even(ratio(F.col("n_in"), F.col("n_out")), 3).alias("in_out"), (F.col("odd") < odd_share * F.col("nz")).alias("looks_doubled"))

@@ -390,11 +390,20 @@ def overview(spark, d):
     return views.overview(_s(spark, d), SPARSE)
 
 
-@register("SELECT DIRECTION_SK, " + ", ".join(O.he(f"sum(CASE WHEN hour(time) = {k} THEN count END) / count(DISTINCT date)", 1) + f' AS "{k}"' for k in range(24)) + ", count(DISTINCT date) AS days FROM s WHERE workday GROUP BY DIRECTION_SK")
+def _hourly(where: str) -> str:
+    return "SELECT DIRECTION_SK, " + ", ".join(O.he(f"sum(CASE WHEN hour(time) = {k} THEN count END) / count(DISTINCT date)", 1) + f' AS "{k}"' for k in range(24)) + f", count(DISTINCT date) AS days FROM s WHERE {where} GROUP BY DIRECTION_SK"
+
+
+@register(_hourly("workday"))
 def hourly(spark, d):
     return views.hourly(_s(spark, d))
 
 
+@register(_hourly("NOT workday"))
+def hourly_free(spark, d):
+    return views.hourly(_s(spark, d), workday=False)
+
+
 @register("SELECT DIRECTION_SK, date, slot, array_to_string(list(n ORDER BY ID), ',') AS records, array_to_string(list(status ORDER BY ID), ',') AS status, array_to_string(list(ID ORDER BY ID), ',') AS ids, count(DISTINCT load) AS loads FROM raw GROUP BY ALL")
 def channels(spark, d):
     c = views.channels(X.records(spark, d))
@@ -402,11 +411,23 @@ def channels(spark, d):
     return c.select("DIRECTION_SK", "date", "slot", text("records"), text("status"), text("ids"), F.size("loaded").cast("bigint").alias("loads"))
 
 
-@register(f"""SELECT n.SITE_SK, n.site_name AS "Site name", n.km, p.COUNTER_SK, p.first, p.last, c.technology AS "Technology" FROM
+def _neighbours(where: str) -> str:
+    return f"""SELECT n.SITE_SK, n.site_name AS "Site name", n.km, p.COUNTER_SK, p.first, p.last, c.technology AS "Technology" FROM
   (SELECT a.SITE_SK, a.site_name, {O.he('sqrt(((a.lat - m.lat) * 111.0) * ((a.lat - m.lat) * 111.0) + ((a.lon - m.lon) * (111.0 * cos(radians(m.lat)))) * ((a.lon - m.lon) * (111.0 * cos(radians(m.lat)))))', 2)} AS km FROM sites a JOIN sites m ON m.SITE_SK = 2 AND a.SITE_SK <> 2) n
-  JOIN (SELECT SITE_SK, COUNTER_SK, min(date) AS first, max(date) AS last FROM raw GROUP BY ALL) p ON n.SITE_SK = p.SITE_SK LEFT JOIN counters c ON p.COUNTER_SK = c.COUNTER_SK WHERE n.km <= 3 AND c.technology <> 'CAMERA'""")
+  JOIN (SELECT SITE_SK, COUNTER_SK, min(date) AS first, max(date) AS last FROM raw GROUP BY ALL) p ON n.SITE_SK = p.SITE_SK LEFT JOIN counters c ON p.COUNTER_SK = c.COUNTER_SK WHERE n.km <= 3 AND {where}"""
+
+
+_NEIGHBOUR = ["SITE_SK", "Site name", "km", "COUNTER_SK", "first", "last", "Technology"]
+
+
+@register(_neighbours("c.technology <> 'CAMERA'"))
 def neighbours(spark, d):
-    return views.neighbours(X.records(spark, d), X.sites(spark), X.counters(spark), 2).select("SITE_SK", "Site name", "km", "COUNTER_SK", "first", "last", "Technology")
+    return views.neighbours(X.records(spark, d), X.sites(spark), X.counters(spark), 2).select(*_NEIGHBOUR)
+
+
+@register(_neighbours("true"))
+def neighbours_and_cameras(spark, d):
+    return views.neighbours(X.records(spark, d), X.sites(spark), X.counters(spark), 2, cameras=True).select(*_NEIGHBOUR)
 
 
 _DAYS = "sd AS (SELECT SITE_SK, date, CASE WHEN bool_and(slots >= 20) THEN CAST(sum(count) AS BIGINT) END AS bikes FROM daily GROUP BY ALL), sw AS (SELECT date, " + ", ".join(f"max(CASE WHEN SITE_SK = {k} THEN bikes END) AS b{k}" for k in (0, 2, 3)) + " FROM sd WHERE SITE_SK IN (0, 2, 3) GROUP BY date)"
@@ -636,11 +657,11 @@ def derived_tail(spark, d):
     return compare.flag_tail(_two(spark, d)[1], slots.slot_table(_records(spark, d)))
 
 
-@register("""SELECT COUNTER_SK, b AS start, e AS "end", array_to_string(list_sort(list(DISTINCT m.SITE_SK)), ',') AS at, array_to_string(any_value(sites), ',') AS sites FROM nd m JOIN co c ON list_contains(c.sites, m.SITE_SK) WHERE NOT rejected AND action = 'missing' GROUP BY COUNTER_SK, b, e
+@register("""SELECT COUNTER_SK, b AS start, e AS "end", array_to_string(list_sort(list(DISTINCT m.SITE_SK)), ',') AS at, array_to_string(any_value(sites), ',') AS sites FROM od m JOIN co c ON list_contains(c.sites, m.SITE_SK) WHERE NOT rejected AND action = 'missing' GROUP BY COUNTER_SK, b, e
   HAVING count(DISTINCT m.SITE_SK) < any_value(len(sites))""", more=_TWO + ", co AS (SELECT COUNTER_SK, list_sort(list(DISTINCT SITE_SK)) AS sites FROM slots GROUP BY COUNTER_SK HAVING count(DISTINCT SITE_SK) > 1)")
 def derived_scope(spark, d):
     """All diagnoses speak of a camera, so that a span at one of its sites is enough."""
-    return compare.flag_scope(_two(spark, d)[1], slots.slot_table(_records(spark, d)))
+    return compare.flag_scope(_two(spark, d)[0], slots.slot_table(_records(spark, d)))
 
 
 @register("""SELECT action, SITE_SK, DIRECTION_SK, b AS start, e AS "end", left(diagnosis, 120) AS diagnosis FROM oall o WHERE NOT rejected AND action IN ('scale', 'direction_unreliable', 'subtract_other', 'drop_duplicates') AND NOT EXISTS
@@ -795,11 +816,20 @@ def duplicate_days(spark, d):
     return audit.duplicate_days(_s(spark, d), 1.1, 3, SPARSE)
 
 
-@register(f"SELECT COUNTER_SK, month, nz, {O.he('odd / nz', 3)} AS odd_share, {O.he(O.div('night', 'bikes'), 3)} AS night_share, {O.he(O.div('n_in', 'n_out'), 3)} AS in_out, odd < 0.05 * nz AS looks_doubled FROM (SELECT COUNTER_SK, {O.week(unit='month')} AS month, count(CASE WHEN count > 0 THEN 1 END) AS nz, count(CASE WHEN count % 2 = 1 THEN 1 END) AS odd, sum(count) AS bikes, sum(CASE WHEN slot < 20 THEN count ELSE 0 END) AS night, sum(CASE WHEN way = 'IN' THEN count ELSE 0 END) AS n_in, sum(CASE WHEN way = 'OUT' THEN count ELSE 0 END) AS n_out FROM s LEFT JOIN directions d ON s.DIRECTION_SK = d.DIRECTION_SK GROUP BY ALL) WHERE nz >= 40")
+def _shapes(by: str) -> str:
+    return f"SELECT {by}, month, nz, {O.he('odd / nz', 3)} AS odd_share, {O.he(O.div('night', 'bikes'), 3)} AS night_share, {O.he(O.div('n_in', 'n_out'), 3)} AS in_out, odd < 0.05 * nz AS looks_doubled FROM (SELECT {by}, {O.week(unit='month')} AS month, count(CASE WHEN count > 0 THEN 1 END) AS nz, count(CASE WHEN count % 2 = 1 THEN 1 END) AS odd, sum(count) AS bikes, sum(CASE WHEN slot < 20 THEN count ELSE 0 END) AS night, sum(CASE WHEN way = 'IN' THEN count ELSE 0 END) AS n_in, sum(CASE WHEN way = 'OUT' THEN count ELSE 0 END) AS n_out FROM s LEFT JOIN directions d USING (DIRECTION_SK) GROUP BY ALL) WHERE nz >= 40"
+
+
+@register(_shapes("COUNTER_SK"))
 def shape_shares(spark, d):
     return audit.shapes(_s(spark, d), X.directions(spark))
 
 
+@register(_shapes("SITE_SK, DIRECTION_SK"))
+def shape_shares_by_zone(spark, d):
+    return audit.shapes(_s(spark, d), X.directions(spark), by=("SITE_SK", "DIRECTION_SK"))
+
+
 # --- primitives that no query above shows alone ---------------------------------------------------------------------
 @register(f"SELECT DIRECTION_SK, CAST(run AS BIGINT) AS run, min(date) AS start, max(date) AS \"end\", count(*) AS days FROM xr GROUP BY DIRECTION_SK, run", more="xd AS (SELECT DISTINCT DIRECTION_SK, date FROM s WHERE count >= 9), " + O.runs("xr", "xd", "DIRECTION_SK", "date", "1"))
 def busy_runs(spark, d):
