@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +86,24 @@ def reachable(spark: SparkSession) -> None:
         told["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
+def trimmed(rows):
+    """``rows``, a function of batches, that gives what it has freed back to the machine when a task ends: a Python worker
+    goes on with tasks of other stages, and would keep the most that any of them took."""
+
+    def run(batches):
+        try:
+            yield from rows(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library: it keeps what it has
+                pass
+
+    return run
+
+
 #: Stands for a null id, which comes after all others.
 NO_ID = 2**63 - 1
 

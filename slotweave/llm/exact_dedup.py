@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_of, materialize, normalized, partitions, shown_id
+from .common import id_of, materialize, normalized, partitions, shown_id, trimmed
 
 #: Bytes of content that a table holds before it is flushed (step 1) or its bucket is split into files (step 2).
 TABLE_BYTES = 48 << 20
@@ -184,10 +184,10 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     ignored, whatever their names."""
     content = normalized(F.col(text))
     rows = docs.select(id_of(F.col(key)).alias("doc_id"), F.sha2(content, 256).alias("sha"), content.cast("binary").alias("content"))
-    local = materialize(rows.mapInArrow(combine, "doc_id long, sha string, rep long, rep_id long, n long, content binary"), "exact-local")
+    local = materialize(rows.mapInArrow(trimmed(combine), "doc_id long, sha string, rep long, rep_id long, n long, content binary"), "exact-local")
     n = partitions(docs.sparkSession)
     reps = local.where("rep_id is not null").select("rep", "rep_id", "n", "content").repartition(n, F.xxhash64("content"))
-    found = reps.mapInArrow(dedup_bucket, "rep long, keep_id long, group_size long")
+    found = reps.mapInArrow(trimmed(dedup_bucket), "rep long, keep_id long, group_size long")
     return local.select("doc_id", "sha", "rep").join(found, "rep").select(shown_id("doc_id"), shown_id("keep_id"), "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, gram_hashes, id_of, materialize, mix64, release, shown_id, word_hashes
+from .common import connected_components, gram_hashes, id_of, materialize, mix64, release, shown_id, trimmed, word_hashes
 
 ROWS, BANDS = 4, 24
 #: Levels of W to a doubling (see _left_over).
@@ -142,7 +142,7 @@ def _searched(docs: DataFrame, text: str, key: str, k: int, percent: int) -> Dat
         raise ValueError("the bands are made for similarities of 80 % or more")
     doc_id, t = _rows(docs, text, key)
     rows = docs.select(doc_id.alias("doc_id"), t.alias("t"), docs[text].cast("binary").alias("text"))
-    sk = materialize(rows.mapInArrow(_sketch_rows(k), SKETCH), "mh-sketch")
+    sk = materialize(rows.mapInArrow(trimmed(_sketch_rows(k)), SKETCH), "mh-sketch")
     some = sk.where("n > 0")
     classes = some.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"), F.min_by("t", "doc_id").alias("t"))
     found = materialize(classes, "mh-class")
@@ -158,7 +158,7 @@ def _searched(docs: DataFrame, text: str, key: str, k: int, percent: int) -> Dat
     release(banded)
     member = materialize(classes.join(shared.select("id").distinct(), "id", "left_semi"), "mh-member")
     # large tables are never broadcast here, so small ones aren't either
-    sets = rows.join(member.hint("merge"), ["doc_id", "t"]).select("id", "h1", "h2", "text").mapInArrow(_set_rows(k), "id long, set array<long>")
+    sets = rows.join(member.hint("merge"), ["doc_id", "t"]).select("id", "h1", "h2", "text").mapInArrow(trimmed(_set_rows(k)), "id long, set array<long>")
     sets = materialize(sets.dropDuplicates(["id"]), "mh-set")
 
     star = materialize(shared.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("low_n").alias("na")).distinct(), "mh-star")

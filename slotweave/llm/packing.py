@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, with_rank
+from .common import materialize, trimmed, with_rank
 from .tokens import default_path, encoder
 
 CAP = 1024
@@ -52,7 +52,7 @@ def pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", cap: int =
     """(doc_id, piece, start, length, ids_crc32, row, ids): the pieces of each document; a longer one than ``cap`` is cut so
     that all pieces but the first have ``cap`` tokens. row: a number that the pieces of one row of ``docs`` share."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_piece_rows(path or default_path(), cap, with_ids), "doc_id long, piece int, start long, length long, ids_crc32 long, row long, ids array<int>")
+    return rows.mapInArrow(trimmed(_piece_rows(path or default_path(), cap, with_ids)), "doc_id long, piece int, start long, length long, ids_crc32 long, row long, ids array<int>")
 
 
 # --- plan -----------------------------------------------------------------------------------------------------------

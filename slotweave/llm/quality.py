@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, release
+from .common import materialize, release, trimmed
 
 LABELLED = 5000
 #: Hashed groups in which the surest documents are cut before their keys come to the driver.
@@ -243,7 +243,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def features(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """A row for each row of ``docs``: its id, a hash of text and metadata, and its features. A null text counts as empty,
     null metadata as a value of its own; columns that are missing count as null, others are not looked at."""
-    return docs.select(*_view_columns(docs, text, key)).mapInArrow(_features, FEATURES)
+    return docs.select(*_view_columns(docs, text, key)).mapInArrow(trimmed(_features), FEATURES)
 
 
 def _matrices(b: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -293,7 +293,7 @@ def _most_sure(unlabelled: DataFrame):
 
     def pick(weights: list[np.ndarray], quota: dict[tuple[int, int], int], taken: set[int]) -> list[Pick]:
         shared = spark.sparkContext.broadcast(weights)
-        best = unlabelled.drop("doc_id").mapInArrow(_sure(shared, quota, taken), "h long, stats binary, words binary, tf binary, meta binary, view int, label int, sure double")
+        best = unlabelled.drop("doc_id").mapInArrow(trimmed(_sure(shared, quota, taken)), "h long, stats binary, words binary, tf binary, meta binary, view int, label int, sure double")
         dealt = best.dropDuplicates(["view", "label", "h"]).withColumn("group", F.pmod("h", F.lit(GROUPS)))
         w = Window.partitionBy("view", "label", "group").orderBy(F.col("sure").desc(), "h")
         best = materialize(dealt.withColumn("r", F.row_number().over(w)).where(F.col("r") <= max(quota.values())), "quality-sure")
@@ -350,7 +350,7 @@ def _probabilities(shared):
 def score(rows: DataFrame, model: CoTrained | None) -> DataFrame:
     """(doc_id, p_good), a row for each row of a table of ``features``. Without a model every document gets 1."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    return rows.select("doc_id", "stats", "words", "tf", "meta").mapInArrow(_probabilities(shared), "doc_id long, p_good double")
+    return rows.select("doc_id", "stats", "words", "tf", "meta").mapInArrow(trimmed(_probabilities(shared)), "doc_id long, p_good double")
 
 
 def trained(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", quality: str = "quality", labelled: int = LABELLED) -> tuple[DataFrame, CoTrained | None]:
@@ -387,4 +387,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", key: str =
     if model is None:
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_kept(shared, text, threshold), docs.schema)
+    return docs.mapInArrow(trimmed(_kept(shared, text, threshold)), docs.schema)

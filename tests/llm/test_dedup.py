@@ -295,3 +295,7 @@ def test_runs_are_merged_without_a_shuffle(spark, docs_of, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     index.drop()
+
+
+def test_trimmed_passes_all_on():
+    assert list(common.trimmed(lambda batches: (b + 1 for b in batches))(iter([1, 2]))) == [2, 3]
