@@ -13,7 +13,8 @@ Dates = str | None
 
 
 def slots(records: DataFrame, dates: DataFrame, start: Dates = None, end: Dates = None, settings: Settings = DEFAULT) -> DataFrame:
-    """Direction-slots with ``count`` as published. The period is on grouping keys, so it reaches the scan."""
+    """Direction-slots with ``count`` as published. A period is taken before slots are made; give it to ``local_records``
+    too, which cuts the scan by the dates as published."""
     s = with_hourly(with_workday(between_dates(slot_table(records), start, end), dates), settings)
     return s.select(*KEYS, "date", "slot", slot_start(F.col("date"), F.col("slot")).alias("time"), "workday", "records", F.col("raw").alias("count"), "hourly_binned")
 
