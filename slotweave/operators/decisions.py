@@ -55,10 +55,11 @@ def by_month(scope: DataFrame, slots: DataFrame) -> DataFrame:
     return met.withColumn("month", F.explode(F.sequence(from_, to, F.expr("interval 1 month")))).drop("first", "last")
 
 
-def flags(scope: DataFrame, slots: DataFrame) -> DataFrame:
+def flags(months: DataFrame, slots: DataFrame) -> DataFrame:
     """(DIRECTION_SK, date, slot) with a flag for each action in force, and the factor. Two factors at one time are an error.
-    Slots meet the decisions of their direction and month, and of these those whose interval they are in."""
-    d = by_month(scope.where("action <> 'zero_fill'"), slots).select("DIRECTION_SK", "month", "start", "end", "action", "factor")
+    Slots meet the decisions of their direction and month (see ``by_month``), and of these those whose interval they are
+    in."""
+    d = months.select("DIRECTION_SK", "month", "start", "end", "action", "factor")
     at = slots.select("DIRECTION_SK", "date", "slot", "time").distinct().withColumn("month", F.trunc("date", "month"))
     on = at.join(d, ["DIRECTION_SK", "month"]).where("time between start and end").groupBy("DIRECTION_SK", "date", "slot")
     on = on.agg(*(F.bool_or(F.col("action") == a).alias(f"_{a}") for a in ACTIONS[1:]), F.min("factor").alias("_factor"), F.max("factor").alias("_high"))
@@ -79,21 +80,21 @@ def apply(slots: DataFrame, decisions: DataFrame, records: DataFrame) -> DataFra
     ``direction_unreliable``. Later actions overwrite the mark of earlier ones; what is missing stays missing.
 
     The filled table is written once: the flags, the usual numbers of records and the slots themselves read it. So are the
-    flags, a row for each slot that a decision meets: writing them checks them, whatever is read of the result, and
-    tells their size. What only some decisions need is made for these: repeated values for the months of directions with
-    drop_duplicates, sums over a counter's directions for counters with subtract_other. Give ``slots`` as a table too
-    (``lineage.cut``), as the scope of decisions and the filling read it several times."""
+    flags, a row for each slot that a decision meets, with what its records repeat: writing them checks them, whatever is
+    read of the result, and tells their size. What only some decisions need is made for these: repeated values for the
+    months of directions with drop_duplicates, sums over a counter's directions for counters with subtract_other. Give
+    ``slots`` as a table too (``lineage.cut``), as the scope of decisions and the filling read it several times."""
     place = ["DIRECTION_SK", "date", "slot"]
-    scope = cut(scoped(decisions, slots))
+    scope = scoped(decisions, slots)
+    months = cut(by_month(scope.where("action <> 'zero_fill'"), slots))
     slots = cut(slots.unionByName(filled_slots(scope, slots)).withColumn("time", slot_start(F.col("date"), F.col("slot"))))
-    on = cut(flags(scope, slots))
-    slots = slots.withColumns({"count": F.col("raw"), "fix": F.lit(None).cast("string")})
-    some = by_month(scope.where("action = 'drop_duplicates'"), slots).select("DIRECTION_SK", "month").distinct()
+    some = months.where("action = 'drop_duplicates'").select("DIRECTION_SK", "month").distinct()
     within = lambda df: df.withColumn("month", F.trunc("date", "month")).join(some, ["DIRECTION_SK", "month"], "left_semi").drop("month")
     dedup = repeated_values(within(slots), within(records)).select(*place, "dedup")
-    s = slots.join(on.join(dedup, place, "left"), place, "left")
+    on = cut(flags(months, slots).join(dedup, place, "left"))
+    s = slots.withColumns({"count": F.col("raw"), "fix": F.lit(None).cast("string")}).join(on, place, "left")
     s = mark(s, F.col("_drop_duplicates") & F.col("dedup").isNotNull(), "drop_duplicates", F.col("dedup"))
-    subtracted = scope.where("action = 'subtract_other'").select("COUNTER_SK").distinct()
+    subtracted = months.where("action = 'subtract_other'").select("COUNTER_SK").distinct()
     all_ = s.join(subtracted, "COUNTER_SK", "left_semi").groupBy("SITE_SK", "COUNTER_SK", "time").agg(F.sum("count").alias("_all"), F.bool_or("_subtract_other").alias("_any")).where("_any")
     s = s.join(all_.drop("_any"), ["SITE_SK", "COUNTER_SK", "time"], "left")
     s = mark(s, F.col("_subtract_other"), "subtract_other", F.greatest(F.col("count") - (F.col("_all") - F.col("count")), F.lit(0)))

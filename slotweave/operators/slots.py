@@ -65,7 +65,9 @@ def repeated_values(slots: DataFrame, records: DataFrame) -> DataFrame:
     place = ["DIRECTION_SK", "date", "slot"]
     crowded = slots.withColumn("month", F.trunc("date", "month")).join(usual_records(slots), ["DIRECTION_SK", "month"]).where("records > usual")
     loaded = records.select(*place, F.col(LOAD).alias("load"), F.col(COUNT).cast("long").alias("value"))
-    times = loaded.join(crowded.select(*place, "load", "usual"), [*place, "load"]).groupBy(*place, "usual", "value").agg(F.count("*").alias("times"))
+    # dealt by slot at once, which serves the counts, the running sums and the totals
+    extra = loaded.join(crowded.select(*place, "load", "usual"), [*place, "load"]).repartition(*place)
+    times = extra.groupBy(*place, "usual", "value").agg(F.count("*").alias("times"))
     of_slot = Window.partitionBy(*place)
     pairs = F.floor(F.col("times") / 2)
     above = F.coalesce(F.sum(pairs).over(of_slot.orderBy(F.col("value").desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
